@@ -1,21 +1,56 @@
 """The corpus pipeline: rules, near-duplicates, decontamination, secrets, packing.
 
-Each stage takes the documents that its predecessor kept, as (spark, docs, sf_dir).
+Each stage takes the documents that its predecessor kept, as (spark, docs, sf_dir). All but the
+last return the columns of documents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sieveline.llm import quality
+from sieveline.llm import decontam, neardup, packing, quality, secrets
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return quality.quality_filter(docs)
+    return quality.quality_filter(docs.select(*COLUMNS))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays."""
+    return neardup.drop_near_duplicates(docs.select(*COLUMNS))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    judged = decontam.decontaminate(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return judged.where("n_hit = 0").select(*COLUMNS)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the texts, and n_chars follows; every document stays."""
+    model = secrets.train(secrets.labelled_findings(spark))
+    masked = secrets.redact(docs.select(*COLUMNS), model)
+    return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences."""
+    pieces = packing.pack(docs)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-STAGES = [("quality rules", quality_rules)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near-duplicates", near_duplicates),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("secret scans", secret_scans),
+    ("packing", packed),
+]
+#: Robust estimates, a forest and a tokenizer are beyond SQL; the tests compare with brute force.
 ORACLE_SQL = None
 
 

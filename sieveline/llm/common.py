@@ -57,9 +57,9 @@ def dropped(*tables: DataFrame) -> None:
 def broadcast_if(df: DataFrame, rows: int) -> DataFrame:
     """df with a broadcast hint if it has no more than so many rows; else as it is, for a shuffle join.
 
-    df should be a stored table, as its rows are counted.
+    df should be a stored table, or little more than one, as its rows are counted first.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, quality, urlfilter
+from . import decontam, htmltext, langid, neardup, packing, quality, secrets, suffixes, tokencount, urlfilter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,36 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = secrets.train(secrets.labelled_findings(spark))
+    found = secrets.scan(table(spark, sf_dir, "documents"), model)
+    return found.select("doc_id", F.sha2("value", 256).alias("value_sha256"), "start", "length", "occurrences", F.round("score", 6).alias("score"), "is_secret")
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False)))
+    model = langid.train(docs.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
+    return langid.identify(docs, model, carry=["doc_id", "held_out"], reject=False)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judge(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -36,10 +66,21 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_near_duplicates": op2_near_duplicates,
+    "op3_secret_scans": op3_secret_scans,
+    "op4_language_id": op4_language_id,
+    "op5_packing": op5_packing,
+    "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_html_extraction": op7_html_extraction,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {
