@@ -40,7 +40,7 @@ HASHES, ROWS = 128, 4
 BATCH = 32
 MISS = 1e-6
 SMALL = 48
-PIVOTS = 8
+PIVOTS = 64
 MAX_BROADCAST = 1_000_000
 MULTIPLIERS = np.random.default_rng(20240607).integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -189,15 +189,28 @@ def components(edges: DataFrame) -> DataFrame:
         edges = following
 
 
+def _pairable(members: DataFrame, percent: int) -> DataFrame:
+    """The members of finer buckets that may still have a partner there.
+
+    The intersection with another is at most `common`, and the union holds the own shingles of both.
+    """
+    least = members.groupBy("key").agg(F.min("own").alias("least"))
+    return members.join(least, "key").where((100 - percent) * F.col("common") >= percent * (F.col("own") + F.col("least"))).drop("least")
+
+
 def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Stored rows (key, node, comp, n) of the buckets whose members lie in several components."""
-    placed = members.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+    """Stored rows (key, node, own, common, comp, n) of the buckets whose members lie in several components."""
+    placed = members.join(labels, "node", "left").select("key", "node", "own", "common", F.coalesce("comp", "node").alias("comp"))
     keys = stored(placed.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("n")).where("c1 <> c2").select("key", "n"), "mixed-keys")
     return stored(placed.join(broadcast_if(keys, MAX_BROADCAST), "key"), "mixed")
 
 
 def _prefixes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Stored members (key, node): for each node its rarest shingles, of which similar sets share one."""
+    """Stored members (key, node, own, common): for each node its rarest shingles, of which similar sets share one.
+
+    nodes: node, comp. Only pairs of different components matter, so shingles that one component
+    has alone come first in the order and are no keys; own counts them, common the others.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,11 +219,15 @@ def _prefixes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
             flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(sets)), lens))), pa.array(flat, pa.int64()), pa.array(np.repeat(lens, lens), pa.int64())], names=["node", "key", "size"])
 
-    rows = stored(docs.join(broadcast_if(nodes, MAX_BROADCAST), "node").select("node", "text").mapInArrow(run, "node long, key long, size long"), "shingles")
-    often = stored(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shingle-counts")
+    nodes = broadcast_if(nodes, MAX_BROADCAST)
+    rows = stored(docs.join(nodes, "node").select("node", "text").mapInArrow(run, "node long, key long, size long"), "shingles")
+    often = rows.join(nodes, "node").groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("c1"), F.max("comp").alias("c2"))
+    often = stored(often.where("c1 <> c2").select("key", "n"), "shingle-counts")
     ranked = rows.join(broadcast_if(often, MAX_BROADCAST), "key", "left").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "key"))).alias("s"))
     length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    out = ranked.select("node", F.explode(F.filter(F.slice("s", F.lit(1), length.cast("int")), lambda x: x["n"] > 1)).alias("x")).select("x.key", "node").distinct()
+    own = F.size(F.filter("s", lambda x: x["n"] == 1)).cast("long")
+    out = ranked.select("node", own.alias("own"), (F.col("size") - own).alias("common"), F.explode(F.filter(F.slice("s", F.lit(1), length.cast("int")), lambda x: x["n"] > 1)).alias("x"))
+    out = out.groupBy("x.key", "node").agg(F.min("own").alias("own"), F.max("common").alias("common"))
     out = stored(out, "prefixes")
     dropped(rows, often)
     return out
@@ -233,7 +250,8 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     least = least_matches(percent / 100, miss)
     links = None
     pairs = members.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    members, fine = members.select("key", "node"), False
+    nothing = F.lit(0).cast("long")
+    members, fine, turn = members.select("key", "node", nothing.alias("own"), nothing.alias("common")), False, 0
     while True:
         found = _confirm(stored(_bayes(pairs, sigs, least), "alive"), named, width, percent)
         links = found if links is None else links.unionByName(found)
@@ -246,17 +264,24 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         big = many.limit(1).count() > 0
         if not big and not left.limit(1).count():
             break
-        members = many.select("key", "node")
+        members = many.select("key", "node", "own", "common")
         if big and not fine:
-            nodes = stored(many.select("node").distinct(), "dense")
-            members, fine = _prefixes(nodes, named, width, percent), True
+            nodes = stored(many.select("node", "comp").distinct(), "dense")
+            members, fine = stored(_pairable(_prefixes(nodes, named, width, percent), percent), "members"), True
         elif big:
-            chosen = stored(many.groupBy("key").agg(F.array_distinct(F.array(*[F.min(F.struct(F.xxhash64(F.lit(k), "node"), "node"))["node"] for k in range(PIVOTS)])).alias("chosen")), "chosen")
-            with_chosen = many.join(broadcast_if(chosen, MAX_BROADCAST), "key")
-            centre = with_chosen.select("key", F.explode("chosen").alias("node")).distinct().join(many, ["key", "node"])
-            more = many.alias("x").join(centre.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") != F.col("y.node")) & pair)
+            # the largest component of a bucket needs no pivots: once all others have been, nothing is left to compare
+            sizes = many.groupBy("key", "comp").agg(F.count("*").alias("m"))
+            most = stored(sizes.groupBy("key").agg(F.max_by("comp", "m").alias("main"), (F.sum("m") - F.max("m")).alias("minor")), "main")
+            placed = many.join(broadcast_if(most, MAX_BROADCAST), "key")
+            first = placed.where("comp <> main").groupBy("key").agg(F.min(F.struct("own", "node"))["node"].alias("first"))
+            placed = placed.join(first, "key")
+            share = F.pmod(F.xxhash64(F.lit(turn), "node"), F.lit(1 << 20)) * F.col("minor") < F.lit(PIVOTS << 20)
+            placed = stored(placed.withColumn("pivot", (F.col("comp") != F.col("main")) & (share | (F.col("node") == F.col("first")))), "placed")
+            possible = (100 - percent) * F.least("x.common", "y.common") >= percent * (F.col("x.own") + F.col("y.own"))
+            more = placed.alias("x").join(placed.where("pivot").alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") != F.col("y.node")) & pair & possible)
             pairs = pairs.unionByName(more.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")))
-            members = stored(with_chosen.where(~F.array_contains("chosen", F.col("node"))).select("key", "node"), "members")
+            turn += 1
+            members = stored(_pairable(placed.where("not pivot").select("key", "node", "own", "common"), percent), "members")
         pairs = stored(pairs.distinct(), "pairs")
     out = classes.join(labels, "node", "left").where("n > 1 or comp is not null").select("s1", "s2", F.coalesce("comp", "node").alias("comp"))
     return sets.select("node", "n_shingles", "s1", "s2"), stored(out, "linked")
