@@ -196,7 +196,7 @@ def reference_of(output: Column) -> Column:
 
 def rewrite_reference(output: Column, reference: Column) -> Column:
     """Every stated reference replaced; signs of the new one are taken as they are."""
-    quoted = F.regexp_replace(reference, r"([\\$])", r"\\\\$1")
+    quoted = F.regexp_replace(reference, r"([\\$])", r"\\$1")
     return F.regexp_replace(output, F.lit(rf"Reference:{SPACE}*[^\n]+"), F.concat(F.lit("Reference: "), quoted))
 
 

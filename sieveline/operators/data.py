@@ -60,6 +60,11 @@ def reference_any(rows: DataFrame, corpus: DataFrame, *, ref_col: str = "referen
     return rows.join(found, F.lower(F.col(ref_col)) == F.col("_r"), "left_semi")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """df dealt to all tasks: few rows that each cost much are scored next."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _normal(c: Column) -> Column:
     return F.regexp_replace(F.lower(T.strip(c)), f"{T.SPACE}+", " ")
 
@@ -68,13 +73,14 @@ def reference_norm(rows: DataFrame, corpus: DataFrame, *, ref_col: str = "refere
     """The rows with `verified`: UNKNOWN, contained with white space collapsed, or within the indel ratio of a sentence.
 
     The ratio is only worked out for references that aren't contained, and pairs whose lengths allow it.
+    The corpus is a reference work (some documents), so its sentences are broadcast.
     """
     refs = rows.select(F.col(ref_col).alias("_ref")).distinct().withColumn("_r", _normal(F.col("_ref")))
     texts = corpus.select(_normal(F.col(text_col)).alias("_t"))
     exact = refs.join(texts, F.col("_t").contains(F.col("_r")), "left_semi")
     left = refs.join(exact, "_ref", "left_anti").where("_ref <> 'UNKNOWN'")
     sentences = corpus.select(F.explode(F.split(F.lower(F.col(text_col)), r"\.")).alias("_s")).select(T.strip(F.col("_s")).alias("_s")).distinct()
-    close = left.join(sentences, length_bound(F.col("_r"), F.col("_s"), threshold / 100)).where(indel_ratio_column("_r", "_s") >= threshold)
+    close = _spread(left).join(F.broadcast(sentences), length_bound(F.col("_r"), F.col("_s"), threshold / 100)).where(indel_ratio_column("_r", "_s") >= threshold)
     good = exact.select("_ref").unionByName(close.select("_ref")).distinct().withColumn("_ok", F.lit(True))
     return rows.join(good, F.col(ref_col) == F.col("_ref"), "left").withColumn("verified", F.coalesce("_ok", F.col(ref_col) == "UNKNOWN", F.lit(False))).drop("_ref", "_ok")
 
@@ -86,7 +92,7 @@ def reference_seq(rows: DataFrame, corpus: DataFrame, *, ref_col: str = "referen
     exact = refs.join(texts, F.col("_t").contains(F.col("_r")), "left_semi")
     left = refs.join(exact, "_r", "left_anti").where("_r not in ('', 'unknown')")
     sentences = corpus.select(F.explode(F.split(F.lower(F.col(text_col)), r"\.")).alias("_s")).select(T.strip(F.col("_s")).alias("_s")).where("_s <> ''").distinct()
-    close = left.join(sentences, length_bound(F.col("_r"), F.col("_s"), threshold)).where(seq_ratio_column("_r", "_s") >= threshold)
+    close = _spread(left).join(F.broadcast(sentences), length_bound(F.col("_r"), F.col("_s"), threshold)).where(seq_ratio_column("_r", "_s") >= threshold)
     good = exact.select("_r").unionByName(close.select("_r")).distinct().withColumn("_ok", F.lit(True))
     key = F.lower(T.strip(F.coalesce(F.col(ref_col), F.lit(""))))
     return rows.withColumn("_k", key).join(good, F.col("_k") == F.col("_r"), "left").withColumn("verified", F.coalesce("_ok", F.col("_k").isin("", "unknown"))).drop("_k", "_r", "_ok")
