@@ -77,8 +77,10 @@ def score(urls: DataFrame, model: DataFrame, *, key_col: str, text_col: str, ord
     """key_col and score: log-likelihood under the rejected model less that under the accepted one, a character.
 
     Keys must be unique. The model's size is bounded by the alphabet and order, and is checked
-    before it is broadcast.
+    before it is broadcast. URLs are dealt out by key before they are cut into grams, so that all
+    tasks share the work and the grams themselves aren't shuffled.
     """
+    urls = urls.repartition(int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions")), key_col)
     contexts = model.groupBy("k", "ctx").agg(*[F.max(c).alias(c) for c in ("ca", "cr", "ta", "tr")])
     contexts = broadcast_if(stored(contexts, "url-contexts"), max_broadcast)
     grams = broadcast_if(model.select("k", "ctx", "ch", "na", "nr"), max_broadcast)
