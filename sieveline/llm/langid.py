@@ -4,7 +4,7 @@ Features are character bigrams and trigrams of the lower-cased letters, hashed i
 rows of an embedding table; a text is the average of its rows, classified by a linear softmax.
 Both are trained by stochastic gradient descent in numpy on the driver, on pieces of a bounded
 sample of labelled rows (`per_lang` documents a language on average, `max_docs` in all, picked by
-a hash of the text). As the classifier is linear, the trained tables are multiplied once, and a
+a hash of the text; the 1000 most frequent languages). As the classifier is linear, the trained tables are multiplied once, and a
 text's score is the average of one row of class scores for each subword; texts of any length are
 read whole, in slices.
 
