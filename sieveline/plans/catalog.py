@@ -355,7 +355,7 @@ def _corpus(spark, d):
 
 
 def _claims(spark, d):
-    return judged(spark, d).select("ordinal", F.concat(F.regexp_extract("context", "([^.]*)\\.", 1), F.lit("")).alias("reference"), "context")
+    return judged(spark, d).select("ordinal", F.substring_index("context", ".", 1).alias("reference"), "context")
 
 
 @query()
