@@ -8,12 +8,13 @@
    given up if the posterior probability that its similarity reaches the threshold (uniform
    prior, so a beta distribution of the matches so far) is below `miss`. Survivors are confirmed
    on their full shingle sets. Links are joined to components.
-4. Buckets whose members, without pivots already compared, still lie in several components are
-   not done: a small one has its cross-component pairs compared. Members of large ones are put
-   into finer buckets, one for each of the rarest shingles of which similar sets must share one
-   (prefix filtering, exact); of those, large mixed ones give up `PIVOTS` pivots a round, each
-   compared with all members of other components. Rounds go on until no bucket is mixed, so no
-   bucket has a cap, and a dense group costs pairs in proportion to its size.
+4. Buckets whose members, without the pivot, still lie in several components are not done. A small
+   one has its cross-component pairs compared like pivots. Large ones that share members are put
+   together, so each member is there once; those outside the largest component are queries against
+   all members. Members and queries are dealt into blocks of at most about `BLOCK` each, and each
+   pair of blocks compares signatures, then full sets, in its own task; what comes out is one link
+   from a query to each other component that it reaches. So no bucket has a cap, no pairs are
+   written out, and a dense group, which its pivot has mostly joined, has few queries.
 
 Defined results: null texts and texts without words have an empty set, no links, and are kept;
 a text of fewer words than a shingle is one shingle; rows that share an id are one document with
@@ -40,7 +41,7 @@ HASHES, ROWS = 128, 4
 BATCH = 32
 MISS = 1e-6
 SMALL = 48
-PIVOTS = 64
+BLOCK = 2048
 MAX_BROADCAST = 1_000_000
 MULTIPLIERS = np.random.default_rng(20240607).integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -189,51 +190,70 @@ def components(edges: DataFrame) -> DataFrame:
         edges = following
 
 
-def _pairable(members: DataFrame, percent: int) -> DataFrame:
-    """The members of finer buckets that may still have a partner there.
-
-    The intersection with another is at most `common`, and the union holds the own shingles of both.
-    """
-    least = members.groupBy("key").agg(F.min("own").alias("least"))
-    return members.join(least, "key").where((100 - percent) * F.col("common") >= percent * (F.col("own") + F.col("least"))).drop("least")
-
-
 def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Stored rows (key, node, own, common, comp, n) of the buckets whose members lie in several components."""
-    placed = members.join(labels, "node", "left").select("key", "node", "own", "common", F.coalesce("comp", "node").alias("comp"))
+    """Stored rows (key, node, comp, n) of the buckets whose members lie in several components."""
+    placed = members.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     keys = stored(placed.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("n")).where("c1 <> c2").select("key", "n"), "mixed-keys")
     return stored(placed.join(broadcast_if(keys, MAX_BROADCAST), "key"), "mixed")
 
 
-def _prefixes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Stored members (key, node, own, common): for each node its rarest shingles, of which similar sets share one.
+def _block_links(sigs: list[bytes], sets: list[np.ndarray], comps: np.ndarray, query: np.ndarray, nodes: np.ndarray, least: dict[int, int], percent: int) -> list[tuple[int, int]]:
+    """Links (query, member) of a block, one for each query and other component."""
+    members = np.flatnonzero(~query)
+    if not len(members):
+        return []
+    tokens, codes = np.unique(np.concatenate([sets[i] for i in members]), return_inverse=True)
+    lens = np.array([len(sets[i]) for i in members])
+    starts = np.concatenate([[0], lens.cumsum()[:-1]])
+    signs = np.frombuffer(b"".join(sigs[i] for i in members), "<u4").reshape(-1, HASHES)
+    out = []
+    for q in np.flatnonzero(query):
+        alive = bayes_alive(signs, np.broadcast_to(np.frombuffer(sigs[q], "<u4"), signs.shape), least) & (comps[members] != comps[q])
+        if not alive.any():
+            continue
+        mine = np.zeros(len(tokens), bool)
+        at = np.minimum(np.searchsorted(tokens, sets[q]), len(tokens) - 1)
+        mine[at[tokens[at] == sets[q]]] = True
+        both = np.add.reduceat(mine[codes], starts, dtype=np.int64)
+        good = members[alive & (100 * both >= percent * (lens + len(sets[q]) - both))]
+        _, first = np.unique(comps[good], return_index=True)
+        out += [(int(nodes[q]), int(nodes[i])) for i in good[first]]
+    return out
 
-    nodes: node, comp. Only pairs of different components matter, so shingles that one component
-    has alone come first in the order and are no keys; own counts them, common the others.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _large(many: DataFrame, docs: DataFrame, sigs: DataFrame, least: dict[int, int], width: int, percent: int, block: int) -> DataFrame:
+    """Stored links (a, b) between components within large mixed buckets (key, node, comp)."""
+    heads = stored(many.groupBy("key").agg(F.min("node").alias("head")), "heads")
+    joined = components(many.join(broadcast_if(heads, MAX_BROADCAST), "key").select(F.col("node").alias("a"), F.col("head").alias("b")))
+    nodes = many.select("node", "comp").distinct().join(joined.withColumnRenamed("comp", "area"), "node", "left").select("node", "comp", F.coalesce("area", "node").alias("area"))
+    nodes = stored(nodes, "areas")
+    sizes = nodes.groupBy("area", "comp").agg(F.count("*").alias("m"))
+    sizes = stored(sizes.groupBy("area").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.sum("m").alias("n"), (F.sum("m") - F.max("m")).alias("q")).where("q > 0"), "area-sizes")
+    parts = lambda c: F.ceil(F.col(c) / block).cast("int")
+    placed = nodes.join(broadcast_if(sizes, MAX_BROADCAST), "area").withColumns({"n": parts("n"), "q": parts("q")})
+    mine = lambda c: F.pmod(F.xxhash64("node"), F.col(c)).cast("int")
+    all_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    members = placed.select("node", "comp", "area", F.lit(False).alias("query"), mine("n").alias("mb"), all_of("q").alias("qb"))
+    queries = placed.where("comp <> main").select("node", "comp", "area", F.lit(True).alias("query"), all_of("n").alias("mb"), mine("q").alias("qb"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_hashes(t.as_py(), width).view(np.int64) for t in batch.column(1)]
-            lens = [len(s) for s in sets]
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(sets)), lens))), pa.array(flat, pa.int64()), pa.array(np.repeat(lens, lens), pa.int64())], names=["node", "key", "size"])
-
-    nodes = broadcast_if(nodes, MAX_BROADCAST)
-    rows = stored(docs.join(nodes, "node").select("node", "text").mapInArrow(run, "node long, key long, size long"), "shingles")
-    often = rows.join(nodes, "node").groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("c1"), F.max("comp").alias("c2"))
-    often = stored(often.where("c1 <> c2").select("key", "n"), "shingle-counts")
-    ranked = rows.join(broadcast_if(often, MAX_BROADCAST), "key", "left").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "key"))).alias("s"))
-    length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    own = F.size(F.filter("s", lambda x: x["n"] == 1)).cast("long")
-    out = ranked.select("node", own.alias("own"), (F.col("size") - own).alias("common"), F.explode(F.filter(F.slice("s", F.lit(1), length.cast("int")), lambda x: x["n"] > 1)).alias("x"))
-    out = out.groupBy("x.key", "node").agg(F.min("own").alias("own"), F.max("common").alias("common"))
-    out = stored(out, "prefixes")
-    dropped(rows, often)
-    return out
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([shingle_hashes(t.as_py(), width).tobytes() for t in batch.column(2)], pa.binary())], names=["node", "sig", "hashes"])
+
+    ids = broadcast_if(nodes.select("node"), MAX_BROADCAST)
+    facts = docs.join(ids, "node").join(sigs.join(ids, "node"), "node").select("node", "sig", "text").mapInArrow(cut, "node long, sig binary, hashes binary")
+    facts = stored(facts, "dense-sets")
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        sets = [np.frombuffer(b, np.uint64) for b in table["hashes"].to_pylist()]
+        got = _block_links(table["sig"].to_pylist(), sets, table["comp"].to_numpy(), table["query"].to_numpy(zero_copy_only=False).astype(bool), table["node"].to_numpy(), least, percent)
+        return pa.table({"a": pa.array([a for a, _ in got], pa.int64()), "b": pa.array([b for _, b in got], pa.int64())})
 
+    blocks = members.unionByName(queries).join(facts, "node")
+    return stored(blocks.groupBy("area", "mb", "qb").applyInArrow(compare, "a long, b long").distinct(), "dense-links")
 
-def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, miss: float = MISS, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
+
+def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, miss: float = MISS, small: int = SMALL, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(sets: node, n_shingles, s1, s2; classes: s1, s2, comp of the sets that aren't alone)."""
     named = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     sets = document_sets(docs, id_col=id_col, text_col=text_col, width=width)
@@ -248,41 +268,18 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     members = stored(members, "members")
     dropped(bands, pivots)
     least = least_matches(percent / 100, miss)
-    links = None
     pairs = members.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    nothing = F.lit(0).cast("long")
-    members, fine, turn = members.select("key", "node", nothing.alias("own"), nothing.alias("common")), False, 0
-    while True:
-        found = _confirm(stored(_bayes(pairs, sigs, least), "alive"), named, width, percent)
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        left = _mixed(members, labels)
-        pair = F.col("x.comp") != F.col("y.comp")
-        few = left.where(F.col("n") <= small)
-        pairs = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & pair).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        many = left.where(F.col("n") > small)
-        big = many.limit(1).count() > 0
-        if not big and not left.limit(1).count():
-            break
-        members = many.select("key", "node", "own", "common")
-        if big and not fine:
-            nodes = stored(many.select("node", "comp").distinct(), "dense")
-            members, fine = stored(_pairable(_prefixes(nodes, named, width, percent), percent), "members"), True
-        elif big:
-            # the largest component of a bucket needs no pivots: once all others have been, nothing is left to compare
-            sizes = many.groupBy("key", "comp").agg(F.count("*").alias("m"))
-            most = stored(sizes.groupBy("key").agg(F.max_by("comp", "m").alias("main"), (F.sum("m") - F.max("m")).alias("minor")), "main")
-            placed = many.join(broadcast_if(most, MAX_BROADCAST), "key")
-            first = placed.where("comp <> main").groupBy("key").agg(F.min(F.struct("own", "node"))["node"].alias("first"))
-            placed = placed.join(first, "key")
-            share = F.pmod(F.xxhash64(F.lit(turn), "node"), F.lit(1 << 20)) * F.col("minor") < F.lit(PIVOTS << 20)
-            placed = stored(placed.withColumn("pivot", (F.col("comp") != F.col("main")) & (share | (F.col("node") == F.col("first")))), "placed")
-            possible = (100 - percent) * F.least("x.common", "y.common") >= percent * (F.col("x.own") + F.col("y.own"))
-            more = placed.alias("x").join(placed.where("pivot").alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") != F.col("y.node")) & pair & possible)
-            pairs = pairs.unionByName(more.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")))
-            turn += 1
-            members = stored(_pairable(placed.where("not pivot").select("key", "node", "own", "common"), percent), "members")
-        pairs = stored(pairs.distinct(), "pairs")
+    links = _confirm(stored(_bayes(pairs, sigs, least), "alive"), named, width, percent)
+    labels = components(links)
+    left = _mixed(members.select("key", "node"), labels)
+    few, many = left.where(F.col("n") <= small), left.where(F.col("n") > small)
+    across = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp"))
+    pairs = few.alias("x").join(few.alias("y"), across).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    alive = _bayes(stored(pairs.distinct(), "pairs"), sigs, least)
+    if many.limit(1).count():
+        alive = alive.unionByName(_large(many, named, sigs, least, width, percent, block)).distinct()
+    links = links.unionByName(_confirm(stored(alive, "alive"), named, width, percent))
+    labels = components(links)
     out = classes.join(labels, "node", "left").where("n > 1 or comp is not null").select("s1", "s2", F.coalesce("comp", "node").alias("comp"))
     return sets.select("node", "n_shingles", "s1", "s2"), stored(out, "linked")
 

@@ -61,12 +61,12 @@ def crowded(rng):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("small", [48, 4])
-def test_near_duplicates(spark, small):
+@pytest.mark.parametrize(("small", "block"), [(48, 2048), (4, 16)])
+def test_near_duplicates(spark, small, block):
     rows = crowded(random.Random(4))
     rows += [(200, None), (201, ""), (202, " \n"), (203, "a b"), (204, "A  b"), (205, "a b c d e f"), (207, rows[0][1]), (208, "x " * 30_000), (209, "x " * 20_000 + "\n")]
     twice = [*rows, (207, rows[0][1]), (None, "a b")]
-    got = neardup.near_duplicates(frame(spark, twice), small=small).collect()
+    got = neardup.near_duplicates(frame(spark, twice), small=small, block=block).collect()
     assert len(got) == len(twice)
     want = linked(rows)
     for r in got:
