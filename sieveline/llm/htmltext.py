@@ -3,10 +3,11 @@
 A page is read into a tree by a tolerant scanner. For each element the characters, tags, linked
 characters and link tags of its subtree give its composite density: characters for each tag,
 adjusted by a logarithm of the shares of linked and unlinked text. The sum of its children's
-densities is what an element is chosen by. Among the elements whose density reaches the threshold
-(the least density on the path from the element with the greatest sum up to the body) the one
-with the greatest sum is the main content; if it lies in an `article` or `main` element, the
-nearest of those is. Elements that name themselves boilerplate (by tag, role, class or id) are
+densities is what an element is chosen by. The threshold is the least density on the path from the
+element with the greatest sum up to the body. From the body down, each subtree whose density
+reaches it gives its element with the greatest sum, and the children of those not yet chosen are
+looked at likewise; all chosen elements are the main content. One that lies in an `article` or
+`main` element stands for the nearest of those, so there that element decides. Elements that name themselves boilerplate (by tag, role, class or id) are
 left out of the tree with all they hold.
 
 Text: character references decoded, blocks in page order, white space runs as one space.
@@ -155,8 +156,8 @@ class Tree:
         del stack[k:]
         return ended
 
-    def main(self) -> int:
-        """The element that holds the main content."""
+    def main(self) -> list[int]:
+        """The elements that hold the main content, in page order."""
         n = len(self.tag)
         chars, links, tags, link_tags = self.chars[:], self.link_chars[:], self.tags[:], self.link_tags[:]
         for i in range(n - 1, 0, -1):
@@ -174,20 +175,46 @@ class Tree:
                 density[i] = c / t * math.log(max(c / lc * t / lt, 1.0)) / math.log(max(base, 1.0) + 1.0)
             if i:
                 total[self.parent[i]] += density[i]
-        best = max(range(n), key=lambda i: (total[i], -i))
-        threshold, at = density[best], best
+        # of each subtree the element with the greatest sum, the first of equals
+        top = list(range(n))
+        for i in range(n - 1, 0, -1):
+            p = self.parent[i]
+            if (total[top[i]], -top[i]) > (total[top[p]], -top[p]):
+                top[p] = top[i]
+        at = top[0]
+        threshold = density[at]
         while at > 0:
             at = self.parent[at]
             threshold = min(threshold, density[at])
-        best = max((i for i in range(n) if density[i] >= threshold), key=lambda i: (total[i], -i))
-        at = best
-        while at > 0 and self.tag[at] not in ("article", "main"):
-            at = self.parent[at]
-        return at if at > 0 else best
-
-    def text(self, element: int) -> str:
-        end = self.end[element] or len(self.tag)
-        return " ".join("".join(t for i, t in self.texts if element <= i < end).split())
+        chosen, open_ = {top[0]}, [0]
+        while open_:
+            i = open_.pop()
+            if i and not (chars[i] and density[i] >= threshold):
+                continue
+            chosen.add(top[i])
+            if top[i] != i:
+                open_ += self.children(i)
+        # the nearest article or main element that holds each element, or 0
+        article = [0] * n
+        for i in range(1, n):
+            article[i] = i if self.tag[i] in ("article", "main") else article[self.parent[i]]
+        return sorted({article[i] or i for i in chosen})
+
+    def children(self, element: int) -> list[int]:
+        out, i = [], element + 1
+        while i < (self.end[element] or len(self.tag)):
+            if self.parent[i] == element:
+                out.append(i)
+            i = max(self.end[i], i + 1)
+        return out
+
+    def text(self, elements: list[int]) -> str:
+        """The text of the subtrees of elements, in page order."""
+        inside = bytearray(len(self.tag))
+        for e in elements:
+            end = self.end[e] or len(self.tag)
+            inside[e:end] = b"\x01" * (end - e)
+        return " ".join("".join(t if inside[i] else "\n" for i, t in self.texts).split())
 
 
 def main_text(page: str | None) -> str:

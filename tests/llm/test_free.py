@@ -314,6 +314,14 @@ def test_pages(page, want):
     assert htmltext.main_text(page) == want
 
 
+def test_pages_without_article_keep_all_sections():
+    p = "".join(f"<p>{{0}}{i} " + "some words here " * 25 + "</p>" for i in range(4))
+    a, b = p.format(*"a"), "".join(p.format(*"b").partition("<p>b2")[0])
+    both = " ".join(htmltext.re.sub("<[^>]*>", " ", a + b).split())
+    assert htmltext.main_text(f"<div><section>{a}</section><section>{b}</section></div>") == both
+    assert htmltext.main_text(f"<div><section>{b}</section><ul><li><a href=x>more</a></ul><section><div>{a}</div></section></div>") == " ".join(htmltext.re.sub("<[^>]*>", " ", b + a).split())
+
+
 def test_page_rows(spark):
     rows = [(1, "u", f"<article>{BODY}</article>"), (1, "u", f"<article>{BODY}</article>"), (2, None, None), (3, "v", "<article>" + "<div>" * 3000 + "deep" + "<p>x</p>" * 3000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
