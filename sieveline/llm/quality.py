@@ -5,7 +5,9 @@ document; all that follows works on that narrow table. For each group (language
 minimum-covariance-determinant estimate is sought by concentration steps: from a start at
 medians and quartile ranges, each step keeps the `support` share of documents that are nearest
 under the present estimate and takes mean and covariance of these. A document is rejected if
-its squared Mahalanobis distance, scaled to the chi-square median, exceeds `cutoff`.
+its squared Mahalanobis distance, scaled to the chi-square median, exceeds `cutoff`. Distances are
+never scaled up: statistics that are constant among the nearest documents add nothing to the
+median, which is then small for that reason only.
 
 Order statistics come from counts over fixed bins, which are pre-aggregated before the shuffle
 and don't depend on partitioning; a group that holds most rows therefore costs one row per bin
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import broadcast_if, let, space_words, stored
 
 WINDOW = 8
-#: Least spread of each statistic that counts as a difference (transformed units).
-FLOORS = {"x_word": 0.12, "x_symbol": 0.12, "x_lines": 0.15, "x_repeat": 0.15}
+#: Added to each standard deviation (transformed units), only so that no covariance is singular.
+FLOORS = dict.fromkeys(("x_word", "x_symbol", "x_lines", "x_repeat"), 0.01)
 DIMS = list(FLOORS)
 #: Medians of the chi-square distribution by degrees of freedom.
 CHI2_MEDIAN = {1: 0.4549, 2: 1.3863, 3: 2.3660, 4: 3.3567, 5: 4.3515}
