@@ -34,7 +34,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
 #: A start tag of the first kind ends an open element of the second kind, unless a third is met before.
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
-IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
+IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), **dict.fromkeys(("tbody", "thead", "tfoot"), ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}))}
+#: Elements whose end tag may be left out at the end of what holds them, and what may be inside an open head.
+OMITTED = frozenset("p li dt dd tr td th option tbody thead tfoot".split())
+HEAD_ONLY = frozenset("base link meta".split()) | RAW
 P_SCOPE = frozenset({"body", "html", "article", "section", "div", "td", "th", "table", "li", "button", "blockquote", "main", "aside", "header", "footer", "nav", "form", "object", "caption"})
 BOILERPLATE_TAGS = RAW | frozenset("nav menu header footer aside form button select option input dialog svg canvas audio video object embed head".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
@@ -82,6 +85,8 @@ class Tree:
             tag = m[2]
             if tag is None:
                 piece = m[0]
+                if skip == ["head"] and not piece.isspace() and not (piece[0] == "<" and len(piece) > 1):
+                    skip.clear()
                 if not skip and not (piece[0] == "<" and len(piece) > 1):
                     here = stack[-1]
                     piece = html.unescape(piece) if "&" in piece else piece
@@ -100,11 +105,16 @@ class Tree:
                 if closing and tag in skip:
                     while skip and skip.pop() != tag:
                         pass
-                elif not closing and tag not in VOID and not source.endswith("/"):
-                    if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and skip[-1] == tag:
-                        skip.pop()
-                    skip.append(tag)
-                continue
+                    continue
+                if not self._ends(tag, closing, skip, stack):
+                    if not closing:
+                        inner, bounds = self._implied(tag)
+                        if (k := self._lowest(skip, inner, bounds)) is not None:
+                            del skip[k:]
+                        if tag not in VOID and tag not in ("body", "html") and not source.endswith("/"):
+                            skip.append(tag)
+                    continue
+                skip.clear()
             if closing:
                 if tag in ("body", "html"):
                     continue
@@ -118,7 +128,7 @@ class Tree:
                 continue
             if tag in ("body", "html"):
                 continue
-            inner, bounds = ({"p"}, P_SCOPE) if tag in CLOSES_P else IMPLIED.get(tag, ((), ()))
+            inner, bounds = self._implied(tag)
             if inner:
                 for k in range(len(stack) - 1, 0, -1):
                     if self.tag[stack[k]] in inner:
@@ -148,6 +158,34 @@ class Tree:
             links += tag == "a"
         self._pop(stack, 0)
 
+    @staticmethod
+    def _implied(tag: str):
+        """Which open elements a start tag ends, and which it doesn't look beyond."""
+        return ({"p"}, P_SCOPE) if tag in CLOSES_P else IMPLIED.get(tag, ((), ()))
+
+    @staticmethod
+    def _lowest(names: list[str], inner, bounds) -> int | None:
+        """Place of the outermost of the open elements that a start tag ends; None if it ends none."""
+        found = None
+        for k in range(len(names) - 1, -1, -1):
+            if names[k] in inner:
+                found = k
+            elif names[k] in bounds:
+                break
+        return found
+
+    def _ends(self, tag: str, closing: bool, skip: list[str], stack: list[int]) -> bool:
+        """Whether a tag ends the outermost element of skip, whose own end tag is left out."""
+        first = skip[0]
+        if closing:
+            if first not in OMITTED or tag in INLINE or first in ("tr", "td", "th") and tag not in ("table", "tbody", "thead", "tfoot", "tr"):
+                return False
+            return any(self.tag[x] == tag for x in stack[1:])
+        if first == "head":
+            return len(skip) == 1 and tag not in HEAD_ONLY
+        inner, bounds = self._implied(tag)
+        return self._lowest(skip, inner, bounds) == 0
+
     def _pop(self, stack: list[int], k: int) -> int:
         """Ends all from the k-th open element on; the number of links among them."""
         for x in stack[k:]:

@@ -322,6 +322,24 @@ def test_pages_without_article_keep_all_sections():
     assert htmltext.main_text(f"<div><section>{b}</section><ul><li><a href=x>more</a></ul><section><div>{a}</div></section></div>") == " ".join(htmltext.re.sub("<[^>]*>", " ", b + a).split())
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<p class='ad'>x<p>article text<p>more", "article text more"),
+        ("<div><p class=share>x<div><p>a</p></div><p>b</p></div>", "a b"),
+        ("<ul><li class=menu>x<li>item<li class=menu>y</ul><p>after", "item after"),
+        ("<ul><li class=menu>x<ul><li>inner</ul>z<li>item</ul>", "item"),
+        ("<p class=ad>x<hr>text", "text"),
+        ("<div><p class=ad>x</div><p>after", "after"),
+        ("<table><tr class=ad><td>x<tr><td>cell</table>", "cell"),
+        ("<html><head><title>t</title><meta name=a><body><p>text", "text"),
+        ("<ul><li>a<nav><ul><li>x<li>y</ul></nav>b<li>c</ul>", "a b c"),
+    ],
+)
+def test_implied_ends_of_boilerplate(page, want):
+    assert htmltext.main_text(page) == want
+
+
 def test_page_rows(spark):
     rows = [(1, "u", f"<article>{BODY}</article>"), (1, "u", f"<article>{BODY}</article>"), (2, None, None), (3, "v", "<article>" + "<div>" * 3000 + "deep" + "<p>x</p>" * 3000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
