@@ -9,7 +9,9 @@ so it takes one task for each pair of documents (`group`).
 from __future__ import annotations
 
 import difflib
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -109,6 +111,31 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
+def _near_pairs(a: DataFrame, b: DataFrame, threshold: float, rows: int = 1024) -> DataFrame:
+    """Pairs of all rows of a (a, ea, na) with all of b, less those whose cosine is clearly not above the threshold.
+
+    Each block of a meets each block of b in one matrix product.
+    """
+
+    def blocks(df: DataFrame, s: str) -> DataFrame:
+        n = max(1, -(-df.count() // rows))
+        row = F.struct(F.col(s).alias("i"), F.col(f"e{s}").cast("array<double>").alias("e"), F.col(f"n{s}").alias("n"))
+        return df.groupBy(F.size(f"e{s}").alias("d"), F.pmod(F.xxhash64(s), F.lit(n)).alias("k")).agg(F.collect_list(row).alias(f"r{s}")).select("d", f"r{s}")
+
+    left = blocks(a, "a").withColumnRenamed("d", "da")
+    both = left.crossJoin(blocks(b, "b")).where("d = da").select("ra", "rb")
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for ra, rb in zip(batch["ra"], batch["rb"], strict=True):
+                x, y = (np.array([r["e"] for r in rr]) / np.array([r["n"] for r in rr])[:, None] for rr in (ra, rb))
+                i, j = np.nonzero(~(x @ y.T <= threshold - 1e-9))
+                yield pd.DataFrame({"a": [ra[k]["i"] for k in i], "b": [rb[k]["i"] for k in j], "ea": [ra[k]["e"] for k in i], "eb": [rb[k]["e"] for k in j], "na": [ra[k]["n"] for k in i], "nb": [rb[k]["n"] for k in j]})
+
+    kind = lambda df, s: df.schema[s].dataType.simpleString()
+    return both.mapInPandas(near, f"a {kind(a, 'a')}, b {kind(b, 'b')}, ea array<double>, eb array<double>, na double, nb double")
+
+
 def semantic(left: DataFrame, right: DataFrame, *, embedding: str = "embedding", threshold: float = 0.5, group: str | None = None) -> DataFrame:
     """Alignment by the cosine of embeddings, above the threshold. Vectors are scaled once, before pairs are formed."""
     on = [group] if group else []
@@ -116,7 +143,7 @@ def semantic(left: DataFrame, right: DataFrame, *, embedding: str = "embedding",
     mark = lambda df, s: df.select(*on, F.col("chunk_id").alias(s), F.col(embedding).alias(f"e{s}"), norm(F.col(embedding)).alias(f"n{s}")).where(F.col(f"n{s}") > 0)
     a, b = mark(left, "a"), mark(right, "b")
     dot = F.aggregate(F.zip_with("ea", "eb", lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    pairs = a.join(b, on) if on else a.join(F.broadcast(b), F.lit(True))
+    pairs = a.join(b, on) if on else _near_pairs(a, b, threshold)
     scored = pairs.select(*on, "a", "b", (dot / (F.col("na") * F.col("nb"))).alias("score")).where(F.col("score") > threshold)
     return scored.groupBy(*(on or [F.lit("all").alias("_g")])).applyInPandas(_greedy(threshold, "semantic"), MATCHED)
 

@@ -318,7 +318,7 @@ def _embedded(spark, d, odd: bool):
 
 @query()
 def join_semantic(spark, d):
-    return A.semantic(_embedded(spark, d, False), _embedded(spark, d, True), group="label")
+    return A.semantic(_embedded(spark, d, False), _embedded(spark, d, True))
 
 
 @query()
