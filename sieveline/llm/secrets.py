@@ -1,7 +1,9 @@
 """Secret scans: pattern candidates, false positives removed by a random forest.
 
-Native: DataFrame expressions and the JVM's forest only. Candidates are runs of at least 12 key
-characters with a digit, found in the parts of a text between white space. Each has features of its length, character classes
+Native: DataFrame expressions and the JVM's forest only. Candidates are, in the parts of a text
+between white space, runs of at least 12 key characters with a digit, and without any bound on
+length or characters what follows an assignment to a word that names secrets and what begins with
+a provider's prefix. Each has features of its length, character classes
 and transitions between them, usual letter pairs, share covered by dictionary words, whether it
 lies in a path, and words beside it that speak for or against a secret. The forest is trained on
 labelled findings; `labelled_findings` makes `n` by rule where a site has none of its own.
@@ -24,10 +26,24 @@ from .common import broadcast_if, let, row_key, space_words, stored
 
 VALUE = r"[A-Za-z0-9_+/-]{12,}={0,2}"
 DIGIT = "[0-9]"
+#: Ends a value behind an assignment: a closing quote, or the next assignment of a list.
+_ANY = r"((?:(?![\"'`](?:[,;:)\]}&./>]|$)|[&;,][\"']?[\w.-]+[\"']?[=:])\S)+)"
 #: Words that speak for and against a secret, and a small dictionary; fixed lists.
 FOR = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|bearer|credential|client[_-]?secret|sig(nature)?)"
 AGAINST = r"(?i)(commit|sha(1|256|512)?|md5|hash|checksum|digest|uuid|guid|version|revision|example|sample|dummy|placeholder|test|redacted|changeme|your)"
 PROVIDER = r"^(AKIA|ASIA|gh[pousr]_|glpat-|xox[abprs]-|sk-|sk_live_|rk_live_|eyJ|AIza|SG\.|npm_|pypi-)"
+PREFIXED = r"(?<![A-Za-z0-9])(?:AKIA|ASIA|gh[pousr]_|glpat-|xox[abprs]-|sk-|sk_live_|rk_live_|eyJ|AIza|SG\.|npm_|pypi-)[A-Za-z0-9_+/.-]+={0,2}"
+_NAME = FOR + r"s?(?-i:(?![a-z]))[\w-]{0,40}[\"'`]?\]?"
+_GLUE = r"(?:=>|:=|==?|:)"
+_OPEN = r"[\"'`]?"
+#: The group of the value in INSIDE.
+LAST = FOR.count("(") - FOR.count("(?") + 1
+INSIDE = _NAME + _GLUE + _OPEN + _ANY
+#: What stands before a part whose start is a value, and before one that starts with the sign of assignment.
+ASSIGNS, NAMES = _NAME + r"\s?" + _GLUE + r"$|(?:^|\s)[\"']?(?i:bearer)$", _NAME + "$"
+MAY_NAME = FOR + r"[\w-]{0,40}[\"'`]?\]?\s{0,9}[=:]|(?i:bearer)\s"
+TEMPLATE = r"^(\$\{|\$\(|\$[A-Z_]+$|\{|%|<|\[|\*+$|[A-Za-z_]+(\.[A-Za-z_]+)*[(\[])"
+PROSE = r"(?i)^(required|none|null|nil|true|false|yes|no|missing|invalid|wrong|unknown|empty|string|str|int|field|optional|the|a|an|is|are|of|and|in|on|to|for|your|my|see|this|that|it|as|not|basic|bearer|digest|oauth2?|redacted|hidden|unset|default|changeme|password|secret|token|user|admin|sk-learn|sk-ip|asian?|asia-[a-z]+)$"
 DICTIONARY = r"(?i)(password|secret|token|example|sample|test|demo|user|admin|name|file|path|home|data|index|image|page|html|http|www|com|org|net|main|lib|src|bin|usr|var|log|config|default|value|key|public|private|document|version|the|and|ing|ion|ther|that|with|change|your|here|replace|insert)"
 PAIRS = r"(?i)(th|he|in|er|an|re|on|at|en|nd|ti|es|or|te|of|ed|is|it|al|ar|st|to|nt|ng|se|ha|as|ou|io|le|ve|co|me|de|hi|ri|ro|ic|ne|ea|ra|ce|li|ch|ll|be|ma|si|om|ur)"
 
@@ -38,9 +54,30 @@ def _share(value: Column, pattern: str) -> Column:
     return (n - F.char_length(F.regexp_replace(value, pattern, ""))) / F.greatest(n, F.lit(1))
 
 
+def _whole(value: Column) -> Column:
+    """A pattern for the value where letters and digits neither precede nor follow it."""
+    return F.concat(F.lit(r"(?<![A-Za-z0-9])\Q"), F.replace(value, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?![A-Za-z0-9])"))
+
+
+def _is_run(value: Column) -> Column:
+    """Whether a value is long enough to be looked for inside words too."""
+    return value.rlike(f"^{VALUE}$") & value.rlike(DIGIT)
+
+
+def _values(part: Column, before: Column) -> Column:
+    """All candidate values of a part."""
+    trim = lambda v: F.regexp_replace(v, r"[,;.)\]}>]+$", "")
+    none = F.array().cast("array<string>")
+    runs = F.filter(F.regexp_extract_all(part, F.lit(VALUE), 0), lambda v: v.rlike(DIGIT))
+    inside = F.regexp_extract_all(part, F.lit(INSIDE), LAST)
+    behind = F.when(before.rlike(ASSIGNS), F.array(F.regexp_extract(part, "^" + _OPEN + _ANY, 1))).when(before.rlike(NAMES) & part.rlike("^" + _GLUE), F.array(F.regexp_extract(part, "^" + _GLUE + _OPEN + _ANY, 1))).otherwise(none)
+    named = F.transform(F.concat(inside, behind, F.regexp_extract_all(part, F.lit(PREFIXED), 0)), trim)
+    return F.array_distinct(F.filter(F.concat(runs, named), lambda v: v != ""))
+
+
 def features(value: Column, part: Column, before: Column, after: Column) -> dict[str, Column]:
     """Of a candidate, the part of the text that holds it, and the words before and after."""
-    head = F.substr(part, F.lit(1), F.greatest(F.instr(part, value) - 1, F.lit(0)))
+    head = F.element_at(F.split(part, _whole(value), 2), 1)
     near = F.concat_ws(" ", before, head)
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     return {
@@ -59,25 +96,32 @@ def features(value: Column, part: Column, before: Column, after: Column) -> dict
         "near_against": flag(near.rlike(AGAINST) | value.rlike("(?i)example|changeme|dummy|placeholder|xxxx|0{8}|12345678")),
         "assigned": flag(near.rlike(r"[=:]\s*[\"']?$")),
         "provider": flag(value.rlike(PROVIDER)),
+        "named": flag(near.rlike(_NAME + r"\s?" + _GLUE + r"\s?[\"'`]?$")),
+        "template": flag(value.rlike(TEMPLATE)),
+        "prose": flag(value.rlike(PROSE)),
     }
 
 
 def candidates(docs: DataFrame, *, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """A row for each candidate occurrence: `carry`, value, part, before (two parts), after, and
     start (0-based, of the value's first occurrence), length and occurrences of the value."""
-    may = lambda x: x.rlike(DIGIT) & x.rlike(VALUE)
+    may = lambda x: (x.rlike(DIGIT) & x.rlike(VALUE)) | x.rlike(PREFIXED) | x.rlike(MAY_NAME)
+    near = lambda w, i: F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1))
+    hit = lambda w, x, i: may(x) | near(w, i).rlike(ASSIGNS) | (x.rlike("^[=:]") & near(w, i).rlike(NAMES))
     hits = lambda w: F.filter(
-        F.transform(w, lambda x, i: F.when(may(x), F.struct(x.alias("part"), F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1)).alias("before"), F.get(w, i + 1).alias("after")))),
+        F.transform(w, lambda x, i: F.when(hit(w, x, i), F.struct(x.alias("part"), near(w, i).alias("before"), F.get(w, i + 1).alias("after")))),
         lambda x: x.isNotNull(),
     )
     rows = docs.select(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(carry)]).alias("_k"), F.col(text_col).alias("_text")).where(may(F.col("_text")))
     parts = rows.select("_k", "_text", F.explode(let(space_words(F.col("_text")), hits)).alias("_c"))
-    values = parts.select("_k", "_text", "_c.*", F.explode(F.filter(F.regexp_extract_all("_c.part", F.lit(VALUE), 0), lambda v: v.rlike(DIGIT))).alias("value"))
+    values = parts.select("_k", "_text", "_c.*", F.explode(_values(F.col("_c.part"), F.col("_c.before"))).alias("value"))
     size = F.char_length("value")
-    times = ((F.char_length("_text") - F.char_length(F.replace(F.col("_text"), F.col("value"), F.lit("")))) / size).cast("long")
+    run = _is_run(F.col("value"))
+    times = F.when(~run, F.regexp_count("_text", _whole(F.col("value")))).otherwise((F.char_length("_text") - F.char_length(F.replace(F.col("_text"), F.col("value"), F.lit("")))) / size).cast("long")
+    first = F.when(run, F.instr(F.col("_text"), F.col("value")) - 1).otherwise(F.char_length(F.element_at(F.split("_text", _whole(F.col("value")), 2), 1)))
     return values.select(
         *[F.col(f"_k.k{i}").alias(c) for i, c in enumerate(carry)],
-        "value", "part", "before", "after", (F.instr(F.col("_text"), F.col("value")) - 1).cast("long").alias("start"), size.cast("long").alias("length"), times.alias("occurrences"),
+        "value", "part", "before", "after", first.cast("long").alias("start"), size.cast("long").alias("length"), times.alias("occurrences"),
     )
 
 
@@ -110,6 +154,21 @@ def labelled_findings(spark: SparkSession, n: int = 6000, seed: int = 11) -> Dat
         (F.concat(some(25, 2000, 2030), F.lit("-0"), some(26, 1, 9), F.lit("-1"), some(27, 0, 9), F.lit("T0"), some(28, 1, 9)), pick(29, ["date", "at", "on"]), F.lit(" "), 0),
         (F.concat(some(30, 100000, 999999), some(31, 100000, 999999)), pick(32, ["number", "phone", "order", "invoice"]), pick(33, [" ", ": "]), 0),
     ]
+    letters = F.translate(F.substr(b64, F.lit(1), some(34, 8, 24)), "0123456789/", "qwzxkvjpbgM")
+    signs = F.translate(F.substr(b64, F.lit(1), some(35, 8, 20)), "aeinrtAEO/", "!#$@^*!%&?")
+    phrase = F.concat_ws("-", pick(36, ["correct", "purple", "seven", "quiet", "lamp"]), pick(37, ["horse", "tiger", "window", "apple"]), pick(38, ["battery", "cloud", "forest"]), pick(39, ["staple", "anchor", "violin"]))
+    leet = F.concat(pick(40, ["Tr0ub4", "Hunt3r", "Dr4g0n", "Sunny", "p4ssw", "Qwert"]), F.translate(F.substr(h(1), F.lit(1), some(41, 2, 5)), "abc", "xRk"))
+    kinds += [
+        (F.substr(F.translate(b64, "/", "k"), F.lit(1), some(42, 6, 11)), name, glue, 1),
+        (signs, name, glue, 1),
+        (letters, name, glue, 1),
+        (phrase, pick(43, ["passphrase", "password", "secret"]), glue, 1),
+        (leet, name, glue, 1),
+        (F.concat(F.lit("AKIA"), F.translate(F.substr(upper, F.lit(1), F.lit(16)), "23456789", "QRSTUVWX")), F.lit(""), F.lit(""), 1),
+        (pick(44, ["required", "none", "null", "true", "false", "missing", "the", "your", "invalid", "a", "is", "string", "redacted"]), name, glue, 0),
+        (pick(45, ["${SECRET}", "os.environ[", "getToken(", "%s", "{{", "$TOKEN", "<token", "*****", "config.get("]), name, glue, 0),
+        (pick(46, ["ASIAN", "sk-learn", "ASIA-pacific", "sk-ip"]), F.lit(""), F.lit(""), 0),
+    ]
     made = F.array(*[F.struct(v.cast("string").alias("value"), F.concat(a, g).alias("head"), F.lit(y).alias("label")) for v, a, g, y in kinds])
     rows = rows.select("id", text.alias("_t"), F.element_at(made, (F.pmod("id", F.lit(len(kinds))) + 1).cast("int")).alias("_m")).select("id", "_t", "_m.*")
     # what stands directly before the value belongs to its part, the rest to the words before
@@ -147,5 +206,5 @@ def redact(docs: DataFrame, model: RandomForestClassificationModel, *, id_col: s
     values = stored(found.groupBy("_id", "_th").agg(F.collect_set("value").alias("_values")), "secrets")
     longest = F.array_sort("_values", lambda a, b: F.char_length(b) - F.char_length(a))
     joined = rows.join(broadcast_if(values, 1_000_000), ["_id", "_th"], "left")
-    text = F.when(F.col("_values").isNull(), F.col("_t")).otherwise(F.aggregate(longest, F.col("_t"), lambda t, v: F.replace(t, v, F.lit(mask))))
+    text = F.when(F.col("_values").isNull(), F.col("_t")).otherwise(F.aggregate(longest, F.col("_t"), lambda t, v: F.when(_is_run(v), F.replace(t, v, F.lit(mask))).otherwise(F.regexp_replace(t, _whole(v), F.lit(mask)))))
     return joined.withColumn("_t", text).select(*[F.col("_t").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in names])
