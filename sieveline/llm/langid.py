@@ -3,8 +3,8 @@
 Features are character bigrams and trigrams of the lower-cased letters, hashed into `BUCKETS`
 rows of an embedding table; a text is the average of its rows, classified by a linear softmax.
 Both are trained by stochastic gradient descent in numpy on the driver, on pieces of a bounded
-sample of labelled rows (`per_lang` documents a language on average, `max_docs` in all, picked by
-a hash of the text; the 1000 most frequent languages). As the classifier is linear, the trained tables are multiplied once, and a
+sample of labelled rows (`per_lang` documents a language on average, and at most an equal share of
+`max_docs`, picked by a hash of the text; the 1000 most frequent languages, others are never predicted). As the classifier is linear, the trained tables are multiplied once, and a
 text's score is the average of one row of class scores for each subword; texts of any length are
 read whole, in slices.
 
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 15
@@ -139,7 +139,9 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", pe
     share = known.groupBy("lang").agg((per_lang / F.count("*")).alias("share"))
     at = F.pmod(F.xxhash64(F.lit(7), "text"), F.lit(1 << 30))
     sample = known.join(F.broadcast(share.orderBy("share").limit(1000)), "lang").withColumn("at", at).where(F.col("at") < F.col("share") * (1 << 30))
-    rows = sample.orderBy("at", "lang", "text").limit(max_docs).select("text", "lang").collect()
+    quota = max(1, max_docs // max(1, min(1000, share.count())))
+    ranked = sample.withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy("at", "text"))).where(F.col("_r") <= quota)
+    rows = ranked.orderBy("at", "lang", "text").select("text", "lang").collect()
     return fit([(r["text"], r["lang"]) for r in rows], **options)
 
 

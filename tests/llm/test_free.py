@@ -269,6 +269,13 @@ def test_language_on_held_out_rows(spark, sf_dir):
     assert sum(right) >= 0.95 * len(right)
 
 
+def test_rare_languages_keep_their_share_of_the_sample(spark, monkeypatch):
+    rows = [(f"text {y} number {i}", f"l{y:02}") for y in range(13) for i in range(400)] + [(f"rare words {i}", "zz") for i in range(20)]
+    monkeypatch.setattr(langid, "fit", lambda got, **_: Counter(y for _, y in got))
+    got = langid.train(spark.createDataFrame(rows, "text string, lang string"), per_lang=50, max_docs=280)
+    assert got["zz"] == 20 and len(got) == 14 and max(got.values()) <= 20
+
+
 def test_language_of_odd_rows(spark):
     rows = [("the cat and the dog " * 5, "en"), ("le chat et la souris " * 5, "fr")] * 12
     model = langid.fit(rows, epochs=20)
