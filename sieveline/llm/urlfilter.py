@@ -10,8 +10,10 @@ is blocked if that is above the calibrated threshold.
 Training URLs are those on which the rules decide. The threshold is the one with the least mean
 of both error rates on them, taken from counts of scores in fixed bins.
 
-Defined results: a null URL or one without `://` has an empty host and path; no rule fits it and
-its score is 0. Repeated rows are judged alike. Without training URLs of both kinds every URL
+The models read the whole URL; host and path are for the rules only.
+
+Defined results: a null URL or one without `://` has an empty host and path, and no rule fits it; a
+null or empty URL scores 0 and is allowed. Repeated rows are judged alike. Without training URLs of both kinds every URL
 scores 0 and is allowed. Extra columns are ignored.
 """
 
@@ -119,9 +121,8 @@ def judge_urls(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url
     """id_col, host, path, rule, verdict and score for each row of pages."""
     host, path = url_parts(F.col(url_col))
     rules = DEFAULT_RULES if rules is None else rules
-    parts = pages.select(F.col(id_col), host.alias("host"), path.alias("path")).withColumn("_rule", match_rule(F.col("host"), F.col("path"), rules))
-    parts = parts.select(id_col, "host", "path", "_rule.rule", F.col("_rule.verdict").alias("_ruled"))
-    parts = stored(parts.withColumn("_text", F.concat("host", "path")), "url-parts")
+    parts = pages.select(F.col(id_col), host.alias("host"), path.alias("path"), F.coalesce(F.col(url_col), F.lit("")).alias("_text")).withColumn("_rule", match_rule(F.col("host"), F.col("path"), rules))
+    parts = stored(parts.select(id_col, "host", "path", "_rule.rule", F.col("_rule.verdict").alias("_ruled"), "_text"), "url-parts")
     # each distinct text is scored once, however many rows repeat it
     texts = stored(parts.groupBy("_text").agg(F.max("_ruled").alias("_ruled"), F.count("*").alias("_n")), "url-texts")
     known = texts.where("_ruled is not null").select("_text", (F.col("_ruled") == "block").alias("_y"))

@@ -245,3 +245,14 @@ def test_url_scores(spark):
     for (t,) in texts:
         assert got[t] == pytest.approx(score_by_hand(known, t))
     assert got["ads.com/track/9"] > 0 > got["news.net/story/d"]
+
+
+def test_whole_urls_are_scored(spark):
+    """URLs that differ only in the query, or have no ://, get different scores."""
+    known = [f"http://a{i}.com/en/{i}?track=click{i}" for i in range(30)] + [f"http://a{i}.net/de/{i}?story=read{i}" for i in range(30)]
+    urls = [*known, "http://x.info/p?track=click7", "http://x.info/p?story=read7", "track=click9", "story=read9", None]
+    rows = urlfilter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()
+    got = {urls[r["page_id"]]: (r["score"], r["verdict"]) for r in rows}
+    assert got["http://x.info/p?track=click7"][0] > got["http://x.info/p?story=read7"][0]
+    assert got["track=click9"][0] > 0 and got["track=click9"][0] > got["story=read9"][0] != 0
+    assert got[None] == (0.0, "allow")
