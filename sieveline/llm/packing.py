@@ -2,10 +2,15 @@
 
 A document's ids are encoded once and cut into full windows and a remainder. Each remainder goes,
 as it arrives, to the fill level that minimises the sum of squared counts of partially filled
-windows (a new window is level 0); the counts stand in an array by level. Each task packs its own
-part of the table, so no ids are shuffled. A window's pieces are kept back until it is full. What
-is still open at the end of a part is laid end to end, cut at the window length, and its last
-window is cut into powers of two, which need no padding; so a part has no padding at all.
+windows (a new window is level 0); the counts stand in an array by level. When more than `OPEN`
+windows are open, the next document's first ids fill the fullest one, so that a task keeps few.
+
+First pass: each task packs its part of the table, without a shuffle. What it completes is final.
+Second pass: the pieces of windows still open, of `FAN` tasks each, meet in one task and are packed
+alike, in a fixed order. A task leaves at most `OPEN` windows, however many rows it had, so a
+second task reads a bounded amount. What is open after that is laid end to end
+and cut at the window length, its last window into powers of two, which need no padding. The
+column `how` tells by which of the three ("first", "second", "rest") a sequence came about.
 
 Encoding: if the tokenizer drops white space and never joins over it, as the default one, the ids
 of a text are those of its parts between spaces and line feeds, which are cached for each worker
@@ -26,14 +31,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from .common import slim, stored
 from .tokencount import byte_signs
 
 SEQUENCE = 2048
 END_ID = 1
-CACHED = 1_000_000
+OPEN = 64
+FAN = 64
+CACHED = 100_000
 LONGEST_CACHED = 64
-SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, how string"
+TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
+#: Sequence ids of the second pass begin here.
+SECOND = 1 << 62
 
 
 def default_tokenizer() -> str:
@@ -86,12 +99,14 @@ def encoder(path: str, split: bool) -> Encoder:
 
 
 class Packer:
-    """Online packing of one part of the table. Rows: (doc_id, start, length, ids, doc_tokens, sequence_id, offset)."""
+    """Online packing. A piece is (doc_id, start, ids, doc_tokens); rows are those of SCHEMA."""
 
-    def __init__(self, size: int, first_id: int = 0):
-        self.size, self.next_id = size, first_id
+    def __init__(self, size: int, first_id: int = 0, how: str = "first", most: int = OPEN):
+        self.size, self.next_id, self.how, self.most = size, first_id, how, most
         self.counts = np.zeros(size + 1, np.int64)
         self.open: dict[int, list[list[tuple]]] = {}
+        self.n_open = 0
+        self.short: list | None = None  # the window that the next document fills: [tokens, pieces]
 
     def level(self, n: int) -> int:
         """The fill level at which n more tokens least raise the sum of squares; the fuller one of equals."""
@@ -102,33 +117,66 @@ class Packer:
         rise[0] = cost[n]
         return len(rise) - 1 - int(np.argmin(rise[::-1]))
 
-    def emit(self, pieces: list[tuple]) -> Iterator[tuple]:
+    def emit(self, pieces: list[tuple], how: str | None = None) -> Iterator[tuple]:
         at = 0
         for doc, start, ids, total in pieces:
             n = len(ids) // 4
-            yield doc, start, n, ids, total, self.next_id, at
+            yield doc, start, n, ids, total, self.next_id, at, how or self.how
             at += n
         self.next_id += 1
 
-    def add(self, doc, ids: bytes) -> Iterator[tuple]:
-        total = len(ids) // 4
-        full = total // self.size * self.size
-        for start in range(0, full, self.size):
-            yield from self.emit([(doc, start, ids[4 * start : 4 * (start + self.size)], total)])
-        if n := total - full:
+    def add(self, doc, ids: bytes, start: int = 0, total: int | None = None) -> Iterator[tuple]:
+        """Packs the ids of a document, or of a part of it that begins at `start`."""
+        total = len(ids) // 4 if total is None else total
+        if self.short:
+            cut = ids[: 4 * (self.size - self.short[0])]
+            self.short[0] += len(cut) // 4
+            self.short[1].append((doc, start, cut, total))
+            ids, start = ids[len(cut) :], start + len(cut) // 4
+            if self.short[0] == self.size:
+                yield from self.emit(self.short[1])
+                self.short = None
+        while len(ids) >= 4 * self.size:
+            yield from self.emit([(doc, start, ids[: 4 * self.size], total)])
+            ids, start = ids[4 * self.size :], start + self.size
+        if ids:
+            n = len(ids) // 4
             at = self.level(n)
-            pieces = self.open[at].pop() if at else []
-            self.counts[at] -= at > 0
-            pieces.append((doc, full, ids[4 * full :], total))
+            pieces = self._take(at) if at else []
+            pieces.append((doc, start, ids, total))
             if at + n == self.size:
                 yield from self.emit(pieces)
-            else:
-                self.open.setdefault(at + n, []).append(pieces)
-                self.counts[at + n] += 1
+                return
+            self.open.setdefault(at + n, []).append(pieces)
+            self.counts[at + n] += 1
+            self.n_open += 1
+            if self.n_open > self.most:
+                top = int(np.flatnonzero(self.counts)[-1])
+                self.short = [top, self._take(top)]
+
+    def _take(self, level: int) -> list[tuple]:
+        """The pieces of an open window of this level, which it gives up."""
+        self.counts[level] -= 1
+        self.n_open -= 1
+        return self.open[level].pop()
+
+    def rest(self) -> list[list[tuple]]:
+        """The open windows, fullest first, which it gives up."""
+        if self.short:
+            self.open.setdefault(self.short[0], []).append(self.short[1])
+        out = [pieces for at in sorted(self.open, reverse=True) for pieces in self.open[at]]
+        self.open, self.short, self.n_open = {}, None, 0
+        self.counts[:] = 0
+        return out
+
+    def carry(self) -> Iterator[tuple]:
+        """The pieces of the open windows, for the second pass."""
+        for pieces in self.rest():
+            yield from self.emit(pieces, "open")
 
     def close(self) -> Iterator[tuple]:
         """Lays the open windows end to end, fullest first, and cuts them anew."""
-        rest = [p for at in sorted(self.open, reverse=True) for pieces in self.open[at] for p in pieces]
+        rest = [p for pieces in self.rest() for p in pieces]
         left = sum(len(p[2]) // 4 for p in rest)
         window: list[tuple] = []
         room = size = self._next_size(left)
@@ -138,41 +186,67 @@ class Packer:
                 window.append((doc, start, cut, total))
                 ids, start, room = ids[len(cut) :], start + len(cut) // 4, room - len(cut) // 4
                 if not room:
-                    yield from self.emit(window)
+                    yield from self.emit(window, "rest")
                     window, left = [], left - size
                     room = size = self._next_size(left)
-        self.open.clear()
-        self.counts[:] = 0
 
     def _next_size(self, left: int) -> int:
         return self.size if left >= self.size else 1 << max(left.bit_length() - 1, 0)
 
 
-def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE, tokenizer: str | None = None, split: bool = True, end_id: int = END_ID) -> DataFrame:
+def _batches(rows: Iterator[tuple], most: int = 2000) -> Iterator[pa.RecordBatch]:
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) >= most:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), TYPES, strict=True)], names=NAMES)
+            held.clear()
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), TYPES, strict=True)], names=NAMES)
+
+
+def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE, tokenizer: str | None = None, split: bool = True, end_id: int = END_ID, fan: int = FAN) -> DataFrame:
     """Pieces of packed sequences: doc_id, start, length, ids (little-endian unsigned 32-bit),
-    doc_tokens, sequence_id, offset. size should be a power of two."""
+    doc_tokens, sequence_id, offset, how. size should be a power of two.
+
+    The first pass is written to the shared folder, open windows apart, so that texts are encoded
+    once and the second pass reads open windows only.
+    """
     path = tokenizer or default_tokenizer()
     end = np.array([end_id], "<u4").tobytes()
-    names = [x.split()[0] for x in SCHEMA.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @slim
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, split)
         packer = Packer(size, TaskContext.get().partitionId() << 32)
-        rows: list[tuple] = []
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
-            rows.clear()
-            return out
-
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                rows.extend(packer.add(doc, enc.encode(text.as_py() or "") + end))
-                if len(rows) >= 2000:
-                    yield flush()
-        rows.extend(packer.close())
-        if rows:
-            yield flush()
-
-    return docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text").mapInArrow(run, SCHEMA)
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    yield from packer.add(doc, enc.encode(text.as_py() or "") + end)
+            yield from packer.carry()
+
+        return _batches(rows())
+
+    @slim
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = Packer(size, SECOND | TaskContext.get().partitionId() << 32, "second")
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for doc, start, _, ids, total, *_ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    yield from packer.add(doc, ids, start, total)
+            yield from packer.close()
+
+        return _batches(rows())
+
+    packed = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text").mapInArrow(first, SCHEMA)
+    packed = stored(packed, "packed", by="how")
+    left = packed.where("how = 'open'")
+    group = F.floor(F.shiftright("sequence_id", 32) / fan)
+    most = left.agg(F.max(group)).first()[0]
+    done = packed.where("how = 'first'").select(*NAMES)
+    if most is None:
+        return done
+    again = left.repartition(most + 1, group).sortWithinPartitions("sequence_id", "offset").select(*NAMES)
+    return done.unionByName(again.mapInArrow(second, SCHEMA))

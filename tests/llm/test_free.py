@@ -200,9 +200,28 @@ def test_packing_round_trip(spark, tokenizer):
     assert packing.pack(frame(spark, [])).count() == 0
 
 
+def test_most_tokens_are_packed_by_least_squares(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.1')}/documents.parquet").repartition(32)
+    n = {r["how"]: r["n"] for r in packing.pack(docs).groupBy("how").agg(F.sum("length").alias("n")).collect()}
+    assert n["rest"] < 0.05 * sum(n.values())
+
+
+def test_open_windows_are_few():
+    rng = random.Random(2)
+    p, out = packing.Packer(64, most=5), []
+    for d in range(500):
+        out += p.add(d, b"\0" * 4 * rng.randint(1, 200))
+        assert p.n_open == p.counts.sum() <= 5
+    out += p.close()
+    for d in range(500):
+        mine = sorted((r[1], r[2], r[4]) for r in out if r[0] == d)
+        assert sum(n for _, n, _ in mine) == mine[0][2] and all(a + n == b for (a, n, _), (b, *_) in zip(mine, mine[1:]))
+    assert packing.Packer(64).rest() == p.rest() == []
+
+
 def test_level_has_least_squares():
     rng = random.Random(9)
-    p = packing.Packer(16)
+    p = packing.Packer(16, most=10**6)
     for _ in range(400):
         n, counts = rng.randint(1, 15), p.counts.copy()
 
