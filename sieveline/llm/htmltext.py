@@ -27,6 +27,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import slim
+
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|[^<]+|<""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"']+))?""")
 RAW = frozenset({"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noembed"})
@@ -267,6 +269,7 @@ def extract(pages: DataFrame, *, html_col: str = "html", carry: tuple[str, ...]
     """The `carry` columns with text and n_chars (code points) of each row."""
     rows = pages.select(*carry, html_col)
 
+    @slim
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [main_text(x.as_py()) for x in batch.column(len(carry))]

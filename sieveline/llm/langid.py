@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import slim
+
 BUCKETS = 1 << 15
 DIM = 8
 SLICE = 1 << 17
@@ -151,6 +153,7 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text", carry: li
     names = rows.columns[:-1]
     there = docs.sparkSession.sparkContext.broadcast(model)  # bounded: buckets x languages
 
+    @slim
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = there.value
         for batch in batches:

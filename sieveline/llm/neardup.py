@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if, dropped, stored
+from .common import broadcast_if, dropped, release, slim, stored
 
 WIDTH = 5
 PERCENT = 75
@@ -42,7 +42,8 @@ BATCH = 32
 MISS = 1e-6
 SMALL = 48
 BLOCK = 2048
-MAX_BROADCAST = 1_000_000
+#: Most shingles in a block, about, and in the sets that a task keeps for its next pairs.
+HEAVY, KEPT = 2_000_000, 200_000
 MULTIPLIERS = np.random.default_rng(20240607).integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -115,6 +116,7 @@ def bayes_alive(a: np.ndarray, b: np.ndarray, least: dict[int, int]) -> np.ndarr
 def document_sets(docs: DataFrame, *, id_col: str, text_col: str, width: int) -> DataFrame:
     """Stored table: node (the id), n_shingles, s1, s2 (hash of the set), sig."""
 
+    @slim
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, s1, s2, sig = [], [], [], []
@@ -131,6 +133,7 @@ def document_sets(docs: DataFrame, *, id_col: str, text_col: str, width: int) ->
 
 
 def _bayes(pairs: DataFrame, sigs: DataFrame, least: dict[int, int]) -> DataFrame:
+    @slim
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -145,15 +148,20 @@ def _bayes(pairs: DataFrame, sigs: DataFrame, least: dict[int, int]) -> DataFram
 def _confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets reach the threshold."""
 
+    @slim
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[tuple, set] = {}
+        held = 0
 
         def of(node, text) -> set:
+            nonlocal held
             key = (node, hash(text), len(text))
             if key not in kept:
-                if len(kept) >= 64:
+                if held >= KEPT:
                     kept.clear()
+                    held = 0
                 kept[key] = shingle_set(text, width)
+                held += len(kept[key])
             return kept[key]
 
         for batch in batches:
@@ -165,7 +173,7 @@ def _confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
             yield pa.RecordBatch.from_arrays(list(batch.columns[:2]), names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-ids")
-    texts = stored(docs.join(broadcast_if(ids, MAX_BROADCAST), "node"), "near-texts")
+    texts = stored(docs.join(broadcast_if(ids), "node"), "near-texts")
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     out = stored(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct(), "links")
@@ -194,7 +202,7 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Stored rows (key, node, comp, n) of the buckets whose members lie in several components."""
     placed = members.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     keys = stored(placed.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("n")).where("c1 <> c2").select("key", "n"), "mixed-keys")
-    return stored(placed.join(broadcast_if(keys, MAX_BROADCAST), "key"), "mixed")
+    return stored(placed.join(broadcast_if(keys), "key"), "mixed")
 
 
 def _block_links(sigs: list[bytes], sets: list[np.ndarray], comps: np.ndarray, query: np.ndarray, nodes: np.ndarray, least: dict[int, int], percent: int) -> list[tuple[int, int]]:
@@ -224,29 +232,33 @@ def _block_links(sigs: list[bytes], sets: list[np.ndarray], comps: np.ndarray, q
 def _large(many: DataFrame, docs: DataFrame, sigs: DataFrame, least: dict[int, int], width: int, percent: int, block: int) -> DataFrame:
     """Stored links (a, b) between components within large mixed buckets (key, node, comp)."""
     heads = stored(many.groupBy("key").agg(F.min("node").alias("head")), "heads")
-    joined = components(many.join(broadcast_if(heads, MAX_BROADCAST), "key").select(F.col("node").alias("a"), F.col("head").alias("b")))
+    joined = components(many.join(broadcast_if(heads), "key").select(F.col("node").alias("a"), F.col("head").alias("b")))
     nodes = many.select("node", "comp").distinct().join(joined.withColumnRenamed("comp", "area"), "node", "left").select("node", "comp", F.coalesce("area", "node").alias("area"))
-    nodes = stored(nodes, "areas")
-    sizes = nodes.groupBy("area", "comp").agg(F.count("*").alias("m"))
-    sizes = stored(sizes.groupBy("area").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.sum("m").alias("n"), (F.sum("m") - F.max("m")).alias("q")).where("q > 0"), "area-sizes")
-    parts = lambda c: F.ceil(F.col(c) / block).cast("int")
-    placed = nodes.join(broadcast_if(sizes, MAX_BROADCAST), "area").withColumns({"n": parts("n"), "q": parts("q")})
+    nodes = stored(nodes.join(sigs.select("node", "n_shingles"), "node"), "areas")
+    # a member counts as one, or by its shingles where these are many
+    weight = F.greatest(F.lit(1.0), F.col("n_shingles") * (block / HEAVY))
+    sizes = nodes.groupBy("area", "comp").agg(F.sum(weight).alias("m"))
+    sizes = stored(sizes.groupBy("area").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.sum("m").alias("n"), (F.sum("m") - F.max("m")).alias("q"), F.count("*").alias("k")).where("k > 1").drop("k"), "area-sizes")
+    parts = lambda c: F.ceil(F.greatest(F.col(c), F.lit(1.0)) / block).cast("int")
+    placed = nodes.join(broadcast_if(sizes), "area").withColumns({"n": parts("n"), "q": parts("q")})
     mine = lambda c: F.pmod(F.xxhash64("node"), F.col(c)).cast("int")
     all_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     members = placed.select("node", "comp", "area", F.lit(False).alias("query"), mine("n").alias("mb"), all_of("q").alias("qb"))
     queries = placed.where("comp <> main").select("node", "comp", "area", F.lit(True).alias("query"), all_of("n").alias("mb"), mine("q").alias("qb"))
 
+    @slim
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([shingle_hashes(t.as_py(), width).tobytes() for t in batch.column(2)], pa.binary())], names=["node", "sig", "hashes"])
 
-    ids = broadcast_if(nodes.select("node"), MAX_BROADCAST)
+    ids = broadcast_if(nodes.select("node"))
     facts = docs.join(ids, "node").join(sigs.join(ids, "node"), "node").select("node", "sig", "text").mapInArrow(cut, "node long, sig binary, hashes binary")
     facts = stored(facts, "dense-sets")
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
         sets = [np.frombuffer(b, np.uint64) for b in table["hashes"].to_pylist()]
         got = _block_links(table["sig"].to_pylist(), sets, table["comp"].to_numpy(), table["query"].to_numpy(zero_copy_only=False).astype(bool), table["node"].to_numpy(), least, percent)
+        release()
         return pa.table({"a": pa.array([a for a, _ in got], pa.int64()), "b": pa.array([b for _, b in got], pa.int64())})
 
     blocks = members.unionByName(queries).join(facts, "node")
@@ -257,14 +269,14 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """(sets: node, n_shingles, s1, s2; classes: s1, s2, comp of the sets that aren't alone)."""
     named = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     sets = document_sets(docs, id_col=id_col, text_col=text_col, width=width)
-    classes = sets.where("n_shingles > 0 and node is not null").groupBy("s1", "s2").agg(F.min("node").alias("node"), F.count("*").alias("n"), F.first("sig").alias("sig"))
+    classes = sets.where("n_shingles > 0 and node is not null").groupBy("s1", "s2").agg(F.min("node").alias("node"), F.count("*").alias("n"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))
     classes = stored(classes, "classes")
-    sigs = classes.select("node", "sig")
+    sigs = classes.select("node", "sig", "n_shingles")
     band = F.xxhash64("_b", F.substring("sig", 1, 4 * ROWS))
     bands = classes.select("node", F.posexplode(F.array(*[F.substring("sig", 1 + 4 * ROWS * k, 4 * ROWS) for k in range(HASHES // ROWS)])).alias("_b", "sig")).select(band.alias("key"), "node").distinct()
     bands = stored(bands, "bands")
     pivots = stored(bands.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n"), "pivots")
-    members = bands.join(broadcast_if(pivots, MAX_BROADCAST), "key").where("node <> pivot")
+    members = bands.join(broadcast_if(pivots), "key").where("node <> pivot")
     members = stored(members, "members")
     dropped(bands, pivots)
     least = least_matches(percent / 100, miss)
@@ -287,7 +299,7 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """id_col, n_shingles, component_id (smallest id reachable) and kept for each row of docs."""
     sets, linked = link_components(docs, id_col=id_col, text_col=text_col, **options)
-    out = sets.join(broadcast_if(linked, MAX_BROADCAST), ["s1", "s2"], "left")
+    out = sets.join(broadcast_if(linked), ["s1", "s2"], "left")
     comp = F.when(F.col("n_shingles") > 0, F.coalesce("comp", "node")).otherwise(F.col("node"))
     out = out.select("node", "n_shingles", comp.alias("component_id")).withColumn("component_id", F.when(F.col("node").isNotNull(), F.col("component_id")))
     return out.select(F.col("node").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("node") == F.col("component_id"), F.lit(True)).alias("kept"))
@@ -296,4 +308,4 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of docs that are kept, with all columns: one document of each component."""
     gone = stored(near_duplicates(docs, id_col=id_col, text_col=text_col, **options).where(~F.col("kept")).select(F.col(id_col).cast("long").alias("_gone")).distinct(), "gone")
-    return docs.join(broadcast_if(gone, 5_000_000), F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(broadcast_if(gone), F.col(id_col).cast("long") == F.col("_gone"), "left_anti")

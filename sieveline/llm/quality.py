@@ -202,7 +202,7 @@ def judge(
     level = sizes.select("_src", F.when(F.col("_ns") >= min_group, F.col("_src")).when(F.col("_nl") >= min_group, F.col("_lang")).otherwise(F.lit("all")).alias("_g"), "_lang")
     by_lang = level.groupBy("_lang").agg(F.max(F.col("_g") == F.col("_lang")).alias("_need_l"))
     any_all = bool(level.where("_g = 'all'").limit(1).count())
-    need = broadcast_if(stored(level.join(by_lang, "_lang").select("_src", "_g", "_need_l"), "quality-levels"), 50_000)
+    need = broadcast_if(stored(level.join(by_lang, "_lang").select("_src", "_g", "_need_l"), "quality-levels"))
     spread = passing.join(need, "_src").select(
         F.explode(
             F.array_compact(
@@ -215,7 +215,7 @@ def judge(
         ).alias("_g"),
         *DIMS,
     )
-    params = broadcast_if(estimates(spread, support=support, steps=steps), 50_000)
+    params = broadcast_if(estimates(spread, support=support, steps=steps))
     mine = facts.join(need.select("_src", "_g"), "_src", "left")
     out = _distance(mine.join(params, "_g", "left")).withColumn("distance", F.col("_d2") / F.col("c"))
     return out.select(*carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", (~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff)).alias("kept"))

@@ -205,6 +205,6 @@ def redact(docs: DataFrame, model: RandomForestClassificationModel, *, id_col: s
     found = scan(rows, model, text_col="_t", carry=("_id", "_th"), threshold=threshold).where("is_secret")
     values = stored(found.groupBy("_id", "_th").agg(F.collect_set("value").alias("_values")), "secrets")
     longest = F.array_sort("_values", lambda a, b: F.char_length(b) - F.char_length(a))
-    joined = rows.join(broadcast_if(values, 1_000_000), ["_id", "_th"], "left")
+    joined = rows.join(broadcast_if(values), ["_id", "_th"], "left")
     text = F.when(F.col("_values").isNull(), F.col("_t")).otherwise(F.aggregate(longest, F.col("_t"), lambda t, v: F.when(_is_run(v), F.replace(t, v, F.lit(mask))).otherwise(F.regexp_replace(t, _whole(v), F.lit(mask)))))
     return joined.withColumn("_t", text).select(*[F.col("_t").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in names])

@@ -34,12 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, broadcast_if, dropped, stored
+from .common import NULL_ID, broadcast_if, dropped, release, slim, stored
 
 LENGTH = 400
 SLICE = 1 << 16
 BASE = np.uint64(0x9E3779B97F4A7C15 | 5)
-MAX_BROADCAST = 1_000_000
 RUN_BYTES = 48 << 20
 HOT = 100_000
 
@@ -228,6 +227,7 @@ def _digest(data: bytes) -> tuple[int, int]:
 def _anchor_rows(texts: DataFrame, length: int) -> DataFrame:
     names = [x.split()[0] for x in _A.split(", ")]
 
+    @slim
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols: list[list] = [[] for _ in names]
@@ -258,6 +258,7 @@ def _anchor_rows(texts: DataFrame, length: int) -> DataFrame:
 def _runs(owned: DataFrame, length: int, buckets: int) -> DataFrame:
     """Front-coded runs (bucket, run) of the contexts that texts own. owned: _t1, _t2, text, own array<f, at, lo, hi>."""
 
+    @slim
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, bytes, bytes]] = []
 
@@ -320,6 +321,7 @@ def _merged(runs: DataFrame, length: int) -> DataFrame:
         if len(cluster) > 1:
             out.extend(spans(cluster))
         cols = list(zip(*out, strict=True)) or [[], [], [], []]
+        release()
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("_t1", "_t2", "start", "end"), cols, strict=True)})
 
     return runs.groupBy("bucket").applyInArrow(merge, "_t1 long, _t2 long, start long, end long")
@@ -328,6 +330,7 @@ def _merged(runs: DataFrame, length: int) -> DataFrame:
 def _hot_spans(owned: DataFrame, length: int) -> DataFrame:
     """Spans of the same kind for contexts of hot strings: windows are compared by digest."""
 
+    @slim
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["_t1", "_t2", "start", "d1", "d2"]
         for batch in batches:
@@ -339,7 +342,7 @@ def _hot_spans(owned: DataFrame, length: int) -> DataFrame:
 
     windows = stored(owned.mapInArrow(run, "_t1 long, _t2 long, start long, d1 long, d2 long"), "windows")
     twice = stored(windows.groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "windows-twice")
-    return windows.join(broadcast_if(twice, MAX_BROADCAST), ["d1", "d2"], "left_semi").select("_t1", "_t2", "start", (F.col("start") + length).alias("end"))
+    return windows.join(broadcast_if(twice), ["d1", "d2"], "left_semi").select("_t1", "_t2", "start", (F.col("start") + length).alias("end"))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -352,17 +355,17 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     rows = _keyed(docs, id_col, text_col).where(F.octet_length("text") >= length)
     ids = F.coalesce(F.col("_doc").cast("long"), F.lit(NULL_ID))
     copied = stored(rows.groupBy("_t1", "_t2").agg(F.min(ids).alias("_first"), F.count("*").alias("n")).where("n > 1").drop("n"), "copied")
-    few = broadcast_if(copied, MAX_BROADCAST)
+    few = broadcast_if(copied)
     texts = rows.withColumn("_own", ids).join(few, ["_t1", "_t2"], "left").where("_first is null or _first = _own").select("_t1", "_t2", "text")
     records = stored(_anchor_rows(texts, length), "anchors")
-    known = broadcast_if(stored(records.groupBy("f").agg(F.count("*").alias("_n")).where("_n > 1").select("f"), "anchors-twice"), MAX_BROADCAST)
+    known = broadcast_if(stored(records.groupBy("f").agg(F.count("*").alias("_n")).where("_n > 1").select("f"), "anchors-twice"))
     records_twice = stored(records.join(known, "f", "left_semi"), "anchors-left")
     dropped(records)
     contexts = stored(records_twice.groupBy("f", "c1", "c2").agg(F.count("*").alias("n"), F.min(F.struct("_t1", "_t2", "at", "lo", "hi")).alias("o")), "contexts")
     again = stored(contexts.where("n > 1").select("c1", "c2"), "contexts-twice")
-    spans = records_twice.join(broadcast_if(again, MAX_BROADCAST), ["c1", "c2"], "left_semi").select("_t1", "_t2", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
+    spans = records_twice.join(broadcast_if(again), ["c1", "c2"], "left_semi").select("_t1", "_t2", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
     sharing = stored(contexts.groupBy("f").agg(F.count("*").alias("k")).where("k > 1"), "strings")
-    owned = contexts.join(broadcast_if(sharing, MAX_BROADCAST), "f").select("o._t1", "o._t2", F.struct("f", "o.at", "o.lo", "o.hi").alias("x"), "k")
+    owned = contexts.join(broadcast_if(sharing), "f").select("o._t1", "o._t2", F.struct("f", "o.at", "o.lo", "o.hi").alias("x"), "k")
     owned = stored(owned.groupBy("_t1", "_t2", (F.col("k") > hot).alias("is_hot")).agg(F.collect_list("x").alias("own")), "owned")
     parts = [spans]
     for is_hot in (False, True):
@@ -371,7 +374,7 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         if not size:
             continue
         # an identical row twice in the table gives its texts twice; one is enough
-        there = texts.join(broadcast_if(mine, 200_000), ["_t1", "_t2"]).select("_t1", "_t2", "text", "own")
+        there = texts.join(broadcast_if(mine), ["_t1", "_t2"]).select("_t1", "_t2", "text", "own")
         buckets = max(8, -(-size * length * 2 // RUN_BYTES))
         parts.append(_hot_spans(there, length) if is_hot else _merged(stored(_runs(there, length, buckets), "runs"), length))
     out = parts[0]
@@ -385,9 +388,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """id_col, n_bytes, n_removed, removed (maximal spans start, end) and kept (the other bytes) of each row."""
     copied, spans = repeated_spans(docs, id_col=id_col, text_col=text_col, length=length, **options)
     rows = _keyed(docs, id_col, text_col)
-    rows = rows.join(broadcast_if(copied.select("_t1", "_t2", F.lit(True).alias("_copied")), MAX_BROADCAST), ["_t1", "_t2"], "left").join(broadcast_if(spans, 200_000), ["_t1", "_t2"], "left")
+    rows = rows.join(broadcast_if(copied.select("_t1", "_t2", F.lit(True).alias("_copied"))), ["_t1", "_t2"], "left").join(broadcast_if(spans), ["_t1", "_t2"], "left")
     rows = rows.select("_doc", "text", F.coalesce("_copied", F.lit(False)).alias("_copied"), F.when(F.col("_copied").isNull(), F.col("spans")).alias("spans"))
 
+    @slim
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], []]

@@ -26,7 +26,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-CACHED = 1_000_000
+from .common import slim
+
+CACHED = 100_000
 LONGEST_CACHED = 64
 END = "\0"
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -135,6 +137,7 @@ def token_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
     path = tokenizer
 
+    @slim
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _counters:
             _counters[path] = Counter(path)

@@ -84,8 +84,8 @@ def score(urls: DataFrame, model: DataFrame, *, key_col: str, text_col: str, ord
     """
     urls = urls.repartition(int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions")), key_col)
     contexts = model.groupBy("k", "ctx").agg(*[F.max(c).alias(c) for c in ("ca", "cr", "ta", "tr")])
-    contexts = broadcast_if(stored(contexts, "url-contexts"), max_broadcast)
-    grams = broadcast_if(model.select("k", "ctx", "ch", "na", "nr"), max_broadcast)
+    contexts = broadcast_if(stored(contexts, "url-contexts"))
+    grams = broadcast_if(model.select("k", "ctx", "ch", "na", "nr"))
     rows = urls.select(key_col, F.posexplode(_grams(F.col(text_col), order)).alias("_p", "_s")).select(key_col, (F.col("_p") / (order + 1)).cast("int").alias("_i"), "_s.*")
     rows = rows.join(grams, ["k", "ctx", "ch"], "left").join(contexts, ["k", "ctx"], "left").fillna(0, ["na", "nr", "ca", "cr", "ta", "tr"])
     wide = rows.groupBy(key_col, "_i").agg(*[F.max(F.when(F.col("k") == k, F.col(c))).alias(f"{c}{k}") for k in range(order + 1) for c in ("na", "nr", "ca", "cr", "ta", "tr")])
