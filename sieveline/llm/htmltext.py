@@ -1,19 +1,25 @@
 """HTML extraction by composite text density.
 
-A page is read into a tree by a tolerant scanner. For each element the characters, tags, linked
-characters and link tags of its subtree give its composite density: characters for each tag,
-adjusted by a logarithm of the shares of linked and unlinked text. The sum of its children's
-densities is what an element is chosen by. The threshold is the least density on the path from the
-element with the greatest sum up to the body. From the body down, each subtree whose density
-reaches it gives its element with the greatest sum, and the children of those not yet chosen are
-looked at likewise; all chosen elements are the main content. One that lies in an `article` or
-`main` element stands for the nearest of those, so there that element decides. Elements that name themselves boilerplate (by tag, role, class or id) are
-left out of the tree with all they hold.
+A page is read into a tree by a tolerant scanner, in time linear in the page. Elements that name
+themselves boilerplate, by tag or role, are left out with all they hold; one that does so only by
+class or id is, unless it holds an `article` or `main` element, or more than half of the text in
+paragraphs of a page without one.
+
+For each element the characters, tags, linked characters and link tags of its subtree give its
+composite density: characters for each tag, adjusted by a logarithm of the shares of linked and
+unlinked text. The sum of its children's densities is what an element is chosen by. The threshold is
+the least density on the path from the element with the greatest sum up to the body. From the body
+down, each subtree whose density reaches it gives its element with the greatest sum, and the
+children of those not yet chosen are looked at likewise; all chosen elements are the main content.
+What lies in page order between chosen elements, headings directly before the first, and what else
+an `article` or `main` element around a chosen one holds, is the same content (short paragraphs,
+captions), if its links hold no more than half of its characters.
 
 Text: character references decoded, blocks in page order, white space runs as one space.
 
 Defined results: a null or empty page, or one without text outside boilerplate, gives an empty
-text; unclosed and stray tags are tolerated; nothing is cut off; repeated rows give equal texts;
+text; unclosed and stray tags are tolerated; elements nested more than `DEPTH` deep count as part
+of the one at that depth, with their text; nothing is cut off; repeated rows give equal texts;
 extra columns are ignored or carried by name.
 """
 
@@ -29,7 +35,8 @@ from pyspark.sql import DataFrame
 
 from .common import slim
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|[^<]+|<""", re.S)
+NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
+STOP = re.compile(r"""[>"']""")
 ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"']+))?""")
 RAW = frozenset({"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noembed"})
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -37,8 +44,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 #: A start tag of the first kind ends an open element of the second kind, unless a third is met before.
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), **dict.fromkeys(("tbody", "thead", "tfoot"), ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}))}
-#: Elements whose end tag may be left out at the end of what holds them, and what may be inside an open head.
-OMITTED = frozenset("p li dt dd tr td th option tbody thead tfoot".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HEAD_ONLY = frozenset("base link meta".split()) | RAW
 P_SCOPE = frozenset({"body", "html", "article", "section", "div", "td", "th", "table", "li", "button", "blockquote", "main", "aside", "header", "footer", "nav", "form", "object", "caption"})
 BOILERPLATE_TAGS = RAW | frozenset("nav menu header footer aside form button select option input dialog svg canvas audio video object embed head".split())
@@ -50,162 +56,216 @@ BOILERPLATE_NAMES = frozenset(
 )
 NAME_PARTS = re.compile(r"[^a-z0-9]+")
 KEEPS = frozenset({"body", "html", "article", "main"})
+DEPTH = 256
 
 
 def attributes(source: str) -> dict[str, str]:
     return {k.lower(): html.unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(source)}
 
 
-def is_boilerplate(tag: str, source: str) -> bool:
+def boilerplate(tag: str, source: str) -> int:
+    """2 if an element names itself boilerplate by tag, role or being hidden, 1 if only by class or id, else 0."""
     if tag in BOILERPLATE_TAGS:
-        return True
+        return 2
     if not source or tag in KEEPS or source.isspace():
-        return False
+        return 0
     a = attributes(source)
     if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "").lower() or a.get("role", "").lower() in BOILERPLATE_ROLES:
-        return True
+        return 2
     names = NAME_PARTS.split(f"{a.get('class', '')} {a.get('id', '')}".lower())
-    return not BOILERPLATE_NAMES.isdisjoint(names) or any("comment" in x or "sidebar" in x or "advert" in x for x in names)
+    return int(not BOILERPLATE_NAMES.isdisjoint(names) or any("comment" in x or "sidebar" in x or "advert" in x for x in names))
+
+
+def unescaped(text: str) -> str:
+    if "&" not in text:
+        return text
+    try:
+        return html.unescape(text)
+    except ValueError:  # a number of thousands of digits
+        return html.unescape(re.sub(r"&#[0-9]{8,};?", "\ufffd", text))
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """Parts of a page in order: ("", text, "") or (name, "/" or "", attributes), comments left out.
+
+    Each search for a sign that isn't there is made once, so no page takes more than linear time.
+    """
+    at, n, gone, quotes = 0, len(page), set(), True
+
+    def find(sign: str, start: int) -> int:
+        if sign in gone:
+            return -1
+        out = page.find(sign, start)
+        if out < 0:
+            gone.add(sign)
+        return out
+
+    while at < n:
+        start = find("<", at)
+        if start != at:
+            yield "", page[at : start if start >= 0 else n], ""
+            if start < 0:
+                return
+            at = start
+        if find(">", at) < 0:  # no tag ends any more
+            yield "", page[at:], ""
+            return
+        m = NAME.match(page, at + 1)
+        if m is None:
+            if page.startswith("<!--", at):
+                end = find("-->", at + 4)
+                at = end + 3 if end >= 0 else n
+            elif page[at + 1] in "!?/":
+                at = find(">", at + 1) + 1
+            else:
+                yield "", "<", ""
+                at += 1
+            continue
+        end, first = m.end(), find(">", m.end())
+        while quotes:  # the first > outside quotes
+            stop = STOP.search(page, end)
+            if stop is None:
+                quotes = False  # a quote is never closed: from here on they are plain signs
+            elif stop[0] == ">":
+                first = stop.start()
+                break
+            elif (end := find(stop[0], stop.end()) + 1) == 0:
+                quotes = False
+        name, closing = m[1].lower(), page[at + 1] == "/"
+        yield name, "/" if closing else "", page[m.end() : first]
+        at = first + 1
+        if name in RAW and not closing and not page.endswith("/", m.end(), first):
+            end = at
+            while (end := find("</", end)) >= 0:
+                if page[end + 2 : end + 2 + len(name)].lower() == name:
+                    break
+                end += 2
+            stop = find(">", end) if end >= 0 else -1
+            at = stop + 1 if stop >= 0 else n
 
 
 class Tree:
     """Elements in page order, as parallel lists; text pieces with the element that holds them. Element 0 is the root."""
 
     def __init__(self, page: str):
-        self.tag, self.parent, self.end = ["body"], [-1], [0]
+        self.tag, self.parent, self.end, self.named = ["body"], [-1], [0], [0]
         self.chars, self.link_chars, self.tags, self.link_tags = [0], [0], [0], [0]
         self.texts: list[tuple[int, str]] = []
-        self._read(page)
-
-    def _read(self, page: str) -> None:
-        stack = [0]  # open elements
-        links = 0  # open links
-        skip: list[str] = []  # open elements of boilerplate, from its outermost on
-        at, find = 0, TOKEN.match
-        while (m := find(page, at)) is not None:
-            at = m.end()
-            tag = m[2]
-            if tag is None:
-                piece = m[0]
-                if skip == ["head"] and not piece.isspace() and not (piece[0] == "<" and len(piece) > 1):
-                    skip.clear()
-                if not skip and not (piece[0] == "<" and len(piece) > 1):
-                    here = stack[-1]
-                    piece = html.unescape(piece) if "&" in piece else piece
-                    self.texts.append((here, piece))
-                    n = len("".join(piece.split()))
-                    self.chars[here] += n
-                    if links:
-                        self.link_chars[here] += n
-                continue
-            tag, closing, source = tag.lower(), bool(m[1]), m[3]
-            if tag in RAW and not closing and not source.rstrip().endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
-                at = close.end() if close else len(page)
-                continue
-            if skip:
-                if closing and tag in skip:
-                    while skip and skip.pop() != tag:
-                        pass
-                    continue
-                if not self._ends(tag, closing, skip, stack):
-                    if not closing:
-                        inner, bounds = self._implied(tag)
-                        if (k := self._lowest(skip, inner, bounds)) is not None:
-                            del skip[k:]
-                        if tag not in VOID and tag not in ("body", "html") and not source.endswith("/"):
-                            skip.append(tag)
-                    continue
-                skip.clear()
-            if closing:
-                if tag in ("body", "html"):
-                    continue
-                for k in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[k]] == tag:
-                        links -= self._pop(stack, k)
-                        break
-                    if self.tag[stack[k]] in ("article", "main", "table") and tag in INLINE:
-                        break
-                self.texts.append((stack[-1], "")) if tag in INLINE else self.texts.append((stack[-1], "\n"))
-                continue
-            if tag in ("body", "html"):
-                continue
-            inner, bounds = self._implied(tag)
-            if inner:
-                for k in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[k]] in inner:
-                        links -= self._pop(stack, k)
-                        break
-                    if self.tag[stack[k]] in bounds:
-                        break
-            here = stack[-1]
-            if tag not in INLINE:
-                self.texts.append((here, "\n"))
-            if is_boilerplate(tag, source):
-                if tag not in VOID and not source.endswith("/"):
-                    skip.append(tag)
-                continue
-            if tag in VOID:
-                self.tags[here] += 1
-                continue
-            self.tag.append(tag)
-            self.parent.append(here)
-            self.end.append(0)
-            for x in (self.chars, self.link_chars, self.tags, self.link_tags):
-                x.append(0)
-            if source.endswith("/"):
-                self.end[-1] = len(self.texts)
-                continue
+        self.stack, self.links = [0], 0
+        self.there: dict[str, int] = {}  # open elements of each tag
+        self.deep: dict[str, int] = {}  # open elements beyond DEPTH
+        for name, sign, rest in tokens(page):
+            if not name:
+                self._text(sign)
+            elif name in ("body", "html"):
+                if self.tag[self.stack[-1]] == "head":
+                    self._pop(len(self.stack) - 1)
+            elif sign:
+                self._close(name)
+            else:
+                self._open(name, rest)
+        self._pop(0)
+        self._drop_boilerplate()
+
+    def _text(self, piece: str) -> None:
+        blank = piece.isspace()
+        if not blank and self.tag[self.stack[-1]] == "head":
+            self._pop(len(self.stack) - 1)
+        here = self.stack[-1]
+        piece = unescaped(piece)
+        self.texts.append((here, piece))
+        if not blank:
+            n = len("".join(piece.split()))
+            self.chars[here] += n
+            if self.links:
+                self.link_chars[here] += n
+
+    def _close(self, name: str) -> None:
+        if self.deep.get(name):
+            self.deep[name] -= 1
+        elif self.there.get(name):
+            stack = self.stack
+            for k in range(len(stack) - 1, 0, -1):
+                if self.tag[stack[k]] == name:
+                    self._pop(k)
+                    break
+                if name in INLINE and self.tag[stack[k]] in ("article", "main", "table"):
+                    break
+        self.texts.append((self.stack[-1], "" if name in INLINE else "\n"))
+
+    def _open(self, name: str, rest: str) -> None:
+        stack = self.stack
+        if self.tag[stack[-1]] == "head" and name not in HEAD_ONLY:
+            self._pop(len(stack) - 1)
+        inner, bounds = ({"p"}, P_SCOPE) if name in CLOSES_P else IMPLIED.get(name, ((), ()))
+        if any(self.there.get(x) for x in inner):
+            for k in range(len(stack) - 1, 0, -1):
+                if self.tag[stack[k]] in inner:
+                    self._pop(k)
+                    break
+                if self.tag[stack[k]] in bounds:
+                    break
+        here = stack[-1]
+        if name not in INLINE:
+            self.texts.append((here, "\n"))
+        ends = rest.endswith("/")
+        if name in VOID or name in RAW:
+            self.tags[here] += name in VOID
+            return
+        if len(stack) >= DEPTH:
+            if not ends:
+                self.deep[name] = self.deep.get(name, 0) + 1
+            self.tags[here] += 1
+            return
+        self.tag.append(name)
+        self.parent.append(here)
+        self.end.append(len(self.tag))
+        self.named.append(boilerplate(name, rest))
+        for x in (self.chars, self.link_chars, self.tags, self.link_tags):
+            x.append(0)
+        if not ends:
             stack.append(len(self.tag) - 1)
-            links += tag == "a"
-        self._pop(stack, 0)
-
-    @staticmethod
-    def _implied(tag: str):
-        """Which open elements a start tag ends, and which it doesn't look beyond."""
-        return ({"p"}, P_SCOPE) if tag in CLOSES_P else IMPLIED.get(tag, ((), ()))
-
-    @staticmethod
-    def _lowest(names: list[str], inner, bounds) -> int | None:
-        """Place of the outermost of the open elements that a start tag ends; None if it ends none."""
-        found = None
-        for k in range(len(names) - 1, -1, -1):
-            if names[k] in inner:
-                found = k
-            elif names[k] in bounds:
-                break
-        return found
-
-    def _ends(self, tag: str, closing: bool, skip: list[str], stack: list[int]) -> bool:
-        """Whether a tag ends the outermost element of skip, whose own end tag is left out."""
-        first = skip[0]
-        if closing:
-            if first not in OMITTED or tag in INLINE or first in ("tr", "td", "th") and tag not in ("table", "tbody", "thead", "tfoot", "tr"):
-                return False
-            return any(self.tag[x] == tag for x in stack[1:])
-        if first == "head":
-            return len(skip) == 1 and tag not in HEAD_ONLY
-        inner, bounds = self._implied(tag)
-        return self._lowest(skip, inner, bounds) == 0
-
-    def _pop(self, stack: list[int], k: int) -> int:
-        """Ends all from the k-th open element on; the number of links among them."""
-        for x in stack[k:]:
+            self.there[name] = self.there.get(name, 0) + 1
+            self.links += name == "a"
+
+    def _pop(self, k: int) -> None:
+        """Ends all from the k-th open element on."""
+        for x in self.stack[k:]:
             self.end[x] = len(self.tag)
-        ended = sum(self.tag[x] == "a" for x in stack[k:])
-        del stack[k:]
-        return ended
+            if x:
+                self.there[self.tag[x]] -= 1
+                self.links -= self.tag[x] == "a"
+        del self.stack[k:]
+        self.deep.clear()
+
+    def _drop_boilerplate(self) -> None:
+        """Marks the elements of boilerplate as gone; their counts become 0."""
+        n = len(self.tag)
+        self.gone = gone = bytearray(n)
+        for i in range(1, n):
+            gone[i] = self.named[i] == 2 or gone[self.parent[i]]
+        prose = bytearray(n)  # paragraphs and what they hold
+        for i in range(1, n):
+            prose[i] = self.tag[i] == "p" or prose[self.parent[i]]
+        held, core = [self.chars[i] - self.link_chars[i] if prose[i] and not gone[i] else 0 for i in range(n)], [x in ("article", "main") and not g for x, g in zip(self.tag, gone, strict=True)]
+        for i in range(n - 1, 0, -1):
+            held[self.parent[i]] += held[i]
+            core[self.parent[i]] |= core[i]
+        for i in range(1, n):
+            gone[i] = gone[i] or gone[self.parent[i]] or (self.named[i] == 1 and not core[i] and (core[0] or self.tag[i] == "p" or 2 * held[i] <= held[0]))
+            if gone[i]:
+                self.chars[i] = self.link_chars[i] = self.tags[i] = self.link_tags[i] = 0
 
     def main(self) -> list[int]:
         """The elements that hold the main content, in page order."""
-        n = len(self.tag)
+        n, there = len(self.tag), [not g for g in self.gone]
         chars, links, tags, link_tags = self.chars[:], self.link_chars[:], self.tags[:], self.link_tags[:]
         for i in range(n - 1, 0, -1):
             p = self.parent[i]
             chars[p] += chars[i]
             links[p] += links[i]
-            tags[p] += tags[i] + 1
-            link_tags[p] += link_tags[i] + (self.tag[i] == "a")
+            tags[p] += tags[i] + there[i]
+            link_tags[p] += link_tags[i] + (there[i] and self.tag[i] == "a")
         ratio = links[0] / max(chars[0], 1)
         density, total = [0.0] * n, [0.0] * n
         for i in range(n - 1, -1, -1):
@@ -234,11 +294,38 @@ class Tree:
             chosen.add(top[i])
             if top[i] != i:
                 open_ += self.children(i)
-        # the nearest article or main element that holds each element, or 0
-        article = [0] * n
-        for i in range(1, n):
-            article[i] = i if self.tag[i] in ("article", "main") else article[self.parent[i]]
-        return sorted({article[i] or i for i in chosen})
+        return sorted(chosen | self._between(chosen, chars, links))
+
+    def _between(self, chosen: set[int], chars: list[int], links: list[int]) -> set[int]:
+        """Elements between the chosen ones, headings before them, and others in the same article or main element, that aren't mostly links."""
+        first, last = min(chosen), max(max(self.end[i], i + 1) for i in chosen)
+        for i in list(chosen):
+            while i > 0 and self.tag[i] not in ("article", "main"):
+                i = self.parent[i]
+            if i > 0:
+                first, last = min(first, i), max(last, self.end[i])
+        holds = bytearray(len(self.tag))  # those that hold a chosen element
+        for i in chosen:
+            while i > 0 and not holds[i]:
+                holds[i] = 1
+                i = self.parent[i]
+        for i in range(first - 1, 0, -1):
+            if holds[i] or not chars[i]:
+                continue
+            at = i
+            while at > 0 and self.tag[at] in INLINE:
+                at = self.parent[at]
+            if self.tag[at] not in HEADINGS:
+                break
+            first = at
+        out, i = set(), first
+        while i < last:
+            if holds[i] and i not in chosen:
+                out.add(-i)  # its own text, but not all it holds
+            elif i not in chosen and chars[i] and 2 * links[i] <= chars[i]:
+                out.add(i)
+            i = i + 1 if holds[i] and i not in chosen else max(self.end[i], i + 1)
+        return out
 
     def children(self, element: int) -> list[int]:
         out, i = [], element + 1
@@ -249,12 +336,15 @@ class Tree:
         return out
 
     def text(self, elements: list[int]) -> str:
-        """The text of the subtrees of elements, in page order."""
+        """The text of the subtrees of elements, in page order; of an element -i the text that is directly in i."""
         inside = bytearray(len(self.tag))
         for e in elements:
-            end = self.end[e] or len(self.tag)
-            inside[e:end] = b"\x01" * (end - e)
-        return " ".join("".join(t if inside[i] else "\n" for i, t in self.texts).split())
+            if e < 0:
+                inside[-e] = 1
+            else:
+                end = max(self.end[e], e + 1)
+                inside[e:end] = b"\x01" * (end - e)
+        return " ".join("".join(t if inside[i] and not self.gone[i] else "\n" for i, t in self.texts).split())
 
 
 def main_text(page: str | None) -> str:

@@ -1,6 +1,7 @@
 """The other operators: near-duplicates and repeats against brute force, round trips, held-out accuracy."""
 
 import random
+import time
 import unicodedata
 import zlib
 from collections import Counter
@@ -348,6 +349,62 @@ def test_pages_without_article_keep_all_sections():
     assert htmltext.main_text(f"<div><section>{b}</section><ul><li><a href=x>more</a></ul><section><div>{a}</div></section></div>") == " ".join(htmltext.re.sub("<[^>]*>", " ", b + a).split())
 
 
+@pytest.mark.parametrize("sign", ["<a ", '<a x="', "<a x='\"", "<script", "</x ", "<!--", "<div>", "<b><p>", "<div></span>", "&#9", "<nav>", "<p class=ad><div>", "<table><tr><td>", "<a>x", "<", "<b><table></b>"])
+def test_hostile_pages_take_linear_time(sign):
+    began = time.perf_counter()
+    htmltext.main_text(sign * (300_000 // len(sign)) + ">")
+    htmltext.main_text("&#" + "9" * 300_000 + ";")
+    assert time.perf_counter() - began < 10
+
+
+@pytest.mark.parametrize("wrapper", ["<div class='widget related'>", "<section id=header>", "<div class=notice><div>"])
+def test_wrappers_with_boilerplate_names_keep_the_article(wrapper):
+    assert htmltext.main_text(f"<body><div class=menu>m</div>{wrapper}<article>{BODY}</article></body>") == MAIN
+    assert htmltext.main_text(f"<body><div class=menu>m</div>{wrapper}<div>{BODY}</div></body>") == MAIN
+
+
+def by_density(tree):
+    """The element with the greatest sum of its children's densities, by the definition."""
+    n = len(tree.tag)
+    inside = [[j for j in range(n) if i in chain(tree, j)] for i in range(n)]
+    total = lambda xs, i: sum(xs[j] for j in inside[i])
+    ratio = sum(tree.link_chars) / max(sum(tree.chars), 1)
+
+    def density(i):
+        c, lc = total(tree.chars, i), total(tree.link_chars, i)
+        t = total(tree.tags, i) + len(inside[i]) - 1
+        lt = total(tree.link_tags, i) + sum(tree.tag[j] == "a" for j in inside[i] if j != i)
+        if not c:
+            return 0.0
+        base = np.log(c / max(c - lc, 1) * lc + ratio * c + np.e)
+        return c / max(t, 1) * np.log(max(c / max(lc, 1) * max(t, 1) / max(lt, 1), 1)) / np.log(max(base, 1) + 1)
+
+    sums = [sum(density(j) for j in range(1, n) if tree.parent[j] == i) for i in range(n)]
+    return max(range(n), key=lambda i: (round(sums[i], 9), -i))
+
+
+def chain(tree, j):
+    out = [j]
+    while j > 0:
+        out.append(j := tree.parent[j])
+    return out
+
+
+def test_main_element_has_the_greatest_density_sum():
+    rng = random.Random(12)
+    for _ in range(60):
+        part = lambda d: f"<div>{''.join(part(d - 1) for _ in range(rng.randint(1, 3)))}</div>" if d else rng.choice(["<p>{}</p>", "<a href=x>{}</a>", "<p>{}<b>x</b></p>", "<ul><li><a>{}</a></ul>"]).format("word " * rng.choice([1, 3, 30, 80]))
+        page = part(3)
+        tree = htmltext.Tree(page)
+        chosen = {j for i in tree.main() for j in range(abs(i), tree.end[i] if i > 0 else abs(i) + 1)}
+        best = by_density(tree)
+        assert chosen >= set(range(best, max(tree.end[best], best + 1)))
+
+
+def test_headings_and_gaps_without_semantic_tags():
+    assert htmltext.main_text(f"<body><ul><li><a href=x>menu of links</a></ul><div><div><h2>Head <i>line</i></h2></div><div>{BODY}</div></div></body>").startswith("Head line Paragraph 0")
+
+
 @pytest.mark.parametrize(
     ("page", "want"),
     [
