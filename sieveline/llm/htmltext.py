@@ -199,12 +199,14 @@ class Tree:
             self._pop(len(stack) - 1)
         inner, bounds = ({"p"}, P_SCOPE) if name in CLOSES_P else IMPLIED.get(name, ((), ()))
         if any(self.there.get(x) for x in inner):
+            outermost = 0
             for k in range(len(stack) - 1, 0, -1):
                 if self.tag[stack[k]] in inner:
-                    self._pop(k)
-                    break
-                if self.tag[stack[k]] in bounds:
+                    outermost = k
+                elif self.tag[stack[k]] in bounds:
                     break
+            if outermost:
+                self._pop(outermost)
         here = stack[-1]
         if name not in INLINE:
             self.texts.append((here, "\n"))
