@@ -1,16 +1,22 @@
 """Quality rules: robust multivariate outliers of text statistics, per language and source.
 
-Native: DataFrame expressions only. One pass over the texts makes a few counts for each
-document; all that follows works on that narrow table. For each group (language and source) a
-minimum-covariance-determinant estimate is sought by concentration steps: from a start at
-medians and quartile ranges, each step keeps the `support` share of documents that are nearest
-under the present estimate and takes mean and covariance of these. A document is rejected if
-its squared Mahalanobis distance, scaled to the chi-square median, exceeds `cutoff`. Distances are
-never scaled up: statistics that are constant among the nearest documents add nothing to the
-median, which is then small for that reason only.
+Native: DataFrame expressions only. One pass over the texts makes a few counts for each document.
+Their transformed statistics are counted in cells of a fixed grid (`GRID` steps a unit), for each
+group (language and source); the estimates need these cells only, whose number the grid bounds,
+however many documents there are.
+
+For each group a minimum-covariance-determinant estimate is sought by concentration steps, each of
+which keeps the `support` share of documents that are nearest under the present estimate and takes
+mean and covariance of these. They start from medians and quartile ranges, from medians and equal
+variances, and from mean and covariance of all, and go on until no determinant changes by more
+than `tolerance` (or `steps` times); the least determinant decides. A document is rejected if its
+squared Mahalanobis distance, scaled to the chi-square median, is beyond the chi-square quantile
+that clean documents pass with probability `tail`. Distances are never scaled up: statistics that
+are constant among the nearest documents add nothing to the median, which is then small for that
+reason only.
 
 Order statistics come from counts over fixed bins, which are pre-aggregated before the shuffle
-and don't depend on partitioning; a group that holds most rows therefore costs one row per bin
+and don't depend on partitioning; a group that holds most rows therefore costs one row per cell
 and task. Groups below `min_group` documents use the estimate of their language, languages below
 it that of the corpus.
 
@@ -21,10 +27,12 @@ columns other than those named are ignored or, in `quality_filter`, returned unt
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if, let, space_words, stored
+from .common import broadcast_if, dropped, let, space_words, stored
 
 WINDOW = 8
 #: Added to each standard deviation (transformed units), only so that no covariance is singular.
@@ -33,6 +41,8 @@ DIMS = list(FLOORS)
 #: Medians of the chi-square distribution by degrees of freedom.
 CHI2_MEDIAN = {1: 0.4549, 2: 1.3863, 3: 2.3660, 4: 3.3567, 5: 4.3515}
 BINS = 200
+GRID = 100
+TAIL = 1e-6
 
 
 def base_counts(text: Column) -> Column:
@@ -40,11 +50,16 @@ def base_counts(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
 
+    def neighbours(k: int):
+        """Hashes of each value with the one k places on."""
+        return lambda h: F.zip_with(F.slice(h, 1, F.size(h) - k), F.slice(h, k + 1, F.size(h) - k), lambda x, y: F.xxhash64(x, y))
+
     def repeated(words: Column) -> Column:
-        hashes = let(
-            F.transform(words, lambda w: F.xxhash64(w)),
-            lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(h, i, WINDOW))),
-        )
+        # hashes of 1, 2, 4 and at last 8 consecutive words
+        hashes, width = F.transform(words, lambda w: F.xxhash64(w)), 1
+        while width < WINDOW:
+            hashes = let(hashes, neighbours(width))
+            width *= 2
 
         def covered(h: Column) -> Column:
             ordered = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
@@ -102,6 +117,15 @@ def _vector(q: str = "") -> dict[str, Column]:
     }
 
 
+def cutoff(tail: float) -> float:
+    """The value that a chi-square variable with as many degrees of freedom as there are statistics (four) exceeds with probability `tail`."""
+    low, high = 0.0, 1e4
+    while high - low > 1e-9:
+        mid = (low + high) / 2
+        low, high = (mid, high) if math.exp(-mid / 2) * (1 + mid / 2) > tail else (low, mid)
+    return low
+
+
 def _at_shares(bins: DataFrame, keys: list[str], shares: dict[str, float]) -> DataFrame:
     """For each key the first bin at which the running count reaches a share of all."""
     w = Window.partitionBy(*keys)
@@ -138,9 +162,12 @@ def _cholesky(params: DataFrame) -> DataFrame:
 
 
 def _moments() -> list[Column]:
-    out = [F.avg(d).alias(f"m_{d}") for d in DIMS]
+    """Weighted mean and covariance of cells."""
+    n = F.sum("_n")
+    mean = {d: F.sum(F.col("_n") * F.col(d)) / n for d in DIMS}
+    out = [v.alias(f"m_{d}") for d, v in mean.items()]
     for i, a in enumerate(DIMS):
-        out += [F.coalesce(F.covar_pop(a, b), F.lit(0.0)).alias(f"c_{i}{j}") for j, b in enumerate(DIMS[: i + 1])]
+        out += [(F.sum(F.col("_n") * F.col(a) * F.col(b)) / n - mean[a] * mean[b]).alias(f"c_{i}{j}") for j, b in enumerate(DIMS[: i + 1])]
     return out
 
 
@@ -148,29 +175,52 @@ def _bin(d2: Column) -> Column:
     return F.floor(F.log1p(F.least(d2, F.lit(1e12))) * BINS).cast("long")
 
 
-def estimates(stats: DataFrame, *, support: float = 0.75, steps: int = 3, max_broadcast_groups: int = 50_000) -> DataFrame:
-    """One row for each _g of stats (_g, x_*): mean, Cholesky factor and scale `c` of the robust estimate.
+def _starts(cells: DataFrame) -> DataFrame:
+    """Columns _g, _s (which start), means m_* and covariances c_*."""
+    long = cells.select("_g", "_n", F.explode(F.array(*[F.struct(F.lit(i).alias("_dim"), F.col(d).alias("_bin")) for i, d in enumerate(DIMS)])).alias("_e")).groupBy("_g", "_e._dim", "_e._bin").agg(F.sum("_n").alias("_n"))
+    quart = _at_shares(long, ["_g", "_dim"], {"q1": 0.25, "q2": 0.5, "q3": 0.75})
+    median = [F.max(F.when(F.col("_dim") == i, F.col("q2"))).alias(f"m_{d}") for i, d in enumerate(DIMS)]
+    spread = [F.max(F.when(F.col("_dim") == i, F.pow((F.col("q3") - F.col("q1")) / 1.349, 2))).alias(f"c_{i}{i}") for i in range(len(DIMS))]
+    robust = quart.groupBy("_g").agg(*median, *spread).withColumns({f"c_{i}{j}": F.lit(0.0) for i in range(len(DIMS)) for j in range(i)})
+    equal = robust.withColumns({f"c_{i}{i}": F.lit(1.0) for i in range(len(DIMS))})
+    out = None
+    for k, start in enumerate((robust, equal, cells.groupBy("_g").agg(*_moments()))):
+        start = start.withColumn("_s", F.lit(k))
+        out = start if out is None else out.unionByName(start)
+    return out
+
+
+def estimates(stats: DataFrame, *, support: float = 0.75, steps: int = 12, tolerance: float = 1e-3) -> DataFrame:
+    """One row for each _g of stats (_g, x_*): mean, Cholesky factor, logarithm of the determinant and
+    scale `c` of the robust estimate.
 
     The result is a stored table.
     """
-    long = stats.select("_g", F.explode(F.array(*[F.struct(F.lit(i).alias("_dim"), F.round(F.col(d) * 1000).cast("long").alias("_bin")) for i, d in enumerate(DIMS)])).alias("_e")).select("_g", "_e.*")
-    quart = _at_shares(long.groupBy("_g", "_dim", "_bin").agg(F.count("*").alias("_n")), ["_g", "_dim"], {"q1": 0.25, "q2": 0.5, "q3": 0.75})
-    start = quart.groupBy("_g").agg(
-        *[F.max(F.when(F.col("_dim") == i, F.col("q2") / 1000.0)).alias(f"m_{d}") for i, d in enumerate(DIMS)],
-        *[F.max(F.when(F.col("_dim") == i, F.pow((F.col("q3") - F.col("q1")) / 1349.0, 2))).alias(f"c_{i}{i}") for i in range(len(DIMS))],
-    )
-    params = start.withColumns({f"c_{i}{j}": F.lit(0.0) for i in range(len(DIMS)) for j in range(i)})
-    for step in range(steps + 1):
-        params = stored(_cholesky(params), "mcd-params")
-        if step == 0:
-            few = params.limit(max_broadcast_groups + 1).count() <= max_broadcast_groups
-        joined = _distance(stats.join(F.broadcast(params) if few else params, "_g")).withColumn("_bin", _bin(F.col("_d2")))
-        at = stored(_at_shares(joined.groupBy("_g", "_bin").agg(F.count("*").alias("_n")), ["_g"], {"_half": 0.5, "_keep": support}), "mcd-cut")
-        if step < steps:
-            near = joined.drop(*[c for c in params.columns if c != "_g"]).join(F.broadcast(at) if few else at, "_g").where("_bin <= _keep")
-            params = near.groupBy("_g").agg(*_moments())
-    scale = F.greatest((F.exp((F.col("_half") + 0.5) / BINS) - 1) / F.lit(CHI2_MEDIAN[len(DIMS)]), F.lit(0.05))
-    return stored(params.join(at, "_g").withColumn("c", F.greatest(scale, F.lit(1.0))), "mcd-estimates")
+    grid = {d: F.round(F.col(d) * GRID) / GRID for d in DIMS}
+    cells = stored(stats.groupBy("_g", *[v.alias(d) for d, v in grid.items()]).agg(F.count("*").alias("_n")), "mcd-cells")
+    log_det = sum((2 * F.log(F.col(f"l_{i}{i}")) for i in range(len(DIMS))), F.lit(0.0))
+    with_det = lambda p: stored(_cholesky(p).withColumn("log_det", log_det), "mcd-params")
+    key = ["_g", "_s"]
+
+    def placed(params: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Cells with their distance bins, and the bins that hold half and the support share of the documents."""
+        joined = _distance(cells.join(broadcast_if(params), "_g")).select(*key, *DIMS, "_n", _bin(F.col("_d2")).alias("_bin"))
+        return joined, _at_shares(joined.groupBy(*key, "_bin").agg(F.sum("_n").alias("_n")), key, {"_half": 0.5, "_keep": support})
+
+    params = with_det(_starts(cells))
+    for _ in range(steps):
+        joined, at = placed(params)
+        following = with_det(joined.join(at, key).where("_bin <= _keep").groupBy(*key).agg(*_moments()))
+        moved = following.join(params.select(*key, F.col("log_det").alias("_before")), key).agg(F.max(F.abs(F.col("log_det") - F.col("_before")))).first()[0]
+        dropped(params)
+        params = following
+        if moved is None or moved <= tolerance:
+            break
+    # of starts that end alike the first
+    best = params.groupBy("_g").agg(F.min_by(F.struct(*params.columns), F.struct(F.round("log_det", 6), "_s")).alias("p")).select("p.*")
+    best = stored(best, "mcd-best")
+    scale = F.greatest((F.exp((F.col("_half") + 0.5) / BINS) - 1) / F.lit(CHI2_MEDIAN[len(DIMS)]), F.lit(1.0))
+    return stored(best.join(placed(best)[1], key).withColumn("c", scale), "mcd-estimates")
 
 
 def judge(
@@ -181,8 +231,7 @@ def judge(
     source_col: str = "source",
     carry: tuple[str, ...] = ("doc_id",),
     support: float = 0.75,
-    steps: int = 3,
-    cutoff: float = 33.4,
+    tail: float = TAIL,
     min_group: int = 100,
 ) -> DataFrame:
     """Counts, robust distance and verdict for each row of docs.
@@ -215,10 +264,10 @@ def judge(
         ).alias("_g"),
         *DIMS,
     )
-    params = broadcast_if(estimates(spread, support=support, steps=steps))
+    params = broadcast_if(estimates(spread, support=support))
     mine = facts.join(need.select("_src", "_g"), "_src", "left")
     out = _distance(mine.join(params, "_g", "left")).withColumn("distance", F.col("_d2") / F.col("c"))
-    return out.select(*carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", (~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff)).alias("kept"))
+    return out.select(*carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", (~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff(tail))).alias("kept"))
 
 
 def quality_filter(docs: DataFrame, **options) -> DataFrame:
