@@ -7,18 +7,23 @@ interpolations down to a uniform floor, so an unseen context falls back to the n
 A URL's score is the difference of both log-likelihoods divided by its number of characters; it
 is blocked if that is above the calibrated threshold.
 
-Training URLs are those on which the rules decide. The threshold is the one with the least mean
-of both error rates on them, taken from counts of scores in fixed bins.
+Training URLs are those on which the rules decide, but for a quarter of them, dealt out by a hash,
+which calibrates: of thresholds that block at most `false_block` of its accepted URLs, the one with
+the least mean of both error rates, in the middle between the scores on both sides of it. Rates come from counts of scores in fixed bins. With fewer than `min_held` such URLs of
+either kind nothing can be calibrated, and URLs without a rule are allowed.
 
 The models read the whole URL; host and path are for the rules only.
 
 Defined results: a null URL or one without `://` has an empty host and path, and no rule fits it; a
 null or empty URL scores 0 and is allowed. Repeated rows are judged alike. Without training URLs of both kinds every URL
-scores 0 and is allowed. Extra columns are ignored.
+without a rule is allowed. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +35,10 @@ ALPHABET = 256
 END = "\x03"
 START = "\x02"
 SCORE_BINS = 100
+FALSE_BLOCK = 0.05
+MIN_HELD = 20
+#: Of so many training URLs one calibrates.
+HELD = 4
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -75,7 +84,7 @@ def train(labelled: DataFrame, *, text_col: str, label_col: str, order: int = 3)
     return stored(counts.withColumns({"ca": F.sum("na").over(w), "cr": F.sum("nr").over(w), "ta": F.count_if(F.col("na") > 0).over(w), "tr": F.count_if(F.col("nr") > 0).over(w)}), "url-model")
 
 
-def score(urls: DataFrame, model: DataFrame, *, key_col: str, text_col: str, order: int = 3, max_broadcast: int = 300_000) -> DataFrame:
+def score(urls: DataFrame, model: DataFrame, *, key_col: str, text_col: str, order: int = 3) -> DataFrame:
     """key_col and score: log-likelihood under the rejected model less that under the accepted one, a character.
 
     Keys must be unique. The model's size is bounded by the alphabet and order, and is checked
@@ -100,21 +109,36 @@ def score(urls: DataFrame, model: DataFrame, *, key_col: str, text_col: str, ord
     return wide.select(key_col, (logs[1] - logs[0]).alias("_l")).groupBy(key_col).agg(F.avg("_l").alias("score"))
 
 
-def calibrate(scored: DataFrame, *, score_col: str = "score", label_col: str) -> float:
-    """The threshold with the least mean of both error rates; 0 without rows of both labels."""
+class Calibration(NamedTuple):
+    """Threshold, and of the calibrating URLs how many there were and which shares it judges wrongly."""
+
+    threshold: float
+    accepted: int
+    rejected: int
+    false_block: float
+    missed: float
+
+
+def calibrate(scored: DataFrame, *, score_col: str = "score", label_col: str, false_block: float = FALSE_BLOCK, min_held: int = MIN_HELD) -> Calibration:
+    """The threshold above which a URL is blocked; infinite without enough rows of both labels."""
     bins = scored.groupBy(F.round(F.least(F.greatest(F.col(score_col), F.lit(-50.0)), F.lit(50.0)) * SCORE_BINS).cast("long").alias("b")).agg(
         F.count_if(F.col(label_col)).alias("r"), F.count_if(~F.col(label_col)).alias("a")
     )
     up, all_rows = Window.orderBy("b"), Window.partitionBy()
     best = (
         bins.withColumns({"below_r": F.sum("r").over(up), "below_a": F.sum("a").over(up), "all_r": F.sum("r").over(all_rows), "all_a": F.sum("a").over(all_rows)})
-        .where("all_r > 0 and all_a > 0")
-        .withColumn("err", F.col("below_r") / F.col("all_r") + (F.col("all_a") - F.col("below_a")) / F.col("all_a"))
-        .orderBy("err", F.abs(F.col("b")), "b")
+        .where((F.col("all_r") >= min_held) & (F.col("all_a") >= min_held))
+        .withColumns({"missed": F.col("below_r") / F.col("all_r"), "wrong": (F.col("all_a") - F.col("below_a")) / F.col("all_a")})
+        .where(F.col("wrong") <= false_block)
+        .orderBy(F.col("missed") + F.col("wrong"), F.desc("b"))
         .limit(1)
         .collect()
     )
-    return (best[0]["b"] + 0.5) / SCORE_BINS if best else 0.0
+    if not best:
+        return Calibration(math.inf, 0, 0, 0.0, 1.0)
+    nearest = bins.where(F.col("b") > best[0]["b"]).agg(F.min("b")).first()[0]
+    middle = (best[0]["b"] + (best[0]["b"] + 1 if nearest is None else nearest)) / 2
+    return Calibration(middle / SCORE_BINS, best[0]["all_a"], best[0]["all_r"], best[0]["wrong"], best[0]["missed"])
 
 
 def judge_urls(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", rules: list[tuple[str, str, str]] | None = None, order: int = 3) -> DataFrame:
@@ -125,10 +149,11 @@ def judge_urls(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url
     parts = stored(parts.select(id_col, "host", "path", "_rule.rule", F.col("_rule.verdict").alias("_ruled"), "_text"), "url-parts")
     # each distinct text is scored once, however many rows repeat it
     texts = stored(parts.groupBy("_text").agg(F.max("_ruled").alias("_ruled"), F.count("*").alias("_n")), "url-texts")
-    known = texts.where("_ruled is not null").select("_text", (F.col("_ruled") == "block").alias("_y"))
-    model = train(known, text_col="_text", label_col="_y", order=order)
+    known = texts.where("_ruled is not null and _text <> ''").select("_text", (F.col("_ruled") == "block").alias("_y"))
+    held = F.pmod(F.xxhash64(F.lit(5), "_text"), F.lit(HELD)) == 0
+    model = train(known.where(~held), text_col="_text", label_col="_y", order=order)
     scored = stored(score(texts, model, key_col="_text", text_col="_text", order=order), "url-scores")
-    threshold = calibrate(scored.join(known, "_text"), label_col="_y")
+    threshold = calibrate(scored.join(known.where(held), "_text"), label_col="_y").threshold
     out = parts.join(scored, "_text", "left").withColumn("score", F.when(F.col("_text") == "", F.lit(0.0)).otherwise(F.coalesce("score", F.lit(0.0))))
     blocked = (F.col("score") > threshold) & (F.col("_text") != "")
     return out.select(id_col, "host", "path", "rule", F.coalesce(F.col("_ruled"), F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"), "score")

@@ -261,6 +261,36 @@ def test_url_scores(spark):
     assert got["ads.com/track/9"] > 0 > got["news.net/story/d"]
 
 
+def calibration_by_hand(scored, most):
+    """Rates of every threshold between scores, the best of them by its rates only."""
+    a, r = [x for x, y in scored if not y], [x for x, y in scored if y]
+    rates = [(sum(x <= t for x in r) / len(r), sum(x > t for x in a) / len(a)) for t in [x for x, _ in scored]]
+    return min(m + w for m, w in rates if w <= most)
+
+
+def test_calibration(spark):
+    rng = random.Random(4)
+    rows = [(round(rng.gauss(0.8, 0.5), 2), True) for _ in range(200)] + [(round(rng.gauss(-0.5, 0.5), 2), False) for _ in range(300)]
+    df = spark.createDataFrame(rows, "score double, y boolean")
+    for most in (0.01, 0.05, 1.0):
+        got = urlfilter.calibrate(df, label_col="y", false_block=most)
+        wrong, missed = sum(s > got.threshold and not y for s, y in rows) / 300, sum(s <= got.threshold and y for s, y in rows) / 200
+        assert (got.false_block, got.missed) == (pytest.approx(wrong), pytest.approx(missed)) and wrong <= most
+        assert wrong + missed == pytest.approx(calibration_by_hand(rows, most))
+    apart = spark.createDataFrame([(1.0, True)] * 30 + [(-1.0, False)] * 30, "score double, y boolean")
+    assert urlfilter.calibrate(apart, label_col="y").threshold == 0.0
+    assert urlfilter.calibrate(apart.limit(35), label_col="y").threshold == math.inf
+    assert urlfilter.calibrate(apart.limit(0), label_col="y").threshold == math.inf
+
+
+def test_url_verdicts_without_a_rule(spark):
+    """Unruled URLs like the blocked ones are blocked, others allowed, by a model that never saw them."""
+    known = [f"http://a{i}.com/en/click?track={i}" for i in range(200)] + [f"http://b{i}.net/de/story-{i}" for i in range(200)]
+    new = [f"http://a{i}.info/en/click?track={i}" for i in range(5)] + [f"http://b{i}.info/de/story-{i}" for i in range(5)] + ["zzqq yy"]
+    rows = urlfilter.judge_urls(spark.createDataFrame(list(enumerate(known + new)), "page_id long, url string")).where("page_id >= 400").orderBy("page_id").collect()
+    assert [r["verdict"] for r in rows] == ["block"] * 5 + ["allow"] * 6
+
+
 def test_whole_urls_are_scored(spark):
     """URLs that differ only in the query, or have no ://, get different scores."""
     known = [f"http://a{i}.com/en/{i}?track=click{i}" for i in range(30)] + [f"http://a{i}.net/de/{i}?story=read{i}" for i in range(30)]
