@@ -285,8 +285,38 @@ def test_language_on_held_out_rows(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet").where("lang is not null")
     rows = [(r["text"], r["lang"], zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in docs.collect()]
     model = langid.fit([(t, y) for t, y, held in rows if not held])
-    right = [model.predict(t)[0] == y for t, y, held in rows if held]
+    got = [(*model.predict(t), y) for t, y, held in rows if held]
+    right = [p == y for p, _, y in got]
     assert sum(right) >= 0.95 * len(right)
+    # scores say about how often predictions are right, on rows that neither trained nor calibrated
+    assert abs(sum(s for _, s, _ in got) - sum(right)) < 0.02 * len(right)
+    # smoothing alone puts scores of an error-free calibration 1 / (n + 2) below it
+    assert model.reliability["calibration_error"] < 0.01 + 1 / (model.reliability["documents"] + 2) and max(s for _, s, _ in got) < 1
+    by_score = sorted(got, key=lambda r: r[1])
+    assert sum(p == y for p, _, y in by_score[len(got) // 2 :]) >= sum(p == y for p, _, y in by_score[: len(got) // 2])
+
+
+def test_calibration_of_noisy_languages():
+    """A fifth of the labels is noise: scores must not claim more than four fifths or so."""
+    rng = random.Random(5)
+    words = {"aa": ["xo", "yop", "zil"], "bb": ["mur", "nak", "tev"]}
+    rows = [(" ".join(rng.choice(words[y]) for _ in range(30)), y if rng.random() > 0.2 else "bb" if y == "aa" else "aa") for y in ("aa", "bb") * 400]
+    model = langid.fit(rows)
+    assert model.reliability["calibration_error"] < 0.1
+    assert 0.7 < np.mean([model.predict(t)[1] for t, _ in rows]) < 0.9
+
+
+def test_language_query_of_an_empty_table(spark, tmp_path):
+    from sieveline.llm import queries
+
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    assert queries.QUERIES["op4_language_id"](spark, str(tmp_path)).count() == 0
+
+
+def test_long_sample_texts_are_cut_anywhere(spark, monkeypatch):
+    monkeypatch.setattr(langid, "fit", lambda got, **_: got)
+    got = langid.train(spark.createDataFrame([("a" * 100 + "b" * 900 + str(i), "en") for i in range(20)], "text string, lang string"), max_chars=50)
+    assert len(got) == 20 and all(len(t) == 50 for t, _ in got) and any("b" in t for t, _ in got)
 
 
 def test_rare_languages_keep_their_share_of_the_sample(spark, monkeypatch):
