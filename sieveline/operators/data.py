@@ -282,3 +282,9 @@ def rebalance(rows: DataFrame, corpus: DataFrame, *, target: int = 2000, seed: i
     negatives = made.select("ordinal", "m.instruction", "m.input", "m.output", "m.meta.type", "m.meta.language", "m.meta.source")
     capped = scenario_cap(head.unionByName(negatives), seed=seed)
     return first_rows(capped, "ordinal", target, seed)
+
+
+def key_usage(calls: DataFrame, *, key: str = "key", failed: str = "failed", most: int = 3) -> DataFrame:
+    """Calls and failed calls of each key of a call log, and whether it is blocked (at least `most` failures)."""
+    per = calls.groupBy(key).agg(F.count("*").alias("calls"), F.count_if(F.col(failed)).alias("failures"))
+    return per.withColumn("blocked", F.col("failures") >= most)

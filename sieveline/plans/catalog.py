@@ -42,9 +42,11 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A new folder in the shared checkpoint folder, or on the local disk where none is set."""
+    """A new folder in the shared checkpoint folder, or on the local disk where none is set and all runs on this machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         import tempfile
 
         root = f"file://{tempfile.mkdtemp(prefix='sieveline-')}"

@@ -39,13 +39,44 @@ def intermediate(df: DataFrame, path: str, kind: str = "text") -> None:
     if kind == "jsonl":
         jsonl(df, path)
     elif kind == "json":
-        df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+        json_array(df).write.mode("overwrite").text(path)
     elif kind == "text":
         df.select(F.col(df.columns[0]).cast("string")).coalesce(1).write.mode("overwrite").text(path)
     else:
         raise ValueError(f"unknown kind {kind}")
 
 
+def json_array(df: DataFrame) -> DataFrame:
+    """The lines of one JSON array of all rows, in one partition; no line holds more than a row."""
+    one = lambda sign: df.sparkSession.range(0, 1, 1, 1).select(F.lit(sign).alias("value"))
+    comma = F.when(F.monotonically_increasing_id() == 0, "").otherwise(",")
+    rows = df.select(F.to_json(F.struct(*df.columns)).alias("j")).coalesce(1).select(F.concat(comma, "j").alias("value"))
+    return one("[").unionAll(rows).unionAll(one("]")).coalesce(1)
+
+
+def single(lines: DataFrame, path: str) -> None:
+    """The lines of a one-column frame, in order, as one text file at the path itself."""
+    staged = f"{path}_parts"
+    lines.coalesce(1).write.mode("overwrite").text(staged)
+    fs, part = _fs(lines.sparkSession, f"{staged}/part-*")
+    target = _path(lines.sparkSession, path)
+    fs.delete(target, True)
+    for x in fs.globStatus(part):
+        if not fs.rename(x.getPath(), target):
+            raise OSError(f"can't rename {staged}")
+    fs.delete(_path(lines.sparkSession, staged), True)
+
+
+def bytes_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file of these bytes."""
+    fs, where = _fs(spark, path)
+    out = fs.create(where, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
 def json_report(row: DataFrame, path: str) -> None:
     """A one-row frame as one JSON object."""
     row.select(F.to_json(F.struct(*row.columns), {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
@@ -107,8 +138,12 @@ def restore_latest(spark: SparkSession, root: str, name: str, path: str) -> str
         return None
     util, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil, spark._jsparkSession.sessionState().newHadoopConf()
     target_fs, target = _fs(spark, path)
-    target_fs.delete(target, True)
-    util.copy(fs, _path(spark, found[-1]), target_fs, target, False, conf)
+    staged = _path(spark, f"{path.rstrip('/')}_restored")
+    target_fs.delete(staged, True)
+    util.copy(fs, _path(spark, found[-1]), target_fs, staged, False, conf)
+    target_fs.delete(target, True)  # only when the copy is whole
+    if not target_fs.rename(staged, target):
+        raise OSError(f"can't rename {staged}")
     return found[-1]
 
 
@@ -136,15 +171,20 @@ def archive(files: DataFrame, folder: str) -> list[str]:
     for row in files.orderBy("path").toLocalIterator():
         fs, where = _fs(spark, row["path"])
         fs.mkdirs(_path(spark, out))
-        if fs.rename(where, _path(spark, f"{out}/{where.getName()}")):
-            moved.append(f"{out}/{where.getName()}")
+        target, k = f"{out}/{where.getName()}", 0
+        while fs.exists(_path(spark, target)):  # another file of this name
+            k += 1
+            target = f"{out}/{k}_{where.getName()}"
+        if fs.rename(where, _path(spark, target)):
+            moved.append(target)
     if moved:
         json_report(spark.createDataFrame([(moved,)], "files array<string>"), f"{out}/manifest")
     return moved
 
 
-def purge(spark: SparkSession, folder: str, *, days: int = 30, referenced: set[str] = frozenset(), now: datetime | None = None) -> list[str]:
-    """Deletes archives whose name tells a time more than `days` ago, unless referenced; names that tell none stay."""
+def purge(spark: SparkSession, folder: str, *, days: int = 30, referenced: set[str] = frozenset(), essential: set[str] = frozenset(), now: datetime | None = None) -> list[str]:
+    """Deletes archives whose name tells a time more than `days` ago, unless referenced or
+    holding a file of an essential name; names that tell none stay."""
     fs, where = _fs(spark, f"{folder}/*")
     cut, gone = (now or datetime.now()) - timedelta(days=days), []
     for x in fs.globStatus(where) or []:
@@ -153,7 +193,8 @@ def purge(spark: SparkSession, folder: str, *, days: int = 30, referenced: set[s
             old = datetime.strptime(name, STAMP) < cut
         except ValueError:
             continue
-        if old and name not in referenced:
+        held = {y.getPath().getName() for y in fs.listStatus(x.getPath())} if old and essential else set()
+        if old and name not in referenced and held.isdisjoint(essential):
             fs.delete(x.getPath(), True)
             gone.append(name)
     return gone
