@@ -163,10 +163,15 @@ def _unicode(pattern: str) -> str:
 
 
 def extract_references(text: Column, arabic: bool = False, patterns: list[str] | None = None, label: str | None = None) -> Column:
-    """Array of canonical references, all of one pattern before those of the next."""
-    patterns = patterns or (REFERENCES_AR if arabic else REFERENCES_EN)
+    """Array of canonical references, all of one pattern before those of the next.
+
+    The own patterns all take a number behind white space or a point; texts without one aren't searched.
+    """
     label = label if label is not None else (LABEL_AR if arabic else LABEL_EN)
-    return F.transform(F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(_unicode(p)), 1) for p in patterns])), lambda n: F.concat(F.lit(label), n))
+    found = F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(_unicode(p)), 1) for p in patterns or (REFERENCES_AR if arabic else REFERENCES_EN)]))
+    if patterns is None:
+        found = F.when(text.rlike(r"(?U)[.\s]\d"), found).when(text.isNotNull(), F.array().cast("array<string>"))
+    return F.transform(found, lambda n: F.concat(F.lit(label), n))
 
 
 def first_reference(context: Column, letters: str | None = None) -> Column:

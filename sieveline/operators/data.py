@@ -36,24 +36,21 @@ def dedup_input(df: DataFrame, *, col: str = "input", order: str = "ordinal") ->
 # ---- references ----------------------------------------------------------------------------
 
 
-def _pieces(corpus: DataFrame, text_col: str, piece: int, reach: int) -> DataFrame:
-    """Overlapping pieces of long texts, so that a containment test never scans a whole corpus for a row."""
-    n = F.greatest(F.ceil(F.char_length(text_col) / piece), F.lit(1)).cast("int")
-    return corpus.select(F.explode(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substr(F.col(text_col), i * piece + 1, F.lit(piece + reach)))).alias("piece"))
-
-
 def reference_any(rows: DataFrame, corpus: DataFrame, *, ref_col: str = "reference", text_col: str = "text") -> DataFrame:
     """The rows whose reference is, ignoring case, contained in a corpus text.
 
     Distinct references are tested once. They are matched through a word of theirs (the longest)
-    where they have one between spaces, by an equi-join; references of one word against each text.
+    where they have one between spaces: equi-joins find the texts that hold the word, by hashes, and
+    only those texts are fetched. References of one word are tested against each text.
     """
     refs = rows.select(F.lower(F.col(ref_col)).alias("_r")).where("_r is not null").distinct()
     texts = corpus.select(F.lower(F.col(text_col)).alias("_t"))
     inner = F.filter(F.slice(F.split("_r", " "), 2, F.greatest(F.size(F.split("_r", " ")) - 2, F.lit(0))), lambda w: w != "")
     keyed = refs.withColumn("_w", F.when(F.size(inner) > 0, F.array_max(F.transform(inner, lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))["w"]))
-    words = texts.withColumn("_w", F.explode(F.array_distinct(F.split("_t", " "))))
-    by_word = keyed.where("_w is not null").join(words, "_w").where(F.col("_t").contains(F.col("_r"))).select("_r")
+    texts = texts.where("_t is not null").withColumn("_h", F.xxhash64("_t"))
+    words = texts.select("_h", F.explode(F.array_distinct(F.split("_t", " "))).alias("_w"))
+    likely = keyed.where("_w is not null").join(words, "_w").select("_r", "_h").distinct()
+    by_word = likely.join(texts, "_h").where(F.col("_t").contains(F.col("_r"))).select("_r")
     plain = keyed.where("_w is null").select("_r")
     by_text = plain.join(texts, F.col("_t").contains(F.col("_r")), "left_semi")
     found = by_word.unionByName(by_text).distinct()
@@ -259,11 +256,12 @@ def shuffle(df: DataFrame, *, key: str = "ordinal", seed: int = 42) -> DataFrame
     return rank_by_hash(df, key, seed, "position")
 
 
-def rebalance(rows: DataFrame, corpus: DataFrame, *, target: int = 2000, seed: int = 42, letters: str | None = None) -> DataFrame:
+def rebalance(rows: DataFrame, corpus: DataFrame, *, target: int = 2000, seed: int = 42, letters: str | None = None, cut=lambda df: df) -> DataFrame:
     """Relabelled rows by quota, filled with negatives of shuffled correct rows, capped by scenario, trimmed to the target.
 
     rows: ordinal, instruction, input, output. Result: ordinal (negatives: less than 0), instruction,
     input, output, type, language, source, scenario. References in outputs with a context are fixed first.
+    `cut` may store a frame and give it back: the relabelled rows are used twice, and the quota's three times.
     """
     letters = letters or T.ARABIC_LETTERS
     typed = rows.withColumns({"_ctx": R.context_of(F.col("instruction")), "_ref": R.reference_of(F.col("output"))})
@@ -271,16 +269,16 @@ def rebalance(rows: DataFrame, corpus: DataFrame, *, target: int = 2000, seed: i
     verdict = F.when(C.verdict_loose(F.col("output")), "correct").otherwise("incorrect")
     base = fixed.withColumns({"type": verdict, "language": C.lang_any(F.col("instruction"), letters), "source": F.lit("validated")})
     base = base.withColumn("output", F.when(F.col("_ctx").isNull(), F.col("output")).otherwise(R.rewrite_reference(F.col("output"), F.col("_ref"))))
-    base = base.select("ordinal", "instruction", "input", "output", "type", "language", "source")
+    base = cut(base.select("ordinal", "instruction", "input", "output", "type", "language", "source"))
     quota = int(target * 0.45) // 2
-    head = quota_head(base, strata=["type", "language"], quota=quota)
+    head = cut(quota_head(base, strata=["type", "language"], quota=quota))
     need = head.agg(F.greatest(F.lit(target) - F.count("*"), F.lit(0)).alias("_need"))
     # at most `target` negatives can be needed, so a top-n of the shuffled correct rows is enough
     pool = first_rows(base.where("type = 'correct'"), "ordinal", target, seed).withColumn("_k", F.row_number().over(Window.orderBy(shuffled_key(seed, F.col("ordinal")), "ordinal")))
     none = F.lit(None).cast("string")
     made = pool.join(F.broadcast(need)).where("_k <= _need").select((-F.col("ordinal") - 1).alias("ordinal"), R.make_negative(none, none, none, none).alias("m"))
     negatives = made.select("ordinal", "m.instruction", "m.input", "m.output", "m.meta.type", "m.meta.language", "m.meta.source")
-    capped = scenario_cap(head.unionByName(negatives), seed=seed)
+    capped = cut(scenario_cap(head.unionByName(negatives), seed=seed))
     return first_rows(capped, "ordinal", target, seed)
 
 

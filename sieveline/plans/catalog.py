@@ -53,6 +53,13 @@ def _scratch(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/records-{uuid.uuid4().hex}"
 
 
+def _cut(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """df written to the scratch folder and read again, which cuts the lineage."""
+    path = _scratch(spark)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _judged_query(name: str, sql_cols: str, *cols, where: str | None = None, sql_where: str | None = None) -> None:
     """A projection of the judged records."""
 
@@ -630,7 +637,7 @@ def smp_shuffle(spark, d):
 
 @query()
 def bal_rebalance(spark, d):
-    out = D.rebalance(judged(spark, d).select("ordinal", "instruction", "input", "output"), _corpus(spark, d), letters=LETTERS)
+    out = D.rebalance(judged(spark, d).select("ordinal", "instruction", "input", "output"), _corpus(spark, d), letters=LETTERS, cut=lambda df: _cut(spark, df))
     return out.select("ordinal", "instruction", "input", "output", "type", "language", "source", "scenario")
 
 
