@@ -102,5 +102,29 @@ its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT C
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+""",
+    "op2_near_duplicates": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[s : s + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+comp AS (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, doc_id) AS component_id, coalesce(c, doc_id) = doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
+""",
+    "op6_suffix_dedup": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+part AS (SELECT doc_id, o, substr(h, 2 * o + 1, 2 * (1000 + 399)) AS h FROM (SELECT doc_id, h, unnest(range(0, CAST(length(h) / 2 AS BIGINT) - 399, 1000)) AS o FROM d WHERE length(h) >= 800)),
+win AS (SELECT doc_id, o + i AS s, md5(substr(h, 2 * i + 1, 800)) AS m FROM (SELECT doc_id, o, h, unnest(range(0, CAST(length(h) / 2 AS BIGINT) - 399)) AS i FROM part)),
+hit AS (SELECT doc_id, s FROM win WHERE m IN (SELECT m FROM win GROUP BY m HAVING count(*) > 1)),
+run AS (SELECT doc_id, s, sum(CASE WHEN s <= before + 400 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS r FROM (SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM hit)),
+span AS (SELECT doc_id, min(s) AS a, max(s) + 400 AS b FROM run GROUP BY doc_id, r),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f FROM span),
+cut AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * f + 1, 2 * (a - f)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS k FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) / 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
 """,
 }

@@ -10,7 +10,7 @@ labelled findings; `labelled_findings` makes `n` by rule where a site has none o
 
 Defined results: null and empty texts have no findings; a value found more than once in a text is
 one finding with its number of occurrences, judged by the one that looks most like a secret; rows
-that repeat a document give its findings again; extra columns are ignored or, in `redact`,
+that repeat a document give its findings once; extra columns are ignored or, in `redact`,
 returned untouched; an empty table gives no rows.
 """
 
@@ -133,7 +133,7 @@ def labelled_findings(spark: SparkSession, n: int = 6000, seed: int = 11) -> Dat
     some = lambda k, lo, hi: (F.pmod(F.xxhash64(F.lit(seed), F.lit(k), "id"), F.lit(hi - lo + 1)) + lo).cast("int")
     b64 = F.translate(F.base64(F.unhex(h(1))), "+=\r\n", "_")
     upper = F.translate(F.upper(F.translate(F.base64(F.unhex(h(2))), "+/=\r\n", "AB")), "01", "XY")
-    hexa, word = F.substr(h(3), F.lit(1), some(3, 16, 64)), pick(4, ["image", "document", "version", "chapter", "report", "backup", "release", "section", "summary", "thonerha", "ingreount"])
+    hexa, word = F.substr(h(3), F.lit(1), some(3, 16, 64)), pick(4, ["image", "document", "version", "chapter", "report", "backup", "release", "section", "summary", "harvest", "meeting"])
     text = pick(5, ["the", "of", "and", "that", "in", "was", "nd", "le", "der", "de"])
     name = pick(6, ["password", "passwd", "token", "secret", "api_key", "apikey", "access_key", "client_secret", "auth_token", "credential"])
     other = pick(7, ["commit", "sha256", "md5", "checksum", "uuid", "hash", "revision", "version", "digest"])

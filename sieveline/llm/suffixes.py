@@ -17,8 +17,10 @@ A byte goes if a string of `length` bytes that covers it also starts anywhere el
    Window sizes on the right follow from neighbouring common prefixes, on the left from a sort of
    the bytes before the anchor; together they give the windows that occur twice.
 
-A string that more than `hot` distinct contexts share is not merged in one task: its windows are
-compared by 128-bit digests, spread over all tasks.
+A string that k distinct contexts share, k more than `hot`, is merged in ceil(k / hot) ways, each for
+a range of offsets of the anchor in the window. The windows of a range have more bytes in common than
+the anchor's string, so their records are exchanged by a digest of all these bytes, up to whole
+windows; the merge is the same.
 
 Defined results: null and empty texts have 0 bytes; texts shorter than a window lose nothing;
 repeated rows are copies of each other; an empty table gives no rows; extra columns are ignored.
@@ -255,8 +257,22 @@ def _anchor_rows(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, _A)
 
 
+def _ways(data: bytes, x: dict, length: int, buckets: int) -> Iterator[tuple[int, int, int]]:
+    """(bucket, first and last window start) of each way in which the context x is merged."""
+    at, lo, hi, ways = x["at"], x["lo"], x["hi"], x["ways"]
+    if ways == 1:
+        yield x["f"] % buckets, lo, hi
+        return
+    offsets = length // 2 + 1
+    for j in range(ways):
+        first, last = j * offsets // ways, (j + 1) * offsets // ways - 1
+        if max(first, at - hi) <= min(last, at - lo):
+            key = _digest(data[at - first : at + length - last] + j.to_bytes(4, "little"))[0]
+            yield key % buckets, at - min(last, at - lo), at - max(first, at - hi)
+
+
 def _runs(owned: DataFrame, length: int, buckets: int) -> DataFrame:
-    """Front-coded runs (bucket, run) of the contexts that texts own. owned: _t1, _t2, text, own array<f, at, lo, hi>."""
+    """Front-coded runs (bucket, run) of the contexts that texts own. owned: _t1, _t2, text, own array<f, at, lo, hi, ways>."""
 
     @slim
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,12 +300,13 @@ def _runs(owned: DataFrame, length: int, buckets: int) -> DataFrame:
             for t1, t2, text, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode("utf-8", "surrogatepass")
                 for x in own:
-                    at, lo, hi = x["at"], x["lo"], x["hi"]
-                    right, left = data[at : hi + length], data[lo:at][::-1]
-                    # rest: whose the record is, its place and offsets, and the bytes before the anchor
-                    rest = np.array([t1, t2, at, at - hi, at - lo], "<i8").tobytes() + left
-                    held.append((x["f"] % buckets, right, rest))
-                    size += len(right) + len(rest)
+                    for bucket, lo, hi in _ways(data, x, length, buckets):
+                        at = x["at"]
+                        right, left = data[at : hi + length], data[lo:at][::-1]
+                        # rest: whose the record is, its place and offsets, and the bytes before the anchor
+                        rest = np.array([t1, t2, at, at - hi, at - lo], "<i8").tobytes() + left
+                        held.append((bucket, right, rest))
+                        size += len(right) + len(rest)
                 if size >= RUN_BYTES:
                     yield flush()
                     size = 0
@@ -327,24 +344,6 @@ def _merged(runs: DataFrame, length: int) -> DataFrame:
     return runs.groupBy("bucket").applyInArrow(merge, "_t1 long, _t2 long, start long, end long")
 
 
-def _hot_spans(owned: DataFrame, length: int) -> DataFrame:
-    """Spans of the same kind for contexts of hot strings: windows are compared by digest."""
-
-    @slim
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["_t1", "_t2", "start", "d1", "d2"]
-        for batch in batches:
-            for t1, t2, text, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = text.encode("utf-8", "surrogatepass")
-                starts = sorted({i for x in own for i in range(x["lo"], x["hi"] + 1)})
-                rows = [(t1, t2, i, *_digest(data[i : i + length])) for i in starts]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
-
-    windows = stored(owned.mapInArrow(run, "_t1 long, _t2 long, start long, d1 long, d2 long"), "windows")
-    twice = stored(windows.groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "windows-twice")
-    return windows.join(broadcast_if(twice), ["d1", "d2"], "left_semi").select("_t1", "_t2", "start", (F.col("start") + length).alias("end"))
-
-
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.col(id_col).alias("_doc"), text.alias("text"), F.xxhash64(text).alias("_t1"), F.xxhash64(F.lit(1), text, F.lit(2)).alias("_t2"))
@@ -365,21 +364,16 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     again = stored(contexts.where("n > 1").select("c1", "c2"), "contexts-twice")
     spans = records_twice.join(broadcast_if(again), ["c1", "c2"], "left_semi").select("_t1", "_t2", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
     sharing = stored(contexts.groupBy("f").agg(F.count("*").alias("k")).where("k > 1"), "strings")
-    owned = contexts.join(broadcast_if(sharing), "f").select("o._t1", "o._t2", F.struct("f", "o.at", "o.lo", "o.hi").alias("x"), "k")
-    owned = stored(owned.groupBy("_t1", "_t2", (F.col("k") > hot).alias("is_hot")).agg(F.collect_list("x").alias("own")), "owned")
-    parts = [spans]
-    for is_hot in (False, True):
-        mine = owned.where(F.col("is_hot") == is_hot).drop("is_hot")
-        size = mine.agg(F.sum(F.size("own"))).first()[0]
-        if not size:
-            continue
+    ways = F.least(F.lit(length // 2 + 1), F.ceil(F.col("k") / hot)).cast("int").alias("ways")
+    owned = contexts.join(broadcast_if(sharing), "f").select("o._t1", "o._t2", F.struct("f", "o.at", "o.lo", "o.hi", ways).alias("x"))
+    owned = stored(owned.groupBy("_t1", "_t2").agg(F.collect_list("x").alias("own")), "owned")
+    size = owned.agg(F.sum(F.aggregate("own", F.lit(0).cast("long"), lambda n, x: n + x["ways"]))).first()[0]
+    out = spans
+    if size:
         # an identical row twice in the table gives its texts twice; one is enough
-        there = texts.join(broadcast_if(mine), ["_t1", "_t2"]).select("_t1", "_t2", "text", "own")
+        there = texts.join(broadcast_if(owned), ["_t1", "_t2"]).select("_t1", "_t2", "text", "own")
         buckets = max(8, -(-size * length * 2 // RUN_BYTES))
-        parts.append(_hot_spans(there, length) if is_hot else _merged(stored(_runs(there, length, buckets), "runs"), length))
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
+        out = out.unionByName(_merged(stored(_runs(there, length, buckets), "runs"), length))
     per = out.groupBy("_t1", "_t2").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
     return copied, stored(per, "spans")
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sieveline.llm import htmltext, langid, neardup, packing, suffixes, tokencount
+from sieveline.llm import htmltext, langid, neardup, packing, queries, suffixes, tokencount
 
 LONG = "doc_id long, text string"
 
@@ -117,7 +117,7 @@ def without_repeats(rows, n):
     return out
 
 
-@pytest.mark.parametrize(("length", "hot"), [(40, 100_000), (40, 2), (64, 100_000)])
+@pytest.mark.parametrize(("length", "hot"), [(40, 100_000), (40, 2), (40, 1), (64, 9)])
 def test_repeats(spark, length, hot):
     rng = random.Random(length)
     word = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
@@ -136,6 +136,21 @@ def test_no_repeats(spark):
     assert sorted((r["n_bytes"], r["n_removed"]) for r in got) == [(399, 0), (500, 500)]
 
 
+@pytest.mark.parametrize("name", ["op2_near_duplicates", "op6_suffix_dedup"])
+def test_queries_agree_with_sql(name, same):
+    same(queries.QUERIES[name], queries.ORACLES[name])
+
+
+def test_shuffled_joins_give_the_same(spark, monkeypatch):
+    """As if every table were beyond the bound for a broadcast."""
+    rows = crowded(random.Random(9))
+    want = {n: sorted(map(str, f(frame(spark, rows), **k).collect())) for n, f, k in (("near", neardup.near_duplicates, {}), ("repeats", suffixes.remove_repeats, {"length": 64}))}
+    for module in (neardup, suffixes):
+        monkeypatch.setattr(module, "broadcast_if", lambda df: df.hint("merge"))
+    assert sorted(map(str, neardup.near_duplicates(frame(spark, rows)).collect())) == want["near"]
+    assert sorted(map(str, suffixes.remove_repeats(frame(spark, rows), length=64).collect())) == want["repeats"]
+
+
 def test_loser_tree_merges():
     rng = random.Random(8)
     runs = [sorted((bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 9))), b"%d" % r) for _ in range(rng.randint(0, 40))) for r in range(7)]
