@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if, dropped, let, space_words, stored
+from .common import BROADCAST_BYTES, broadcast_if, dropped, let, space_words, stored, value_bytes
 
 WINDOW = 8
 #: Added to each standard deviation (transformed units), only so that no covariance is singular.
@@ -190,7 +190,7 @@ def _starts(cells: DataFrame) -> DataFrame:
     return out
 
 
-def estimates(stats: DataFrame, *, support: float = 0.75, steps: int = 12, tolerance: float = 1e-3) -> DataFrame:
+def estimates(stats: DataFrame, *, support: float = 0.75, steps: int = 12, tolerance: float = 0.01) -> DataFrame:
     """One row for each _g of stats (_g, x_*): mean, Cholesky factor, logarithm of the determinant and
     scale `c` of the robust estimate.
 
@@ -204,14 +204,15 @@ def estimates(stats: DataFrame, *, support: float = 0.75, steps: int = 12, toler
 
     def placed(params: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Cells with their distance bins, and the bins that hold half and the support share of the documents."""
-        joined = _distance(cells.join(broadcast_if(params), "_g")).select(*key, *DIMS, "_n", _bin(F.col("_d2")).alias("_bin"))
+        joined = _distance(cells.join(F.broadcast(params) if few else params, "_g")).select(*key, *DIMS, "_n", _bin(F.col("_d2")).alias("_bin"))
         return joined, _at_shares(joined.groupBy(*key, "_bin").agg(F.sum("_n").alias("_n")), key, {"_half": 0.5, "_keep": support})
 
     params = with_det(_starts(cells))
+    few = value_bytes(params) <= BROADCAST_BYTES  # of all steps, which have a row for each group and start
     for _ in range(steps):
         joined, at = placed(params)
-        following = with_det(joined.join(at, key).where("_bin <= _keep").groupBy(*key).agg(*_moments()))
-        moved = following.join(params.select(*key, F.col("log_det").alias("_before")), key).agg(F.max(F.abs(F.col("log_det") - F.col("_before")))).first()[0]
+        following = with_det(joined.join(F.broadcast(at) if few else at, key).where("_bin <= _keep").groupBy(*key).agg(*_moments()))
+        moved = following.join(F.broadcast(params) if few else params, key).agg(F.max(F.abs(following["log_det"] - params["log_det"]))).first()[0]
         dropped(params)
         params = following
         if moved is None or moved <= tolerance:
