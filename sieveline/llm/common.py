@@ -6,6 +6,7 @@ import ctypes
 import gc
 import sys
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 from functools import wraps
@@ -21,6 +22,7 @@ ASCII_SPACE = r"[\x20\x09-\x0D]+"
 NULL_ID = -(2**63)
 #: Most bytes of values that a table may have to be broadcast; its hash table takes about three times as many.
 BROADCAST_BYTES = 48 << 20
+IDLE = 3.0
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -117,6 +119,35 @@ def slim(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return slimmed
 
 
+class Cache(dict):
+    """What a worker knows by key, in two halves of at most `most` entries: keys in use come over from
+    the older one. Tasks that follow each other share it; it is emptied `IDLE` seconds after the last."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old, self.timer = most, {}, None
+
+    def keep(self, key, value) -> None:
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+    def begin(self) -> None:
+        if self.timer:
+            self.timer.cancel()
+
+    def end(self) -> None:
+        self.timer = threading.Timer(IDLE, self._forget)
+        self.timer.daemon = True
+        self.timer.start()
+
+    def _forget(self) -> None:
+        self.clear()
+        self.old = {}
+        release()
+
+
 def release() -> None:
     """Gives free memory of this process back to the system."""
     gc.collect()

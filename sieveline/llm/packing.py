@@ -14,7 +14,7 @@ column `how` tells by which of the three ("first", "second", "rest") a sequence
 
 Encoding: if the tokenizer drops white space and never joins over it, as the default one, the ids
 of a text are those of its parts between spaces and line feeds, which are cached for each worker
-(`CACHED` entries at most, then anew). A part that is a Latin word goes to the tokenizer's model
+(twice `CACHED` entries at most, those in use kept). A part that is a Latin word goes to the tokenizer's model
 directly, and a point or comma after a word is a part of its own. Other tokenizers must be given
 with `split=False`; their texts are encoded whole.
 
@@ -33,14 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slim, stored
+from .common import Cache, slim, stored
 from .tokencount import byte_signs
 
 SEQUENCE = 2048
 END_ID = 1
 OPEN = 64
 FAN = 64
-CACHED = 100_000
+CACHED = 500_000
 LONGEST_CACHED = 64
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, how string"
 TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
@@ -55,13 +55,13 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder(dict):
+class Encoder(Cache):
     """Ids of text parts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str, split: bool = True):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        super().__init__(CACHED)
         self.tokenizer, self.split = Tokenizer.from_file(path), split
         self.model, self.signs = self.tokenizer.model, byte_signs()
 
@@ -75,11 +75,11 @@ class Encoder(dict):
         return np.array(ids, "<u4").tobytes()
 
     def __missing__(self, part: str) -> bytes:
-        out = self._ids(part)
+        out = self.old.get(part)
+        if out is None:
+            out = self._ids(part)
         if len(part) <= LONGEST_CACHED:
-            if len(self) >= CACHED:
-                self.clear()
-            self[part] = out
+            self.keep(part, out)
         return out
 
     def encode(self, text: str) -> bytes:
@@ -103,19 +103,21 @@ class Packer:
 
     def __init__(self, size: int, first_id: int = 0, how: str = "first", most: int = OPEN):
         self.size, self.next_id, self.how, self.most = size, first_id, how, most
-        self.counts = np.zeros(size + 1, np.int64)
+        self.counts = [0] * (size + 1)
         self.open: dict[int, list[list[tuple]]] = {}
         self.n_open = 0
         self.short: list | None = None  # the window that the next document fills: [tokens, pieces]
 
     def level(self, n: int) -> int:
         """The fill level at which n more tokens least raise the sum of squares; the fuller one of equals."""
-        cost = 2 * self.counts + 1
-        cost[self.size] = 0
-        rise = cost[n:] - 2 * self.counts[: self.size - n + 1] + 1
-        rise[self.counts[: self.size - n + 1] == 0] = np.iinfo(np.int64).max
-        rise[0] = cost[n]
-        return len(rise) - 1 - int(np.argmin(rise[::-1]))
+        counts, size = self.counts, self.size
+        best, least = 0, 2 * counts[n] + 1 if n < size else 0
+        for h in self.open:
+            if h + n <= size:
+                rise = (2 * counts[h + n] + 1 if h + n < size else 0) - 2 * counts[h] + 1
+                if rise < least or rise == least and h > best:
+                    best, least = h, rise
+        return best
 
     def emit(self, pieces: list[tuple], how: str | None = None) -> Iterator[tuple]:
         at = 0
@@ -151,14 +153,17 @@ class Packer:
             self.counts[at + n] += 1
             self.n_open += 1
             if self.n_open > self.most:
-                top = int(np.flatnonzero(self.counts)[-1])
+                top = max(self.open)
                 self.short = [top, self._take(top)]
 
     def _take(self, level: int) -> list[tuple]:
         """The pieces of an open window of this level, which it gives up."""
         self.counts[level] -= 1
         self.n_open -= 1
-        return self.open[level].pop()
+        pieces = self.open[level].pop()
+        if not self.open[level]:
+            del self.open[level]
+        return pieces
 
     def rest(self) -> list[list[tuple]]:
         """The open windows, fullest first, which it gives up."""
@@ -166,7 +171,7 @@ class Packer:
             self.open.setdefault(self.short[0], []).append(self.short[1])
         out = [pieces for at in sorted(self.open, reverse=True) for pieces in self.open[at]]
         self.open, self.short, self.n_open = {}, None, 0
-        self.counts[:] = 0
+        self.counts = [0] * (self.size + 1)
         return out
 
     def carry(self) -> Iterator[tuple]:
@@ -221,10 +226,14 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", siz
         packer = Packer(size, TaskContext.get().partitionId() << 32)
 
         def rows() -> Iterator[tuple]:
-            for batch in batches:
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    yield from packer.add(doc, enc.encode(text.as_py() or "") + end)
-            yield from packer.carry()
+            enc.begin()
+            try:
+                for batch in batches:
+                    for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                        yield from packer.add(doc, enc.encode(text.as_py() or "") + end)
+                yield from packer.carry()
+            finally:
+                enc.end()
 
         return _batches(rows())
 

@@ -10,7 +10,7 @@ that file writes them, closed by an end mark; all single bytes are pieces, so ev
 In other vocabularies a word that can't be split counts as one piece. Words are those of the
 file's pattern (letters, single digits, runs of other signs) in composed lower case.
 
-Counts of parts between spaces are cached for each worker, `CACHED` entries at most.
+Counts of parts between spaces are cached for each worker, twice `CACHED` entries at most.
 
 Defined results: null and empty texts have 0 tokens; repeated rows are counted each; an empty
 table gives no rows; extra columns are ignored.
@@ -26,9 +26,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import slim
+from .common import Cache, slim
 
-CACHED = 100_000
+CACHED = 500_000
 LONGEST_CACHED = 64
 END = "\0"
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -109,20 +109,20 @@ def vocabulary(path: str) -> list[str]:
     return [x.removesuffix("</w>") + END if x.endswith("</w>") else x for x in data["model"]["vocab"] if x not in special]
 
 
-class Counter(dict):
+class Counter(Cache):
     """Cached token counts of text parts."""
 
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(CACHED)
         self.automaton, self.signs = Automaton(vocabulary(path)), byte_signs()
 
     def __missing__(self, part: str) -> int:
-        text = unicodedata.normalize("NFC", part).lower()
-        n = sum(self.automaton.count("".join(self.signs[b] for b in w.encode()) + END) for w in WORD.findall(text))
+        n = self.old.get(part)
+        if n is None:
+            text = unicodedata.normalize("NFC", part).lower()
+            n = sum(self.automaton.count("".join(self.signs[b] for b in w.encode()) + END) for w in WORD.findall(text))
         if len(part) <= LONGEST_CACHED:
-            if len(self) >= CACHED:
-                self.clear()
-            self[part] = n
+            self.keep(part, n)
         return n
 
 
@@ -141,15 +141,20 @@ def token_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _counters:
             _counters[path] = Counter(path)
-        count = _counters[path].__getitem__
-        for batch in batches:
-            words, tokens = [], []
-            for text in batch.column(1):
-                whole = text.as_py() or ""
-                words.append(len(whole.split()))
-                # cut where the pattern always cuts, which is less than str.split() takes for white space
-                tokens.append(sum(map(count, whole.replace("\n", " ").split(" "))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], names=[id_col, "n_words", "n_tokens"])
+        counter = _counters[path]
+        count = counter.__getitem__
+        counter.begin()
+        try:
+            for batch in batches:
+                words, tokens = [], []
+                for text in batch.column(1):
+                    whole = text.as_py() or ""
+                    words.append(len(whole.split()))
+                    # cut where the pattern always cuts, which is less than str.split() takes for white space
+                    tokens.append(sum(map(count, whole.replace("\n", " ").split(" "))))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], names=[id_col, "n_words", "n_tokens"])
+        finally:
+            counter.end()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_words long, n_tokens long")
