@@ -220,9 +220,9 @@ def snk_archive_old(spark, d):
     return _names(spark, gone)
 
 
-@query("SELECT CAST(doc_id AS VARCHAR) || '.json' AS name FROM labels ORDER BY toxic DESC, doc_id DESC OFFSET 50")
+@query("SELECT CAST(doc_id AS VARCHAR) || '.json' AS name FROM labels WHERE (SELECT count(*) FROM labels) > 100 ORDER BY toxic DESC, doc_id DESC OFFSET 50")
 def snk_archive_oldest(spark, d):
-    """All but the newest 50, of a listing with times."""
+    """All but the newest 50, of a listing with times, if there are more than 100."""
     files = table(spark, d, "labels").select(F.concat(F.col("doc_id").cast("string"), F.lit(".json")).alias("name"), F.format_string("%020d", "doc_id").alias("path"), F.col("toxic").alias("mtime"))
     return writers.oldest_beyond(files).select("name")
 

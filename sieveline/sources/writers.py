@@ -39,7 +39,7 @@ def intermediate(df: DataFrame, path: str, kind: str = "text") -> None:
     if kind == "jsonl":
         jsonl(df, path)
     elif kind == "json":
-        json_array(df).write.mode("overwrite").text(path)
+        json_array(df).write.mode("overwrite").option("lineSep", " ").text(path)
     elif kind == "text":
         df.select(F.col(df.columns[0]).cast("string")).coalesce(1).write.mode("overwrite").text(path)
     else:
