@@ -9,6 +9,7 @@ so it takes one task for each pair of documents (`group`).
 from __future__ import annotations
 
 import difflib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -94,14 +95,39 @@ def length_bound(a: Column, b: Column, threshold: float) -> Column:
     return 2.0 * F.least(x, y) >= F.lit(threshold) * (x + y)
 
 
+def _letters(c: Column, kinds: int = 16) -> Column:
+    """How many characters of c fall into each of `kinds` classes."""
+    of = F.transform(F.filter(F.split(c, ""), lambda x: x != ""), lambda x: F.pmod(F.ascii(x), F.lit(kinds)))
+    return F.transform(F.sequence(F.lit(0), F.lit(kinds - 1)), lambda k: F.size(F.filter(of, lambda x: x == k)))
+
+
+def like_pairs(left: DataFrame, right: DataFrame, a: str, b: str, threshold: float, on: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of left and right whose strings a and b may have a ratio of matching characters of the threshold or more.
+
+    Loses no such pair. Lengths are cut into bands, each as wide as the threshold lets lengths differ,
+    so a string meets its own band and the two beside it in an equi-join, which adaptive execution splits
+    where a band is large; then the common characters must suffice. threshold lies between 0 and 1.
+    """
+    step = max(math.log((2 - threshold) / threshold), 0.01)
+    n = lambda c: F.char_length(c).cast("double")
+    none = F.lit(-(10**6))
+    at = lambda c, by: F.floor(F.log(n(c)) / F.lit(step) + F.lit(by)).cast("int")
+    bands = F.when(n(b) == 0, F.array(none)).otherwise(F.sequence(at(b, -1 - 1e-9), at(b, 1 + 1e-9)))
+    x = left.where(F.col(a).isNotNull()).withColumns({"_band": F.when(n(a) == 0, none).otherwise(at(a, 0.0)), "_la": _letters(F.col(a))})
+    y = right.where(F.col(b).isNotNull()).withColumns({"_band": F.explode(bands), "_lb": _letters(F.col(b))})
+    common = F.aggregate(F.zip_with("_la", "_lb", lambda p, q: F.least(p, q)), F.lit(0), lambda s, v: s + v)
+    pairs = x.join(y, [*on, "_band"]).where(length_bound(F.col(a), F.col(b), threshold))
+    return pairs.where(2.0 * common >= F.lit(threshold) * (n(a) + n(b))).drop("_band", "_la", "_lb")
+
+
 def heading_fuzzy(left: DataFrame, right: DataFrame, *, threshold: float = 0.3, group: str | None = None) -> DataFrame:
-    """Alignment by the ratio of normalised headings, above the threshold."""
+    """Alignment by the ratio of normalised headings, above the threshold. Equal pairs of headings are scored once."""
     on = [group] if group else []
     mark = lambda df, s: headings(df.withColumn("_g", F.struct(*on, "chunk_id")), id_col="_g").select(*[F.col(f"_g.{g}").alias(g) for g in on], F.col("_g.chunk_id").alias(s), F.col("normalized").alias(f"h{s}"))
     a, b = mark(left, "a"), mark(right, "b")
-    bound = length_bound(F.col("ha"), F.col("hb"), threshold)
-    pairs = a.join(b, on).where(bound) if on else a.join(F.broadcast(b), bound)
-    scored = pairs.withColumn("score", seq_ratio_column("ha", "hb")).where(F.col("score") > threshold).select(*on, "a", "b", "score")
+    texts = like_pairs(a.select(*on, "ha").distinct(), b.select(*on, "hb").distinct(), "ha", "hb", threshold, tuple(on))
+    scores = texts.withColumn("score", seq_ratio_column("ha", "hb")).where(F.col("score") > threshold)
+    scored = scores.join(a, [*on, "ha"]).join(b, [*on, "hb"]).select(*on, "a", "b", "score")
     return scored.groupBy(*(on or [F.lit("all").alias("_g")])).applyInPandas(_greedy(threshold, "heading"), MATCHED)
 
 

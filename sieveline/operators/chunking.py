@@ -12,28 +12,39 @@ from ..functions import text as T
 from ..functions.classify import heading_unit
 
 
-def _last(a: Column) -> Column:
-    return F.try_element_at(a, F.lit(-1))
+def _groups(items: Column, limit: int, *, base: int = 0, closes=None) -> Column:
+    """Groups first, last (positions from 0) and n of consecutive items with a cost n, in one pass.
 
+    An item that would exceed the limit begins the next group, and so does one behind a group that
+    closes(item, n). A group costs `base` besides its items. Only a new group copies what was found before.
+    """
+    shut = closes or (lambda x, n: F.lit(False))
+    zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).alias("at"), F.lit(True).alias("shut"), F.array().cast("array<struct<first: int, last: int, n: bigint>>").alias("done"), F.lit(0).alias("first"))
 
-def _pack(items: Column, limit: int) -> Column:
-    """Folds structs (text, n) into groups: an item that would exceed the limit begins the next one."""
-    parts = F.transform(items, lambda x: F.struct(F.array(x["text"]).alias("texts"), x["n"].alias("n")))
+    def ended(acc: Column) -> Column:
+        group = F.struct(acc["first"].alias("first"), (acc["at"] - 1).alias("last"), acc["n"].alias("n"))
+        return F.concat(acc["done"], F.array(group))
 
     def step(acc: Column, x: Column) -> Column:
-        full = _last(acc)["n"] + x["n"] > limit
-        more = F.struct(F.concat(_last(acc)["texts"], x["texts"]).alias("texts"), (_last(acc)["n"] + x["n"]).alias("n"))
-        return F.when(full, F.concat(acc, F.array(x))).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(more)))
+        new = acc["shut"] | (acc["n"] + x["n"] > limit)
+        n = F.when(new, F.lit(base) + x["n"]).otherwise(acc["n"] + x["n"]).cast("bigint")
+        done = F.when(new & (acc["at"] > 0), ended(acc)).otherwise(acc["done"])
+        return F.struct(n.alias("n"), (acc["at"] + 1).alias("at"), F.coalesce(shut(x, n), F.lit(False)).alias("shut"), done.alias("done"), F.when(new, acc["at"]).otherwise(acc["first"]).alias("first"))
 
-    empty = F.array().cast("array<struct<texts: array<string>, n: bigint>>")
-    return F.aggregate(parts, empty, lambda acc, x: F.when(F.size(acc) == 0, F.array(x)).otherwise(step(acc, x)))
+    return F.aggregate(items, zero, step, lambda acc: F.when(acc["at"] == 0, acc["done"]).otherwise(ended(acc)))
+
+
+def _texts(items: Column, group: Column) -> Column:
+    return F.transform(F.slice(items, group["first"] + 1, group["last"] - group["first"] + 1), lambda x: x["text"])
 
 
 def chunk_words(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", size: int = 1500, separator: str = "\n\n") -> DataFrame:
     """Chunks id, text, word_count, language of each document: paragraphs up to `size` words; one alone may exceed it."""
     items = F.transform(T.paragraphs(F.col(text_col), separator), lambda p: F.struct(p.alias("text"), T.word_count(p).alias("n")))
-    rows = docs.select(id_col, F.col(lang_col).alias("language"), F.posexplode(_pack(items, size)).alias("id", "c"))
-    return rows.select(id_col, "id", F.array_join("c.texts", separator).alias("text"), F.col("c.n").alias("word_count"), "language")
+    docs = docs.select(id_col, F.col(lang_col).alias("language"), items.alias("_items"))
+    groups = F.transform(_groups(F.col("_items"), size), lambda g: F.struct(F.array_join(_texts(F.col("_items"), g), separator).alias("text"), g["n"].alias("n")))
+    rows = docs.select(id_col, "language", F.posexplode(groups).alias("id", "c"))
+    return rows.select(id_col, "id", "c.text", F.col("c.n").alias("word_count"), "language")
 
 
 def paragraph_units(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", separator: str = "\n\n") -> DataFrame:
@@ -46,27 +57,19 @@ def chunk_tokens(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """Token chunks: greedy up to `size`, closed behind a heading once over half full, begun with the last
     `overlap` sentences of the chunk before, its own overlap included."""
     units = F.transform(T.paragraphs(F.col(text_col), separator), lambda p: F.struct(p.alias("text"), T.tokens_floor(p).alias("n"), heading_unit(p).alias("heading")))
-    kind = "array<struct<texts: array<string>, n: bigint, first: int, last: int, closed: boolean>>"
-
-    def fold(acc: Column, x: Column) -> Column:
-        unit, i = x["u"], x["i"]
-        new = F.struct(F.array(unit["text"]).alias("texts"), unit["n"].alias("n"), i.alias("first"), i.alias("last"), (unit["heading"] & (unit["n"] > size * 0.5)).alias("closed"))
-        n = _last(acc)["n"] + unit["n"]
-        more = F.struct(F.concat(_last(acc)["texts"], F.array(unit["text"])).alias("texts"), n.alias("n"), _last(acc)["first"].alias("first"), i.alias("last"), (unit["heading"] & (n > size * 0.5)).alias("closed"))
-        begins = _last(acc)["closed"] | (n > size)
-        return F.when(F.size(acc) == 0, F.array(new)).when(begins, F.concat(acc, F.array(new))).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(more)))
-
-    packed = F.aggregate(F.transform(units, lambda u, i: F.struct(u.alias("u"), i.alias("i"))), F.array().cast(kind), fold)
-    done_kind = "array<struct<text: string, n: bigint, first: int, last: int, count: int>>"
+    docs = docs.select(id_col, F.col(lang_col).alias("language"), units.alias("_items"))
+    groups = _groups(F.col("_items"), size, closes=lambda x, n: x["heading"] & (n > size * 0.5))
+    docs = docs.withColumn("_packed", F.transform(groups, lambda g: F.struct(F.array_join(_texts(F.col("_items"), g), separator).alias("text"), g["n"].alias("n"), g["first"].alias("first"), g["last"].alias("last"))))
 
     def with_overlap(acc: Column, x: Column) -> Column:
-        own = F.array_join(x["texts"], separator)
-        tail = F.when(F.size(acc) == 0, F.lit("")).otherwise(T.overlap_tail(_last(acc)["text"], overlap)) if overlap else F.lit("")
-        whole = F.when(tail == "", own).otherwise(F.concat(tail, F.lit(separator), own))
+        tail = F.when(F.size(acc["done"]) == 0, F.lit("")).otherwise(T.overlap_tail(acc["text"], overlap)) if overlap else F.lit("")
+        whole = F.when(tail == "", x["text"]).otherwise(F.concat(tail, F.lit(separator), x["text"]))
         n = x["n"] + F.when(tail == "", F.lit(0)).otherwise(T.tokens_floor(tail))
-        return F.concat(acc, F.array(F.struct(whole.alias("text"), n.cast("bigint").alias("n"), x["first"].alias("first"), x["last"].alias("last"), (x["last"] - x["first"] + 1).alias("count"))))
+        one = F.struct(whole.alias("text"), n.cast("bigint").alias("n"), x["first"].alias("first"), x["last"].alias("last"), (x["last"] - x["first"] + 1).alias("count"))
+        return F.struct(F.concat(acc["done"], F.array(one)).alias("done"), whole.alias("text"))
 
-    rows = docs.select(id_col, F.col(lang_col).alias("language"), F.posexplode(F.aggregate(packed, F.array().cast(done_kind), with_overlap)).alias("chunk_id", "c"))
+    none = F.struct(F.array().cast("array<struct<text: string, n: bigint, first: int, last: int, count: int>>").alias("done"), F.lit("").alias("text"))
+    rows = docs.select(id_col, "language", F.posexplode(F.aggregate("_packed", none, with_overlap, lambda acc: acc["done"])).alias("chunk_id", "c"))
     return rows.select(
         id_col, "chunk_id", F.col("c.text").alias("text"), F.col("c.n").alias("token_count"), "language", F.col("c.first").alias("start_paragraph_index"), F.col("c.last").alias("end_paragraph_index"), F.col("c.count").alias("paragraph_count")
     )
@@ -78,13 +81,18 @@ def chunk_sentences(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     parts = F.filter(F.transform(F.split(F.col(text_col), r"\."), T.strip), lambda x: x != "")
 
     def fold(acc: Column, s: Column) -> Column:
-        now = _last(acc)
+        now = acc["now"]
         grown = F.concat(now, F.lit(". "), s)
         last_two = F.concat_ws(". ", F.slice(F.split(now, r"\. "), F.greatest(F.size(F.split(now, r"\. ")) - 1, F.lit(1)), F.lit(2)))
         new = F.when(now.contains("."), F.concat(last_two, F.lit(". "), s)).otherwise(s)
-        return F.when(F.size(acc) == 0, F.array(s)).when(T.tokens_scaled(grown) > size, F.concat(acc, F.array(new))).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(grown)))
-
-    rows = docs.select(id_col, F.posexplode(F.aggregate(parts, F.array().cast("array<string>"), fold)).alias("id", "text"))
+        full = T.tokens_scaled(grown) > size
+        return F.when(now.isNull(), F.struct(acc["done"].alias("done"), s.alias("now"))).otherwise(
+            F.struct(F.when(full, F.concat(acc["done"], F.array(now))).otherwise(acc["done"]).alias("done"), F.when(full, new).otherwise(grown).alias("now"))
+        )
+
+    none = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("now"))
+    ended = lambda acc: F.when(acc["now"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["now"])))
+    rows = docs.select(id_col, F.posexplode(F.aggregate(parts, none, fold, ended)).alias("id", "text"))
     return rows.select(
         id_col, "id", T.strip(F.col("text")).alias("text"), T.tokens_scaled(F.col("text")).alias("token_count"), (F.col("id") * (size // 100)).alias("start_sentence"), F.when(F.col("id") > 0, overlap).otherwise(0).alias("overlap_tokens")
     )
@@ -93,15 +101,10 @@ def chunk_sentences(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def pack_batches(chunks: DataFrame, *, group: str, order: str, tokens: str = "token_count", limit: int = 240_000, prompt_tokens: int = 0, output_tokens: int = 512) -> DataFrame:
     """Batches batch_id, chunk_ids, prompt_tokens, expected_output_tokens, total_tokens of each group's chunks in order."""
     lists = chunks.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).cast("bigint").alias("id"), F.col(tokens).cast("bigint").alias("n")))).alias("c"))
-    kind = "array<struct<ids: array<bigint>, n: bigint>>"
-
-    def fold(acc: Column, x: Column) -> Column:
-        cost = x["n"] + output_tokens
-        new = F.struct(F.array(x["id"]).alias("ids"), (F.lit(prompt_tokens) + cost).cast("bigint").alias("n"))
-        more = F.struct(F.concat(_last(acc)["ids"], F.array(x["id"])).alias("ids"), (_last(acc)["n"] + cost).alias("n"))
-        return F.when(F.size(acc) == 0, F.array(new)).when(_last(acc)["n"] + cost > limit, F.concat(acc, F.array(new))).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(more)))
-
-    rows = lists.select(group, F.posexplode(F.aggregate("c", F.array().cast(kind), fold)).alias("batch_id", "b"))
+    items = F.transform("c", lambda x: F.struct(x["id"].alias("text"), (x["n"] + output_tokens).alias("n")))
+    lists = lists.select(group, items.alias("_items"))
+    batches = F.transform(_groups(F.col("_items"), limit, base=prompt_tokens), lambda g: F.struct(_texts(F.col("_items"), g).alias("ids"), g["n"].alias("n")))
+    rows = lists.select(group, F.posexplode(batches).alias("batch_id", "b"))
     output = (F.size("b.ids") * output_tokens).cast("bigint")
     return rows.select(group, "batch_id", F.col("b.ids").alias("chunk_ids"), (F.col("b.n") - output).alias("prompt_tokens"), output.alias("expected_output_tokens"), F.col("b.n").alias("total_tokens"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import classify as C
 from ..functions import records as R
 from ..functions import text as T
-from .align import indel_ratio_column, length_bound, seq_ratio_column
+from .align import indel_ratio_column, like_pairs, seq_ratio_column
 from .order import first_rows, keep_first, rank_by_hash, shuffled_key, top_k
 
 # ---- deduplication -------------------------------------------------------------------------
@@ -36,62 +36,75 @@ def dedup_input(df: DataFrame, *, col: str = "input", order: str = "ordinal") ->
 # ---- references ----------------------------------------------------------------------------
 
 
-def reference_any(rows: DataFrame, corpus: DataFrame, *, ref_col: str = "reference", text_col: str = "text") -> DataFrame:
-    """The rows whose reference is, ignoring case, contained in a corpus text.
+def _contained(refs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The distinct _r of refs that are contained in a _t of texts.
 
-    Distinct references are tested once. They are matched through a word of theirs (the longest)
-    where they have one between spaces: equi-joins find the texts that hold the word, by hashes, and
-    only those texts are fetched. References of one word are tested against each text.
+    No pair is tested but those that a word brings together: references with a word between two spaces
+    meet the texts that hold that word (the longest one), the others the texts with a word that holds
+    the longest part between their spaces, found by the part's first three characters. What consists of
+    spaces only is compared with the longest run of spaces.
     """
-    refs = rows.select(F.lower(F.col(ref_col)).alias("_r")).where("_r is not null").distinct()
-    texts = corpus.select(F.lower(F.col(text_col)).alias("_t"))
-    inner = F.filter(F.slice(F.split("_r", " "), 2, F.greatest(F.size(F.split("_r", " ")) - 2, F.lit(0))), lambda w: w != "")
-    keyed = refs.withColumn("_w", F.when(F.size(inner) > 0, F.array_max(F.transform(inner, lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))["w"]))
     texts = texts.where("_t is not null").withColumn("_h", F.xxhash64("_t"))
+    longest = lambda parts: F.array_max(F.transform(parts, lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))["w"]
+    parts = F.split("_r", " ")
+    inner = F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))), lambda w: w != "")
+    keyed = refs.select("_r").where("_r is not null").distinct().select("_r", longest(inner).alias("_w"), longest(F.filter(parts, lambda w: w != "")).alias("_p"))
     words = texts.select("_h", F.explode(F.array_distinct(F.split("_t", " "))).alias("_w"))
-    likely = keyed.where("_w is not null").join(words, "_w").select("_r", "_h").distinct()
-    by_word = likely.join(texts, "_h").where(F.col("_t").contains(F.col("_r"))).select("_r")
-    plain = keyed.where("_w is null").select("_r")
-    by_text = plain.join(texts, F.col("_t").contains(F.col("_r")), "left_semi")
-    found = by_word.unionByName(by_text).distinct()
-    return rows.join(found, F.lower(F.col(ref_col)) == F.col("_r"), "left_semi")
+    whole = keyed.where("_w is not null").join(words, "_w").select("_r", "_h")
+    size = lambda c: F.least(F.char_length(c), F.lit(3))
+    grams = words.where("_w <> ''").select("_w").distinct()
+    starts = F.sequence(F.lit(1), F.char_length("_w"))
+    grams = grams.select("_w", F.explode(F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda n: F.substring(F.col("_w"), i, n)))))).alias("_g"))
+    plain = keyed.where("_w is null and _p is not null").select("_r", "_p", F.substring(F.col("_p"), F.lit(1), size("_p")).alias("_g"))
+    holding = plain.join(grams, "_g").where(F.col("_w").contains(F.col("_p"))).select("_r", "_w")
+    likely = whole.unionByName(holding.join(words, "_w").select("_r", "_h")).distinct()
+    found = likely.join(texts, "_h").where(F.col("_t").contains(F.col("_r"))).select("_r")
+    run = texts.agg(F.max(F.coalesce(F.array_max(F.transform(F.regexp_extract_all("_t", F.lit("( +)")), F.char_length)), F.lit(0))).alias("_run"))
+    blank = keyed.where("_p is null").join(F.broadcast(run)).where(F.char_length("_r") <= F.col("_run")).select("_r")
+    return found.unionByName(blank).distinct()
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """df dealt to all tasks: few rows that each cost much are scored next."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def reference_any(rows: DataFrame, corpus: DataFrame, *, ref_col: str = "reference", text_col: str = "text") -> DataFrame:
+    """The rows whose reference is, ignoring case, contained in a corpus text. Distinct references are tested once."""
+    found = _contained(rows.select(F.lower(F.col(ref_col)).alias("_r")), corpus.select(F.lower(F.col(text_col)).alias("_t")))
+    return rows.join(found, F.lower(F.col(ref_col)) == F.col("_r"), "left_semi")
 
 
 def _normal(c: Column) -> Column:
     return F.regexp_replace(F.lower(T.strip(c)), f"{T.SPACE}+", " ")
 
 
+def _close(left: DataFrame, corpus: DataFrame, text_col: str, ratio, threshold: float, full: float = 1.0) -> DataFrame:
+    """The distinct _r of left within the ratio of a sentence of the corpus.
+
+    Sentences come from all texts, are taken once each and meet references of like length only; common
+    characters are counted before the ratio is worked out.
+    """
+    sentences = corpus.select(F.explode(F.split(F.lower(F.col(text_col)), r"\.")).alias("_s")).select(T.strip(F.col("_s")).alias("_s")).distinct()
+    pairs = like_pairs(left.select("_r").distinct(), sentences, "_r", "_s", threshold / full)
+    return pairs.where(ratio("_r", "_s") >= threshold).select("_r").distinct()
+
+
 def reference_norm(rows: DataFrame, corpus: DataFrame, *, ref_col: str = "reference", text_col: str = "text", threshold: float = 85.0) -> DataFrame:
     """The rows with `verified`: UNKNOWN, contained with white space collapsed, or within the indel ratio of a sentence.
 
-    The ratio is only worked out for references that aren't contained, and pairs whose lengths allow it.
-    The corpus is a reference work (some documents), so its sentences are broadcast.
+    The ratio is only worked out for references that aren't contained, and pairs whose lengths and characters allow it.
     """
     refs = rows.select(F.col(ref_col).alias("_ref")).distinct().withColumn("_r", _normal(F.col("_ref")))
-    texts = corpus.select(_normal(F.col(text_col)).alias("_t"))
-    exact = refs.join(texts, F.col("_t").contains(F.col("_r")), "left_semi")
-    left = refs.join(exact, "_ref", "left_anti").where("_ref <> 'UNKNOWN'")
-    sentences = corpus.select(F.explode(F.split(F.lower(F.col(text_col)), r"\.")).alias("_s")).select(T.strip(F.col("_s")).alias("_s")).distinct()
-    close = _spread(left).join(F.broadcast(sentences), length_bound(F.col("_r"), F.col("_s"), threshold / 100)).where(indel_ratio_column("_r", "_s") >= threshold)
-    good = exact.select("_ref").unionByName(close.select("_ref")).distinct().withColumn("_ok", F.lit(True))
-    return rows.join(good, F.col(ref_col) == F.col("_ref"), "left").withColumn("verified", F.coalesce("_ok", F.col(ref_col) == "UNKNOWN", F.lit(False))).drop("_ref", "_ok")
+    exact = _contained(refs, corpus.select(_normal(F.col(text_col)).alias("_t")))
+    left = refs.where("_ref <> 'UNKNOWN'").join(exact, "_r", "left_anti")
+    good = exact.unionByName(_close(left, corpus, text_col, indel_ratio_column, threshold, 100.0)).distinct().withColumn("_ok", F.lit(True))
+    joined = rows.withColumn("_k", _normal(F.col(ref_col))).join(good, F.col("_k") == F.col("_r"), "left")
+    return joined.withColumn("verified", F.coalesce("_ok", F.col(ref_col) == "UNKNOWN", F.lit(False))).drop("_k", "_r", "_ok")
 
 
 def reference_seq(rows: DataFrame, corpus: DataFrame, *, ref_col: str = "reference", text_col: str = "text", threshold: float = 0.85) -> DataFrame:
     """The rows with `verified`: blank or UNKNOWN, contained ignoring case, or within the sequence ratio of a sentence."""
-    refs = rows.select(F.col(ref_col).alias("_ref")).distinct().withColumn("_r", F.lower(T.strip(F.coalesce("_ref", F.lit("")))))
-    texts = corpus.select(F.lower(F.col(text_col)).alias("_t"))
-    exact = refs.join(texts, F.col("_t").contains(F.col("_r")), "left_semi")
-    left = refs.join(exact, "_r", "left_anti").where("_r not in ('', 'unknown')")
-    sentences = corpus.select(F.explode(F.split(F.lower(F.col(text_col)), r"\.")).alias("_s")).select(T.strip(F.col("_s")).alias("_s")).where("_s <> ''").distinct()
-    close = _spread(left).join(F.broadcast(sentences), length_bound(F.col("_r"), F.col("_s"), threshold)).where(seq_ratio_column("_r", "_s") >= threshold)
-    good = exact.select("_r").unionByName(close.select("_r")).distinct().withColumn("_ok", F.lit(True))
     key = F.lower(T.strip(F.coalesce(F.col(ref_col), F.lit(""))))
+    refs = rows.select(key.alias("_r")).distinct()
+    exact = _contained(refs, corpus.select(F.lower(F.col(text_col)).alias("_t")))
+    left = refs.where("_r not in ('', 'unknown')").join(exact, "_r", "left_anti")
+    good = exact.unionByName(_close(left, corpus, text_col, seq_ratio_column, threshold)).distinct().withColumn("_ok", F.lit(True))
     return rows.withColumn("_k", key).join(good, F.col("_k") == F.col("_r"), "left").withColumn("verified", F.coalesce("_ok", F.col("_k").isin("", "unknown"))).drop("_k", "_r", "_ok")
 
 

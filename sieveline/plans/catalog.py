@@ -332,7 +332,7 @@ def join_semantic(spark, d):
 
 @query()
 def join_align_pipeline(spark, d):
-    return A.align_chunks(chunks(spark, d, "en"), chunks(spark, d, "de"))
+    return A.align_chunks(chunks(spark, d, "en"), chunks(spark, d, "de"), cut=lambda df: _cut(spark, df))
 
 
 @query("SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS cosine FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1")

@@ -2,6 +2,7 @@
 
 import difflib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -285,3 +286,52 @@ def test_landing(spark, tmp_path):
     rows = landing.deduplicated(landing.stream(spark, str(tmp_path / "in"), "instruction string, input string, output string"))
     landing.land(rows, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_containment_meets_every_kind_of_reference(spark):
+    """Against brute force: parts of words, two words, runs of spaces, the empty string, null."""
+    texts = ["the small cat  sat on a mat", "élan vital", "", None, "x", "   lead", "a b c"]
+    refs = ["cat", "ma", "t  s", "small cat  sat", "  ", "   ", "    ", "", None, "n", "zz", "an vi", "b", "a b", "b c", " ", "sat on a", "on mat", "x", "élan", "é", "lan v"]
+    rows = spark.createDataFrame([(i, r) for i, r in enumerate(refs)], "id int, reference string")
+    want = {i for i, r in enumerate(refs) if r is not None and any(t is not None and r in t for t in texts)}
+    corpus = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert {r["id"] for r in D.reference_any(rows, corpus).collect()} == want
+    assert D.reference_any(rows, corpus.limit(0)).count() == 0
+    assert D.reference_any(rows.limit(0), corpus).count() == 0
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.85, 1.0])
+def test_like_pairs_lose_none(spark, threshold):
+    rng = random.Random(7)
+    words = ["", "a", *("".join(rng.choice("abcdé ") for _ in range(rng.randint(1, 24))) for _ in range(60))]
+    words += [w[:-1] + "x" for w in words if w] + [w + "yz" for w in words]
+    words = sorted(set(words))
+    a, b = spark.createDataFrame([(w,) for w in [*words, None]], "a string"), spark.createDataFrame([(w,) for w in [*words, None]], "b string")
+    got = {(r["a"], r["b"]) for r in A.like_pairs(a, b, "a", "b", threshold).collect()}
+    assert {(x, y) for x in words for y in words if A.indel_ratio(x, y) >= 100 * threshold} <= got
+    assert len(got) < len(words) ** 2
+
+
+def _plain_batches(costs, limit, prompt, output):
+    out = []
+    for i, c in enumerate(costs):
+        if out and out[-1][1] + c + output <= limit:
+            out[-1] = ([*out[-1][0], i], out[-1][1] + c + output)
+        else:
+            out.append(([i], prompt + c + output))
+    return out
+
+
+def test_batches_and_chunks_of_long_rows(spark):
+    """Groups against a plain loop; a document of 20,000 paragraphs takes seconds, as nothing is copied for each item."""
+    rng = random.Random(3)
+    costs = [rng.choice([0, 1, 5, 40, 99, 100, 101, 250]) for _ in range(2000)]
+    rows = spark.createDataFrame([("g", i, c) for i, c in enumerate(costs)], "g string, id long, token_count long")
+    got = K.pack_batches(rows, group="g", order="id", limit=300, prompt_tokens=20, output_tokens=3).orderBy("batch_id").collect()
+    assert [(r["chunk_ids"], r["total_tokens"]) for r in got] == _plain_batches(costs, 300, 20, 3)
+    text = "\n".join("word " * rng.randint(1, 9) + "end" for _ in range(20_000))
+    docs = spark.createDataFrame([(1, text, "en"), (2, "", "en"), (3, None, "en")], "doc_id long, text string, lang string")
+    got = K.chunk_words(docs, size=50, separator="\n").orderBy("id").collect()
+    assert "\n".join(r["text"] for r in got) == text and {r["doc_id"] for r in got} == {1}
+    assert all(r["word_count"] <= 50 for r in got)
+    assert all(a["word_count"] + len(b["text"].split("\n")[0].split()) > 50 for a, b in zip(got, got[1:], strict=False))
