@@ -33,7 +33,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import NULL_ID, broadcast_if, dropped, release, slim, stored
@@ -350,7 +350,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """(copied: _t1, _t2 of texts that occur more than once; spans: _t1, _t2, start, end in distinct texts), stored."""
+    """(copied: _t1, _t2 of texts that occur more than once; spans: _t1, _t2 and the maximal spans of distinct texts), stored."""
     rows = _keyed(docs, id_col, text_col).where(F.octet_length("text") >= length)
     ids = F.coalesce(F.col("_doc").cast("long"), F.lit(NULL_ID))
     copied = stored(rows.groupBy("_t1", "_t2").agg(F.min(ids).alias("_first"), F.count("*").alias("n")).where("n > 1").drop("n"), "copied")
@@ -374,10 +374,24 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         there = texts.join(broadcast_if(owned), ["_t1", "_t2"]).select("_t1", "_t2", "text", "own")
         buckets = max(8, -(-size * length * 2 // RUN_BYTES))
         out = out.unionByName(_merged(stored(_runs(there, length, buckets), "runs"), length))
-    per = out.groupBy("_t1", "_t2").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    per = out.groupBy("_t1", "_t2").agg(_joined_up(F.sort_array(F.collect_set(F.struct("start", "end")))).alias("spans"))
     return copied, stored(per, "spans")
 
 
+def _joined_up(spans: Column) -> Column:
+    """Sorted spans, at least one, with those that overlap or touch made one: the windows of a copied passage are many."""
+    one = lambda acc: F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end")))
+    none = F.lit(None).cast("long")
+
+    def step(acc: Column, x: Column) -> Column:
+        apart = acc["end"].isNull() | (x["start"] > acc["end"])
+        done = F.when(apart & acc["end"].isNotNull(), F.concat(acc["done"], one(acc))).otherwise(acc["done"])
+        return F.struct(done.alias("done"), F.when(apart, x["start"]).otherwise(acc["start"]).alias("start"), F.when(apart, x["end"]).otherwise(F.greatest(acc["end"], x["end"])).alias("end"))
+
+    zero = F.struct(F.array().cast("array<struct<start: long, end: long>>").alias("done"), none.alias("start"), none.alias("end"))
+    return F.aggregate(spans, zero, step, lambda acc: F.concat(acc["done"], one(acc)))
+
+
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, **options) -> DataFrame:
     """id_col, n_bytes, n_removed, removed (maximal spans start, end) and kept (the other bytes) of each row."""
     copied, spans = repeated_spans(docs, id_col=id_col, text_col=text_col, length=length, **options)
