@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, htmltext, langid, neardup, packing, quality, secrets, suffixes, tokencount, urlfilter
+from . import decontam, filteraudit, htmltext, langid, neardup, packing, quality, secrets, suffixes, tokencount, urlfilter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masked = filteraudit.masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filteraudit.audit(filteraudit.cells(masked))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_near_duplicates": op2_near_duplicates,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
     "op10_token_counts": op10_token_counts,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
@@ -126,5 +132,37 @@ gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY
 cut AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * f + 1, 2 * (a - f)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS k FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
 SELECT doc_id, CAST(length(h) / 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
 FROM d LEFT JOIN cut USING (doc_id)
+""",
+    "op12_filter_audit": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY 1),
+fails AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * (length(d.t) - length(regexp_replace(d.t, '[A-Z]', '', 'g'))) > 3 * length(d.t),
+     regexp_matches(d.t, '[#$%&*|]'), coalesce(doc_id > first, false)] AS f
+  FROM d JOIN firsts ON d.t = firsts.t LEFT JOIN l USING (doc_id)),
+cell AS (SELECT part, f, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM fails GROUP BY 1, 2),
+x AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM x a, x b, x c, x d, x e
+  WHERE a.i <> b.i AND a.i <> c.i AND a.i <> d.i AND a.i <> e.i AND b.i <> c.i AND b.i <> d.i AND b.i <> e.i AND c.i <> d.i AND c.i <> e.i AND d.i <> e.i),
+run AS (
+  SELECT part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, s.i AS step, o[s.i] AS k, f[o[s.i]] AS bad,
+    len(list_filter(f, lambda y: y)) AS n_bad, len(list_filter(o[1 : s.i - 1], lambda i: f[i])) > 0 AS gone, n, n_good, n_toxic
+  FROM cell, orders, x s),
+steps AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, k,
+    CAST(coalesce(sum(n) FILTER (NOT bad AND NOT gone), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (bad AND NOT gone), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (bad AND gone), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (bad AND n_bad = 1), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(n_good) FILTER (bad AND NOT gone), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(n_toxic) FILTER (bad AND NOT gone), 0) AS BIGINT) AS toxic_lost
+  FROM run GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley
+FROM steps
 """,
 }
