@@ -32,7 +32,7 @@ def failures(rows):
 
 
 def brute(rows, labels):
-    good, toxic = ({d for d, *v in labels if v[k] == 1} for k in (0, 1))
+    good, toxic = ({d for d, *v in labels if v[k] == 1 and d is not None} for k in (0, 1))
     bad, out, total = failures(rows), {}, Counter()
     for order in map("".join, permutations("ABCDE")):
         alive = [True] * len(rows)
