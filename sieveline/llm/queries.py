@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, filteraudit, htmltext, langid, neardup, packing, quality, secrets, suffixes, tokencount, urlfilter
+from . import decontam, filteraudit, htmltext, langid, neardup, packing, quality, secrets, suffixes, tokencount, urlfilter, vectorcodes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,12 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.audit(filteraudit.cells(masked))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+    code = F.lower(F.array_join(F.transform("codes", lambda c: F.lpad(F.hex(c), 2, "0")), ""))
+    return vectorcodes.with_label_error(coded).select("vec_id", code.alias("code"), "error", "label_error", F.lit(vectorcodes.digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_near_duplicates": op2_near_duplicates,
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filters": op9_url_filters,
     "op10_token_counts": op10_token_counts,
     "op12_filter_audit": op12_filter_audit,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLES: dict[str, str] = {
@@ -164,5 +171,26 @@ steps AS (
   FROM run GROUP BY 1, 2, 3, 4)
 SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley
 FROM steps
+""",
+    "op13_vector_codes": r"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT r, p AS part, e[p * len(e) // 16 + 1 : (p + 1) * len(e) // 16] AS c FROM kept, (SELECT unnest(range(16)) AS p)),
+b0 AS (SELECT part, r - 1 AS entry, c FROM v WHERE r <= 64),
+a0 AS (SELECT v.r, v.part, min(list_sum(list_transform(list_zip(v.c, b0.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 64 + entry) AS k FROM v JOIN b0 USING (part) GROUP BY 1, 2),
+b1 AS (SELECT part, entry, coalesce(m.c, b0.c) AS c FROM b0 LEFT JOIN (
+    SELECT part, entry, list(CAST(floor(s / n) AS BIGINT) ORDER BY j) AS c FROM (
+      SELECT part, k % 64 AS entry, j, sum(CAST(c[j] AS DOUBLE)) AS s, count(*) AS n FROM v JOIN a0 USING (r, part), (SELECT unnest(range(1, (SELECT max(len(c)) FROM v) + 1)) AS j) GROUP BY 1, 2, 3) GROUP BY 1, 2) m USING (part, entry)),
+a1 AS (SELECT v.r, v.part, min(list_sum(list_transform(list_zip(v.c, b1.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 64 + entry) AS k FROM v JOIN b1 USING (part) GROUP BY 1, 2),
+b2 AS (SELECT part, entry, coalesce(m.c, b1.c) AS c FROM b1 LEFT JOIN (
+    SELECT part, entry, list(CAST(floor(s / n) AS BIGINT) ORDER BY j) AS c FROM (
+      SELECT part, k % 64 AS entry, j, sum(CAST(c[j] AS DOUBLE)) AS s, count(*) AS n FROM v JOIN a1 USING (r, part), (SELECT unnest(range(1, (SELECT max(len(c)) FROM v) + 1)) AS j) GROUP BY 1, 2, 3) GROUP BY 1, 2) m USING (part, entry)),
+a2 AS (SELECT v.r, v.part, min(list_sum(list_transform(list_zip(v.c, b2.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 64 + entry) AS k FROM v JOIN b2 USING (part) GROUP BY 1, 2),
+coded AS (SELECT r, string_agg(lpad(lower(to_hex(k % 64)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(k // 64) AS BIGINT) AS error FROM a2 GROUP BY 1)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM b2) AS codebooks_sha256
+FROM coded JOIN kept USING (r)
 """,
 }
