@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, filteraudit, htmltext, langid, neardup, packing, quality, secrets, suffixes, tokencount, urlfilter, vectorcodes
+from . import decontam, filteraudit, htmltext, langid, mixing, neardup, packing, quality, secrets, suffixes, tokencount, urlfilter, vectorcodes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     masked = filteraudit.masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return filteraudit.audit(filteraudit.cells(masked))
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
     "op10_token_counts": op10_token_counts,
+    "op11_mixing": op11_mixing,
     "op12_filter_audit": op12_filter_audit,
     "op13_vector_codes": op13_vector_codes,
 }
@@ -139,6 +144,25 @@ gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY
 cut AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * f + 1, 2 * (a - f)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS k FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
 SELECT doc_id, CAST(length(h) / 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
 FROM d LEFT JOIN cut USING (doc_id)
+""",
+    "op11_mixing": r"""
+WITH d AS (
+  SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size, md5('17-' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM d GROUP BY source),
+level AS (
+  SELECT coalesce(sum(2 * size) OVER before, 0) AS stopped, sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS open, sum(size) OVER () AS words, size, w,
+    row_number() OVER (ORDER BY 2 * size / w, source NULLS LAST) AS i
+  FROM s WINDOW before AS (ORDER BY 2 * size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+fit AS (SELECT stopped, open, words FROM level WHERE w * (3 * words - 2 * stopped) <= 2 * (2 * size) * open ORDER BY i LIMIT 1),
+t AS (
+  SELECT source, size AS source_size,
+    CASE WHEN w * (3 * words - 2 * stopped) > 2 * (2 * size) * open THEN CAST(2 * size AS DOUBLE) ELSE w * CAST(3 * words - 2 * stopped AS DOUBLE) / CAST(2 * open AS DOUBLE) END AS target
+  FROM s, fit),
+x AS (SELECT doc_id, source, size, CAST(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS o FROM d)
+SELECT doc_id, x.size, source_size, target,
+  CAST(CAST(floor(target + 0.5) AS BIGINT) // greatest(source_size, 1) * x.size + greatest(0, least(x.size, CAST(floor(target + 0.5) AS BIGINT) % greatest(source_size, 1) - o)) AS BIGINT) AS taken
+FROM x JOIN t ON x.source IS NOT DISTINCT FROM t.source
 """,
     "op12_filter_audit": r"""
 WITH d AS (
