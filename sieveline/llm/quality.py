@@ -9,11 +9,17 @@ For each group a minimum-covariance-determinant estimate is sought by concentrat
 which keeps the `support` share of documents that are nearest under the present estimate and takes
 mean and covariance of these. They start from medians and quartile ranges, from medians and equal
 variances, and from mean and covariance of all, and go on until no determinant changes by more
-than `tolerance` (or `steps` times); the least determinant decides. A document is rejected if its
-squared Mahalanobis distance, scaled to the chi-square median, is beyond the chi-square quantile
-that clean documents pass with probability `tail`. Distances are never scaled up: statistics that
-are constant among the nearest documents add nothing to the median, which is then small for that
-reason only.
+than `tolerance` (or `steps` times); the least determinant decides.
+
+Statistics are rates of few or many trials, so each comes with the variance that sampling alone
+gives it (about 1 / 4n for a rate of n trials after the transformation; trials are characters, lines, and disjoint
+windows of words). Where most documents of a group agree exactly, as with no symbol and no repeated line, the
+least covariance is singular, and that variance alone says how far from them is far: a repeated line
+of five is little, one symbol in four characters is much. Concentration steps add the group's mean
+of it; a document's own distance adds its own. The estimate itself is widened so that the median
+distance is that of chi-square with as many degrees as statistics vary (it is never narrowed).
+A document is rejected if its squared distance is beyond the chi-square quantile that clean
+documents pass with probability `tail`.
 
 Order statistics come from counts over fixed bins, which are pre-aggregated before the shuffle
 and don't depend on partitioning; a group that holds most rows therefore costs one row per cell
@@ -35,11 +41,13 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_BYTES, broadcast_if, dropped, let, space_words, stored, value_bytes
 
 WINDOW = 8
-#: Added to each standard deviation (transformed units), only so that no covariance is singular.
-FLOORS = dict.fromkeys(("x_word", "x_symbol", "x_lines", "x_repeat"), 0.01)
-DIMS = list(FLOORS)
-#: Medians of the chi-square distribution by degrees of freedom.
-CHI2_MEDIAN = {1: 0.4549, 2: 1.3863, 3: 2.3660, 4: 3.3567, 5: 4.3515}
+DIMS = ["x_word", "x_symbol", "x_lines", "x_repeat"]
+#: Their sampling variances.
+NOISE = ["v_word", "v_symbol", "v_lines", "v_repeat"]
+#: Medians of the chi-square distribution with 1 to 4 degrees of freedom.
+CHI2_MEDIAN = [0.4549, 1.3863, 2.3660, 3.3567]
+#: A variance below it is the rounding error of a constant.
+CONSTANT = 1e-10
 BINS = 200
 GRID = 100
 TAIL = 1e-6
@@ -106,14 +114,18 @@ def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _vector(q: str = "") -> dict[str, Column]:
-    """Transformed statistics: logarithm of the mean word length, variance-stabilised rates of the rest."""
-    n, chars = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("word_chars"), F.lit(1))
+    """Transformed statistics: logarithm of the mean word length, variance-stabilised rates of the rest. And their sampling variances."""
+    n, chars, lines = (F.greatest(F.col(c), F.lit(1)) for c in ("n_words", "word_chars", "n_lines"))
     share = lambda a, b: F.asin(F.sqrt(F.least(F.lit(1.0), a / b)))
     return {
         "x_word": F.log(chars / n),
         "x_symbol": share(F.col("n_symbols").cast("double"), chars),
-        "x_lines": share(F.col("n_dup_lines").cast("double"), F.greatest(F.col("n_lines"), F.lit(1))),
+        "x_lines": share(F.col("n_dup_lines").cast("double"), lines),
         "x_repeat": share(F.col("n_repeat_words").cast("double"), n),
+        "v_word": F.lit(1.0) / chars,  # lengths that vary as counts do
+        "v_symbol": F.lit(0.25) / chars,
+        "v_lines": F.lit(0.25) / lines,
+        "v_repeat": F.lit(0.25 * WINDOW) / n,
     }
 
 
@@ -148,13 +160,13 @@ def _distance(df: DataFrame) -> DataFrame:
     return df.withColumn("_d2", total).drop(*[f"_z{i}" for i in range(len(DIMS))])
 
 
-def _cholesky(params: DataFrame) -> DataFrame:
-    """Adds l_ij of the covariance columns c_ij, each variance raised by the floor of its statistic."""
-    for i, d in enumerate(DIMS):
+def _cholesky(params: DataFrame, scale: Column | None = None) -> DataFrame:
+    """Adds l_ij of the covariance columns c_ij (times scale) with the sampling variances v_* added."""
+    for i, d in enumerate(NOISE):
         for j in range(i + 1):
-            v = F.col(f"c_{i}{j}")
+            v = F.col(f"c_{i}{j}") if scale is None else F.col(f"c_{i}{j}") * scale
             if i == j:
-                v = v + F.lit(FLOORS[d] ** 2)
+                v = F.greatest(v, F.lit(0.0)) + F.col(d)
             for k in range(j):
                 v = v - F.col(f"l_{i}{k}") * F.col(f"l_{j}{k}")
             params = params.withColumn(f"l_{i}{j}", F.sqrt(F.greatest(v, F.lit(1e-12))) if i == j else v / F.col(f"l_{j}{j}"))
@@ -191,15 +203,18 @@ def _starts(cells: DataFrame) -> DataFrame:
 
 
 def estimates(stats: DataFrame, *, support: float = 0.75, steps: int = 12, tolerance: float = 0.01) -> DataFrame:
-    """One row for each _g of stats (_g, x_*): mean, Cholesky factor, logarithm of the determinant and
-    scale `c` of the robust estimate.
+    """One row for each _g of stats (_g, x_*, v_*): mean m_*, covariance c_* and its Cholesky factor with mean
+    sampling variances v_*, logarithm of the determinant and scale `c` of the robust estimate.
 
     The result is a stored table.
     """
     grid = {d: F.round(F.col(d) * GRID) / GRID for d in DIMS}
-    cells = stored(stats.groupBy("_g", *[v.alias(d) for d, v in grid.items()]).agg(F.count("*").alias("_n")), "mcd-cells")
+    cells = stored(stats.groupBy("_g", *[v.alias(d) for d, v in grid.items()]).agg(F.count("*").alias("_n"), *[F.sum(v).alias(v) for v in NOISE]), "mcd-cells")
+    noise = stored(cells.groupBy("_g").agg(*[(F.sum(v) / F.sum("_n")).alias(v) for v in NOISE]), "mcd-noise")
+    cells = cells.drop(*NOISE)
+    few = value_bytes(noise) * 10 * len(DIMS) <= BROADCAST_BYTES  # so are the tables of all steps, with a row for each group and start
     log_det = sum((2 * F.log(F.col(f"l_{i}{i}")) for i in range(len(DIMS))), F.lit(0.0))
-    with_det = lambda p: stored(_cholesky(p).withColumn("log_det", log_det), "mcd-params")
+    with_det = lambda p: stored(_cholesky(p.join(F.broadcast(noise) if few else noise, "_g")).withColumn("log_det", log_det), "mcd-params")
     key = ["_g", "_s"]
 
     def placed(params: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -208,7 +223,6 @@ def estimates(stats: DataFrame, *, support: float = 0.75, steps: int = 12, toler
         return joined, _at_shares(joined.groupBy(*key, "_bin").agg(F.sum("_n").alias("_n")), key, {"_half": 0.5, "_keep": support})
 
     params = with_det(_starts(cells))
-    few = value_bytes(params) <= BROADCAST_BYTES  # of all steps, which have a row for each group and start
     for _ in range(steps):
         joined, at = placed(params)
         following = with_det(joined.join(F.broadcast(at) if few else at, key).where("_bin <= _keep").groupBy(*key).agg(*_moments()))
@@ -220,7 +234,9 @@ def estimates(stats: DataFrame, *, support: float = 0.75, steps: int = 12, toler
     # of starts that end alike the first
     best = params.groupBy("_g").agg(F.min_by(F.struct(*params.columns), F.struct(F.round("log_det", 6), "_s")).alias("p")).select("p.*")
     best = stored(best, "mcd-best")
-    scale = F.greatest((F.exp((F.col("_half") + 0.5) / BINS) - 1) / F.lit(CHI2_MEDIAN[len(DIMS)]), F.lit(1.0))
+    vary = sum((F.when(F.col(f"c_{i}{i}") > CONSTANT, 1).otherwise(0) for i in range(len(DIMS))), F.lit(0))
+    median = F.element_at(F.array(*map(F.lit, CHI2_MEDIAN)), F.greatest(vary, F.lit(1)))
+    scale = F.greatest((F.exp((F.col("_half") + 0.5) / BINS) - 1) / median, F.lit(1.0))
     return stored(best.join(placed(best)[1], key).withColumn("c", scale), "mcd-estimates")
 
 
@@ -264,10 +280,12 @@ def judge(
             )
         ).alias("_g"),
         *DIMS,
+        *NOISE,
     )
-    params = broadcast_if(estimates(spread, support=support))
+    found = estimates(spread, support=support)
+    params = broadcast_if(found.drop("log_det", *NOISE, *[c for c in found.columns if c.startswith("l_")]))
     mine = facts.join(need.select("_src", "_g"), "_src", "left")
-    out = _distance(mine.join(params, "_g", "left")).withColumn("distance", F.col("_d2") / F.col("c"))
+    out = _distance(_cholesky(mine.join(params, "_g", "left"), F.col("c"))).withColumnRenamed("_d2", "distance")
     return out.select(*carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", (~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff(tail))).alias("kept"))
 
 
