@@ -32,8 +32,8 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = secrets.train(secrets.labelled_findings(spark))
-    found = secrets.scan(table(spark, sf_dir, "documents"), model)
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.corpus_detector(docs))
     return found.select("doc_id", F.sha2("value", 256).alias("value_sha256"), "start", "length", "occurrences", F.round("score", 6).alias("score"), "is_secret")
 
 
