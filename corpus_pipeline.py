@@ -32,8 +32,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the texts, and n_chars follows; every document stays."""
-    model = secrets.train(secrets.labelled_findings(spark))
-    masked = secrets.redact(docs.select(*COLUMNS), model)
+    masked = secrets.redact(docs.select(*COLUMNS), secrets.corpus_detector(docs))
     return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
