@@ -1,26 +1,29 @@
 """Alignment of chunks and question-answer pairs, by key, position, heading or embedding.
 
 Chunk tables have chunk_id and text; alignments are ar_chunk_id, en_chunk_id (-1 for none), confidence, method.
-Heading and semantic alignment are greedy one to one: lefts in order take their best unused right.
-Candidates are scored in parallel; the greedy choice is a fold over one document pair's candidates,
-so it takes one task for each pair of documents (`group`).
+Heading and semantic alignment are greedy one to one: lefts in order take their best unused right. Candidates
+are scored in blocks, and the greedy choice is made in rounds (`matching`); neither gathers a document pair (`group`).
 """
 
 from __future__ import annotations
 
-import difflib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions.classify import heading_chunk
 from ..functions.text import normal_heading
-from .order import rank_by_number
+from .matching import match
+from .order import rank_by_number, rank_within
+from .scratch import stored
+from .similarity import Texts, best_ratios, indel, seq_ratios
 
 MATCHED = "ar_chunk_id long, en_chunk_id long, confidence double, method string"
 
@@ -44,44 +47,17 @@ def headings(chunks: DataFrame, *, id_col: str = "chunk_id", text_col: str = "te
     return rows.select(id_col, "h.position", "h.original", normal_heading(F.col("h.original")).alias("normalized"))
 
 
-def _greedy(threshold: float, method: str):
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        used, out = set(), []
-        for left, rows in pdf.sort_values(["a", "b"]).groupby("a", sort=True):
-            best, score = None, threshold
-            for b, s in zip(rows["b"], rows["score"], strict=True):
-                if b not in used and s > score:
-                    best, score = b, s
-            if best is not None:
-                used.add(best)
-                out.append((left, best, score, method))
-        return pd.DataFrame(out, columns=["ar_chunk_id", "en_chunk_id", "confidence", "method"])
-
-    return assign
-
-
-def seq_ratio(a: str | None, b: str | None) -> float:
-    """Share of matching blocks of the standard library's sequence matcher."""
-    return difflib.SequenceMatcher(None, a or "", b or "").ratio()
+@F.pandas_udf(DoubleType())
+def seq_ratio_column(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Twice the characters in matching blocks over both lengths; null as empty."""
+    x, y = Texts(a.fillna("")), Texts(b.fillna(""))
+    rows = np.arange(len(x.n))
+    return pd.Series(seq_ratios(x, y, rows, rows))
 
 
 def indel_ratio(a: str, b: str) -> float:
-    """100 times twice the longest common subsequence over both lengths; 100 of two empty strings. Bit-parallel."""
-    if not a and not b:
-        return 100.0
-    masks: dict[str, int] = {}
-    for i, c in enumerate(a):
-        masks[c] = masks.get(c, 0) | 1 << i
-    row = all_ones = (1 << len(a)) - 1
-    for c in b:
-        x = row & masks.get(c, 0)
-        row = ((row + x) | (row - x)) & all_ones
-    return 200.0 * (len(a) - row.bit_count()) / (len(a) + len(b))
-
-
-@F.pandas_udf(DoubleType())
-def seq_ratio_column(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([seq_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
+    """100 times twice the longest common subsequence over both lengths; 100 of two empty strings."""
+    return float(indel(a, Texts([b]))[0])
 
 
 @F.pandas_udf(DoubleType())
@@ -120,15 +96,108 @@ def like_pairs(left: DataFrame, right: DataFrame, a: str, b: str, threshold: flo
     return pairs.where(2.0 * common >= F.lit(threshold) * (n(a) + n(b))).drop("_band", "_la", "_lb")
 
 
-def heading_fuzzy(left: DataFrame, right: DataFrame, *, threshold: float = 0.3, group: str | None = None) -> DataFrame:
-    """Alignment by the ratio of normalised headings, above the threshold. Equal pairs of headings are scored once."""
-    on = [group] if group else []
-    mark = lambda df, s: headings(df.withColumn("_g", F.struct(*on, "chunk_id")), id_col="_g").select(*[F.col(f"_g.{g}").alias(g) for g in on], F.col("_g.chunk_id").alias(s), F.col("normalized").alias(f"h{s}"))
-    a, b = mark(left, "a"), mark(right, "b")
-    texts = like_pairs(a.select(*on, "ha").distinct(), b.select(*on, "hb").distinct(), "ha", "hb", threshold, tuple(on))
-    scores = texts.withColumn("score", seq_ratio_column("ha", "hb")).where(F.col("score") > threshold)
-    scored = scores.join(a, [*on, "ha"]).join(b, [*on, "hb"]).select(*on, "a", "b", "score")
-    return scored.groupBy(*(on or [F.lit("all").alias("_g")])).applyInPandas(_greedy(threshold, "heading"), MATCHED)
+#: Texts in a block of the left and of the right side that meet in one step of a task.
+LEFT_BLOCK, RIGHT_BLOCK = 256, 1024
+#: Right texts with which lists begin.
+FIRST = 8
+
+
+def _group(df: DataFrame, group: str | None) -> Column:
+    return F.coalesce(F.concat(F.lit("g"), F.col(group).cast("string")), F.lit("")) if group else F.lit("")
+
+
+def _scored(left: DataFrame, right: DataFrame, on: list[str], threshold: float, most: int | None) -> DataFrame:
+    """on, ha, hb, score of distinct texts with a sequence ratio above the threshold; with `most` only those as good
+    as a left's `most`-th best. Blocks of texts meet whose lengths allow the threshold; pairs are formed inside tasks only."""
+    step = max(math.log((2 - threshold) / threshold), 0.01)
+    at = lambda c, by: F.when(F.char_length(c) == 0, F.lit(-(10**6))).otherwise(F.floor(F.log(F.char_length(c).cast("double")) / F.lit(step) + F.lit(by)).cast("int"))
+    bands = F.when(F.char_length("hb") == 0, F.array(at("hb", 0.0))).otherwise(F.sequence(at("hb", -1 - 1e-9), at("hb", 1 + 1e-9)))
+    n, m = (max(1, -(-df.count() // size)) for df, size in ((left, LEFT_BLOCK), (right, RIGHT_BLOCK)))
+    salts = min(m, 64)
+    block = lambda c, k: F.pmod(F.xxhash64(c), F.lit(k))
+    x = left.groupBy(*on, at("ha", 0.0).alias("_band"), block("ha", n).alias("_x")).agg(F.collect_list("ha").alias("_a"))
+    x = x.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    y = right.groupBy(*on, bands.alias("_bands"), block("hb", m).alias("_y")).agg(F.collect_list("hb").alias("_b"))
+    y = y.select(*on, F.explode("_bands").alias("_band"), F.pmod("_y", F.lit(salts)).alias("_salt"), "_b")
+    pairs = x.join(y, [*on, "_band", "_salt"]).select(*on, "_a", "_b").repartition(min(max(n * m, 8), 10_000))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                x, y = batch["_a"][r].values, batch["_b"][r].values
+                i, j, s = best_ratios(Texts(x.to_pylist()), Texts(y.to_pylist()), threshold, most)
+                same = [batch[c].take(pa.array(np.full(len(i), r))) for c in on]
+                yield pa.RecordBatch.from_arrays([*same, x.take(pa.array(i)), y.take(pa.array(j)), pa.array(s, pa.float64())], [*on, "ha", "hb", "score"])
+
+    kinds = "".join(f"{c} {left.schema[c].dataType.simpleString()}, " for c in on)
+    found = pairs.mapInArrow(score, f"{kinds}ha string, hb string, score double")
+    if most is None:
+        return found
+    best = Window.partitionBy(*on, "ha").orderBy(F.desc("score"))
+    return found.withColumn("_r", F.rank().over(best)).where(F.col("_r") <= most).drop("_r")
+
+
+def _first_lists(lefts: DataFrame, rights: DataFrame, scores: DataFrame, on: list[str], most: int) -> DataFrame:
+    """Lists a, b, score of lefts (a, on, ha, i) from scores and rights (b, on, hb, q).
+
+    i and q count the rows of a text. The i-th left of a text can't get one of the i - 1 best rights, as those before
+    it take as many of the same list, so its list begins behind them; it has about `most` rights.
+    """
+    sizes = rights.groupBy(*on, "hb").agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(*on, "ha").orderBy(F.desc("score"))
+    ties = Window.partitionBy(*on, "ha", "score")
+    of = scores.join(sizes, [*on, "hb"]).withColumns({"_upto": F.sum("_n").over(w.rangeBetween(Window.unboundedPreceding, 0)), "_same": F.sum("_n").over(ties), "_texts": F.count("*").over(ties)})
+    mine = lefts.select("a", *on, "ha", "i").join(of, [*on, "ha"]).where(F.col("_upto") >= F.col("i"))
+    start = F.when(F.col("_texts") == 1, F.greatest(F.lit(1), F.col("i") - (F.col("_upto") - F.col("_same")))).otherwise(F.lit(1))
+    mine = mine.withColumn("q", F.explode(F.sequence(start, F.least(start + most - 1, F.col("_n")))))
+    pairs = mine.join(rights.select("b", *on, "hb", "q"), [*on, "hb", "q"]).select("a", "b", "score")
+    return pairs.withColumn("_r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("score"), "b"))).where(F.col("_r") <= most).drop("_r")
+
+
+def heading_fuzzy(left: DataFrame, right: DataFrame, *, threshold: float = 0.3, group: str | None = None, first: int = FIRST) -> DataFrame:
+    """Alignment by the ratio of normalised headings, above the threshold: lefts in order of chunk_id take their
+    best unused right, ties to the smallest. Equal pairs of headings are scored once.
+
+    Lefts come in windows of their order, which only need the rights that earlier ones left; in a window
+    lists begin with each left's best `first` headings, and lefts that use them up get all that is open to them.
+    Nothing is gathered for a group, which may be null or hold all rows.
+    """
+    on = ["_grp"]
+
+    def mark(df: DataFrame, s: str) -> DataFrame:
+        rows = headings(df.withColumn("_g", F.struct(_group(df, group).alias("_grp"), F.col("chunk_id").cast("long").alias("chunk_id"))), id_col="_g")
+        return rows.select(F.col("_g").alias(s), F.col("_g._grp").alias("_grp"), F.col("_g.chunk_id").alias("_id"), F.col("normalized").alias(f"h{s}"))
+
+    rights = stored(mark(right, "b"))
+    lefts = stored(rank_within(mark(left, "a"), on, "_id", name="_r"))
+    n = lefts.agg(F.max("_r")).first()[0] or 0
+    low, width = 0, max(LEFT_BLOCK, rights.groupBy(*on).count().agg(F.max("count")).first()[0] or 0)
+    matched = []
+    while low < n and rights.limit(1).count():
+        window = stored(rank_within(lefts.where(F.col("_r").between(low + 1, low + width)), [*on, "ha"], "_id", name="i"))
+        free = stored(rank_within(rights, [*on, "hb"], "_id", name="q"))
+        scores = stored(_scored(window.select(*on, "ha").distinct(), free.select(*on, "hb").distinct(), on, threshold, first))
+        lists = _first_lists(window, free, scores, on, first)
+
+        def more(used_up: DataFrame, holders: DataFrame, free=free) -> DataFrame:
+            held = free.join(holders, "b", "left")
+            least = used_up.groupBy(*on).agg(F.min("a").alias("_least"))
+            open_ = stored(held.join(least, on).where("h is null or h > _least").drop("_least"))
+            found = _scored(used_up.select(*on, "ha").distinct(), open_.select(*on, "hb").distinct(), on, threshold, None)
+            return used_up.select("a", *on, "ha").join(found, [*on, "ha"]).join(open_.select("b", "h", *on, "hb"), [*on, "hb"]).where("h is null or h > a").select("a", "b", "score")
+
+        # lists may be incomplete where a text has many candidates, or many rights share one of them
+        many = free.groupBy(*on, "hb").count().where("count > 1").select(*on, "hb").join(scores, [*on, "hb"]).select(*on, "ha")
+        many = many.unionByName(scores.groupBy(*on, "ha").count().where(F.col("count") >= first).select(*on, "ha")).distinct()
+        waiting = window.join(many, [*on, "ha"], "left_semi").select("a", *on, "ha")
+        got = stored(match(waiting, lists, more))
+        matched.append(got)
+        rights = stored(rights.join(got.select("b"), "b", "left_anti"))
+        low, width = low + width, 2 * width
+    if not matched:
+        return left.sparkSession.createDataFrame([], MATCHED)
+    out = reduce(DataFrame.unionByName, matched)
+    return out.select(F.col("a.chunk_id").alias("ar_chunk_id"), F.col("b.chunk_id").alias("en_chunk_id"), F.col("score").alias("confidence"), F.lit("heading").alias("method"))
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -137,41 +206,90 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-def _near_pairs(a: DataFrame, b: DataFrame, threshold: float, rows: int = 1024) -> DataFrame:
-    """Pairs of all rows of a (a, ea, na) with all of b, less those whose cosine is clearly not above the threshold.
-
-    Each block of a meets each block of b in one matrix product.
-    """
+#: Rows in a block of vectors, and how many of the rights are pivots.
+VECTORS, PIVOTS = 1024, 64
 
-    def blocks(df: DataFrame, s: str) -> DataFrame:
-        n = max(1, -(-df.count() // rows))
-        row = F.struct(F.col(s).alias("i"), F.col(f"e{s}").cast("array<double>").alias("e"), F.col(f"n{s}").alias("n"))
-        return df.groupBy(F.size(f"e{s}").alias("d"), F.pmod(F.xxhash64(s), F.lit(n)).alias("k")).agg(F.collect_list(row).alias(f"r{s}")).select("d", f"r{s}")
 
-    left = blocks(a, "a").withColumnRenamed("d", "da")
-    both = left.crossJoin(blocks(b, "b")).where("d = da").select("ra", "rb")
+def _clustered(df: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
+    """df (_grp, i, e, n) with the vectors scaled to length 1, their dimension d, nearest pivot k and angle to it."""
 
-    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ra, rb in zip(batch["ra"], batch["rb"], strict=True):
-                x, y = (np.array([r["e"] for r in rr]) / np.array([r["n"] for r in rr])[:, None] for rr in (ra, rb))
+            size = batch["e"].value_lengths().to_numpy()
+            for d in np.unique(size):
+                rows = batch.filter(pa.array(size == d))
+                u = rows["e"].flatten().to_numpy().reshape(len(rows), d) / rows["n"].to_numpy()[:, None]
+                cosines = u @ pivots[int(d)].T if int(d) in pivots else np.full((len(u), 1), -1.0)
+                k = cosines.argmax(1)
+                angle = np.arccos(np.clip(cosines[np.arange(len(u)), k], -1, 1))
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(u) + 1, dtype=np.int32) * np.int32(d)), pa.array(u.ravel()))
+                yield pa.RecordBatch.from_arrays([rows["_grp"], rows["i"], lists, pa.array(np.full(len(u), d, np.int32)), pa.array(k.astype(np.int32)), pa.array(angle)], ["_grp", "i", "u", "d", "k", "angle"])
+
+    return stored(df.mapInArrow(run, f"_grp string, i {df.schema['i'].dataType.simpleString()}, u array<double>, d int, k int, angle double"))
+
+
+def near_vectors(a: DataFrame, b: DataFrame, threshold: float, *, pivots: int = PIVOTS, rows: int = VECTORS) -> tuple[DataFrame, float]:
+    """Pairs (a, b: the ids) of the same _grp and dimension whose cosine may exceed the threshold, and the share of pairs of
+    one group and dimension that were never compared. a and b: _grp, i, e, n (the vector and its length, above 0).
+
+    Vectors are clustered by their nearest pivot. Two clusters meet only if the angle between their pivots, less
+    both radii, allows the threshold (triangle inequality); blocks of clusters that meet take one matrix product each.
+    Vectors that lie in all directions alike, as at random in many dimensions, leave nothing to skip.
+    """
+    sample = {}
+    for r in b.orderBy(F.xxhash64("i"), "i").limit(pivots).collect():
+        sample.setdefault(len(r["e"]), []).append(np.array(r["e"], float) / r["n"])
+    sample = {d: np.array(v) for d, v in sample.items()}
+    x, y = _clustered(a, sample), _clustered(b, sample)
+    key = ["_grp", "d"]
+    sizes = lambda df, s: df.groupBy(*key, F.col("k").alias(f"k{s}")).agg(F.count("*").alias(f"n{s}"), F.max("angle").alias(f"r{s}"))
+    apart = [(d, i, j, float(v)) for d, p in sample.items() for (i, j), v in np.ndenumerate(np.arccos(np.clip(p @ p.T, -1, 1)))]
+    between = a.sparkSession.createDataFrame(apart, "d int, ka int, kb int, apart double")  # at most pivots ** 2 rows
+    met = sizes(x, "a").join(sizes(y, "b"), key).join(F.broadcast(between), ["d", "ka", "kb"], "left")
+    allowed = F.coalesce(F.col("apart"), F.lit(0.0)) - F.col("ra") - F.col("rb") <= math.acos(max(-1.0, min(1.0, threshold))) + 1e-9
+    met = stored(met.withColumn("meet", allowed))
+    total, kept, blocks = met.agg(F.sum(F.col("na") * F.col("nb")), F.sum(F.when(F.col("meet"), F.col("na") * F.col("nb"))), F.sum(F.when(F.col("meet"), F.ceil(F.col("na") / rows) * F.ceil(F.col("nb") / rows)))).first()
+    met, salts = met.where("meet"), 64
+
+    def blocked(df: DataFrame, s: str) -> DataFrame:
+        n = df.groupBy(*key, "k").agg(F.ceil(F.count("*") / rows).alias("_n"))
+        of = df.join(n, [*key, "k"]).withColumn("_blk", F.pmod(F.xxhash64("i"), F.col("_n")))
+        return of.groupBy(*key, F.col("k").alias(f"k{s}"), "_blk").agg(F.collect_list(F.struct("i", "u")).alias(f"_{s}"))
+
+    left = blocked(x, "a").join(met.select(*key, "ka", "kb", "nb"), [*key, "ka"])
+    # a large cluster's blocks are salted, so that pairs of blocks form in many tasks
+    left = left.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(salts), F.ceil(F.col("nb") / rows)) - 1)))
+    both = left.join(blocked(y, "b").withColumn("_salt", F.pmod("_blk", F.lit(salts))), [*key, "kb", "_salt"]).select("_a", "_b")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                p, q = batch["_a"][r].values, batch["_b"][r].values
+                x, y = (s.field("u").flatten().to_numpy().reshape(len(s), -1) for s in (p, q))
                 i, j = np.nonzero(~(x @ y.T <= threshold - 1e-9))
-                yield pd.DataFrame({"a": [ra[k]["i"] for k in i], "b": [rb[k]["i"] for k in j], "ea": [ra[k]["e"] for k in i], "eb": [rb[k]["e"] for k in j], "na": [ra[k]["n"] for k in i], "nb": [rb[k]["n"] for k in j]})
+                yield pa.RecordBatch.from_arrays([p.field("i").take(pa.array(i)), q.field("i").take(pa.array(j))], ["a", "b"])
 
-    kind = lambda df, s: df.schema[s].dataType.simpleString()
-    return both.mapInPandas(near, f"a {kind(a, 'a')}, b {kind(b, 'b')}, ea array<double>, eb array<double>, na double, nb double")
+    kind = lambda df: df.schema["i"].dataType.simpleString()
+    found = both.repartition(min(max(int(blocks or 0), 8), 10_000)).mapInArrow(near, f"a {kind(a)}, b {kind(b)}")
+    return found, 1 - (kept or 0) / total if total else 0.0
 
 
 def semantic(left: DataFrame, right: DataFrame, *, embedding: str = "embedding", threshold: float = 0.5, group: str | None = None) -> DataFrame:
-    """Alignment by the cosine of embeddings, above the threshold. Vectors are scaled once, before pairs are formed."""
-    on = [group] if group else []
+    """Alignment by the cosine of embeddings, above the threshold: lefts in order of chunk_id take their best unused right."""
     norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double")))
-    mark = lambda df, s: df.select(*on, F.col("chunk_id").alias(s), F.col(embedding).alias(f"e{s}"), norm(F.col(embedding)).alias(f"n{s}")).where(F.col(f"n{s}") > 0)
-    a, b = mark(left, "a"), mark(right, "b")
-    dot = F.aggregate(F.zip_with("ea", "eb", lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    pairs = a.join(b, on) if on else _near_pairs(a, b, threshold)
-    scored = pairs.select(*on, "a", "b", (dot / (F.col("na") * F.col("nb"))).alias("score")).where(F.col("score") > threshold)
-    return scored.groupBy(*(on or [F.lit("all").alias("_g")])).applyInPandas(_greedy(threshold, "semantic"), MATCHED)
+
+    def mark(df: DataFrame) -> DataFrame:
+        grp = _group(df, group)
+        rows = df.select(grp.alias("_grp"), F.struct(grp.alias("_grp"), F.col("chunk_id").cast("long").alias("chunk_id")).alias("i"), F.col(embedding).cast("array<double>").alias("e"))
+        return stored(rows.withColumn("n", norm("e")).where("n > 0"))
+
+    a, b = mark(left), mark(right)
+    near, _ = near_vectors(a, b, threshold)
+    dot = F.aggregate(F.zip_with("ea", "eb", lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+    side = lambda df, s: df.select(F.col("i").alias(s), F.col("e").alias(f"e{s}"), F.col("n").alias(f"n{s}"))
+    scored = near.join(side(a, "a"), "a").join(side(b, "b"), "b").select("a", "b", (dot / (F.col("na") * F.col("nb"))).alias("score")).where(F.col("score") > threshold)
+    got = match(a.select(F.col("i").alias("a")), scored)
+    return got.select(F.col("a.chunk_id").alias("ar_chunk_id"), F.col("b.chunk_id").alias("en_chunk_id"), F.col("score").alias("confidence"), F.lit("semantic").alias("method"))
 
 
 def _rest(chunks: DataFrame, matched: DataFrame, side: str) -> DataFrame:

@@ -38,6 +38,19 @@ def rank_by_number(df: DataFrame, key: str, *more: str, buckets: int = 4096, nam
     return global_rank(df.join(F.broadcast(ends)), [F.col(key), *map(F.col, more)], at, name).drop("_lo", "_hi")
 
 
+def rank_within(df: DataFrame, keys: list[str], order: str, buckets: int = 4096, name: str = "rank") -> DataFrame:
+    """df with the 1-based rank of each row among those of its keys, by a numeric column (never null).
+
+    Keys may hold most rows: ranges of the order are ranked for themselves, and the sizes of a key's ranges before are added.
+    """
+    ends = df.agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"))
+    df = df.join(F.broadcast(ends)).withColumn("_bucket", F.floor((F.col(order) - F.col("_lo")) * buckets / (F.col("_hi") - F.col("_lo") + 1))).drop("_lo", "_hi")
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = df.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n")).select(*keys, "_bucket", (F.sum("_n").over(before) - F.col("_n")).alias("_before"))
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(order)))
+    return ranked.join(sizes, [*keys, "_bucket"]).withColumn(name, F.col("_rank") + F.col("_before")).drop("_bucket", "_rank", "_before")
+
+
 def first_rows(df: DataFrame, key: str, n: int, seed: int | str = 42) -> DataFrame:
     """n rows in random order: a top-n of each task, then of all."""
     return df.withColumn("_h", shuffled_key(seed, F.col(key))).orderBy("_h", key).limit(n).drop("_h")

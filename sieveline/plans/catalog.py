@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,6 +14,7 @@ from ..operators import align as A
 from ..operators import chunking as K
 from ..operators import data as D
 from ..operators import order as O
+from ..operators.scratch import scratch, stored
 from ..sources import readers, writers
 from . import model, reports
 from .fixtures import CHUNKS, JUDGED, QA, WS, chunks, judged, paragraphs_sql, qa, strip_sql, table, words_sql
@@ -41,25 +41,6 @@ def query(sql: str | None = None, name: str | None = None):
     return add
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A new folder in the shared checkpoint folder, or on the local disk where none is set and all runs on this machine."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        import tempfile
-
-        root = f"file://{tempfile.mkdtemp(prefix='sieveline-')}"
-    return f"{root.rstrip('/')}/records-{uuid.uuid4().hex}"
-
-
-def _cut(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """df written to the scratch folder and read again, which cuts the lineage."""
-    path = _scratch(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _judged_query(name: str, sql_cols: str, *cols, where: str | None = None, sql_where: str | None = None) -> None:
     """A projection of the judged records."""
 
@@ -332,7 +313,7 @@ def join_semantic(spark, d):
 
 @query()
 def join_align_pipeline(spark, d):
-    return A.align_chunks(chunks(spark, d, "en"), chunks(spark, d, "de"), cut=lambda df: _cut(spark, df))
+    return A.align_chunks(chunks(spark, d, "en"), chunks(spark, d, "de"), cut=lambda df: stored(df))
 
 
 @query("SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS cosine FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1")
@@ -637,7 +618,7 @@ def smp_shuffle(spark, d):
 
 @query()
 def bal_rebalance(spark, d):
-    out = D.rebalance(judged(spark, d).select("ordinal", "instruction", "input", "output"), _corpus(spark, d), letters=LETTERS, cut=lambda df: _cut(spark, df))
+    out = D.rebalance(judged(spark, d).select("ordinal", "instruction", "input", "output"), _corpus(spark, d), letters=LETTERS, cut=lambda df: stored(df))
     return out.select("ordinal", "instruction", "input", "output", "type", "language", "source", "scenario")
 
 
@@ -757,7 +738,7 @@ _THREE = "instruction string, input string, output string"
 
 def _round_trip(read):
     def run(spark, d):
-        path = _scratch(spark)
+        path = scratch(spark)
         writers.jsonl(judged(spark, d).select("instruction", "input", "output"), path)
         return read(spark, path)
 
@@ -774,21 +755,21 @@ query(f"WITH {JUDGED} SELECT count(*) AS lines, CAST(0 AS BIGINT) AS bad FROM ju
 
 @query(_LINES)
 def snk_training_only(spark, d):
-    path = _scratch(spark)
+    path = scratch(spark)
     writers.training_only(judged(spark, d), path)
     return readers.jsonl(spark, path, _THREE)
 
 
 @query(_LINES)
 def snk_candidate_swap(spark, d):
-    path = f"{_scratch(spark)}/final"
+    path = f"{scratch(spark)}/final"
     writers.candidate_swap(judged(spark, d).select("instruction", "input", "output"), path)
     return readers.jsonl(spark, path, _THREE)
 
 
 @query(_SIMPLE.replace("SELECT ordinal, sample_id FROM r, s", f"SELECT CAST(sample_id AS VARCHAR) AS sample_id, replace(substr(instruction, strpos(instruction, 'Claim:'), 100) || '...', {_NL}, ' ') AS claim_preview, CASE WHEN contains(output, 'VERDICT: True') THEN 'True' ELSE 'False' END AS model_verdict FROM r, s"))
 def snk_csv_review(spark, d):
-    path = _scratch(spark)
+    path = scratch(spark)
     sample = D.review_simple(judged(spark, d)).select("sample_id", R.claim_preview(F.col("instruction")).alias("claim_preview"), C.verdict_3way(F.col("output")).alias("model_verdict"))
     writers.csv_review(sample, path)
     return spark.read.csv(path, header=True, quote='"', escape="\\").select("sample_id", "claim_preview", "model_verdict")
@@ -796,7 +777,7 @@ def snk_csv_review(spark, d):
 
 @query(f"WITH {_AGREE} SELECT count(*) AS n FROM g")
 def snk_raw_response(spark, d):
-    path = _scratch(spark)
+    path = scratch(spark)
     rows = judged(spark, d).select("ordinal", (F.col("ordinal") % 7).alias("batch_id"), F.struct(F.col("output").alias("text"), F.lit("stub").alias("model")).alias("response"))
     writers.raw_responses(rows, path)
     return spark.read.schema("ordinal bigint, batch_id bigint").json(path).agg(F.count("*").alias("n"))

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import data as D
+from ..operators.scratch import scratch
 from ..sources import readers, writers
 from . import reports
-from .catalog import _scratch, query
+from .catalog import query
 from .fixtures import strip_sql, table
 
 LABELS = "doc_id bigint, quality bigint, toxic bigint"
@@ -40,7 +41,7 @@ def _joined(sep: str, where: str = "true") -> str:
 
 @query(f"SELECT *, 'lines' AS kind FROM ({_LABELS}) UNION ALL SELECT *, 'array' FROM ({_LABELS})")
 def src_json_or_jsonl(spark, d):
-    path = _scratch(spark)
+    path = scratch(spark)
     writers.jsonl(_labels(spark, d), f"{path}/a.jsonl")
     writers.single(writers.json_array(_labels(spark, d)), f"{path}/b.json")
     read = lambda name, kind: readers.json_or_jsonl(spark, f"{path}/{name}", LABELS).withColumn("kind", F.lit(kind))
@@ -50,7 +51,7 @@ def src_json_or_jsonl(spark, d):
 @query(f"SELECT *, 'synthetic_by_seed_' || quality || '.json' AS file FROM ({_LABELS})")
 def src_json_dir(spark, d):
     """Two arrays that match, one that doesn't, and a file that doesn't parse."""
-    path = _scratch(spark)
+    path = scratch(spark)
     for k in (0, 1):
         writers.single(writers.json_array(_labels(spark, d).where(F.col("quality") == k)), f"{path}/synthetic_by_seed_{k}.json")
     writers.single(writers.json_array(_labels(spark, d)), f"{path}/other.json")
@@ -60,7 +61,7 @@ def src_json_dir(spark, d):
 
 @query(f"SELECT *, 'qa_ar' AS name FROM ({_LABELS}) WHERE quality = 0 UNION ALL SELECT *, 'qa_en' FROM ({_LABELS}) WHERE quality = 1")
 def src_qa_json(spark, d):
-    path = _scratch(spark)
+    path = scratch(spark)
     for k, name in enumerate(("qa_ar", "qa_en")):
         writers.single(writers.json_array(_labels(spark, d).where(F.col("quality") == k)), f"{path}/{name}.json")
     found = readers.optional_json(spark, {n: f"{path}/{n}.json" for n in ("qa_ar", "qa_en", "qa_missing")}, LABELS)
@@ -73,14 +74,14 @@ def src_qa_json(spark, d):
 
 @query(f"SELECT 'items.txt' AS name, {_joined('chr(10)')} || chr(10) AS text")
 def src_text(spark, d):
-    path = _scratch(spark)
+    path = scratch(spark)
     writers.single(_items(spark, d), f"{path}/items.txt")
     return _named(readers.load_document(spark, f"{path}/items.txt"))
 
 
 def _corpus(names: list[str]):
     def run(spark, d):
-        path = _scratch(spark)
+        path = scratch(spark)
         for k, name in enumerate(names[:2]):
             writers.single(_items(spark, d, 5 * (k + 1)), f"{path}/{name}")
         return _named(readers.corpus(spark, [f"{path}/{n}" for n in names]))
@@ -104,7 +105,7 @@ def _docx(paragraphs: list[str]) -> bytes:
 
 def _documents(spark, d) -> str:
     """A folder with two word-processor files of five and ten items, and one that can't be read."""
-    path = _scratch(spark)
+    path = scratch(spark)
     for n, name in ((5, "ar"), (10, "en")):
         writers.bytes_file(spark, f"{path}/{name}.docx", _docx([r["value"] for r in _items(spark, d, n).collect()]))
     writers.bytes_file(spark, f"{path}/bad.docx", b"no archive")
@@ -138,7 +139,7 @@ def src_docx_pair(spark, d):
 @query("SELECT CAST(doc_id AS VARCHAR) AS seed_id, 'True' AS reviewer_verdict, 'a \"note\", ' || doc_id AS reviewer_notes FROM labels WHERE quality = 1")
 def src_csv_corrections(spark, d):
     """Rows without a verdict go; a key given again counts by its last row."""
-    path = _scratch(spark)
+    path = scratch(spark)
     notes = F.concat(F.lit('a "note", '), F.col("doc_id").cast("string")).alias("reviewer_notes")
     verdicts = lambda good: table(spark, d, "labels").select(F.col("doc_id").alias("seed_id"), F.when(F.col("quality") == 1, good).alias("reviewer_verdict"), notes)
     verdicts("False").unionByName(verdicts("True")).coalesce(1).write.csv(path, header=True, quoteAll=True, escape='"')
@@ -147,7 +148,7 @@ def src_csv_corrections(spark, d):
 
 @query("SELECT 'second' AS name")
 def src_first_existing(spark, d):
-    path = _scratch(spark)
+    path = scratch(spark)
     for name in ("second", "third"):
         writers.bytes_file(spark, f"{path}/{name}", b"x")
     found = readers.first_existing(spark, [f"{path}/{n}" for n in ("first", "second", "third")])
@@ -156,7 +157,7 @@ def src_first_existing(spark, d):
 
 @query(f"SELECT kind, doc_id, quality, toxic FROM ({_LABELS}), (VALUES ('json'), ('jsonl')) t(kind) UNION ALL SELECT 'text', doc_id, NULL, NULL FROM labels")
 def snk_intermediate(spark, d):
-    path, rows = _scratch(spark), _labels(spark, d)
+    path, rows = scratch(spark), _labels(spark, d)
     for kind in ("json", "jsonl", "text"):
         writers.intermediate(rows, f"{path}/{kind}", kind)
     out = spark.read.text(f"{path}/text").select(F.lit("text").alias("kind"), F.col("value").cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("quality"), F.lit(None).cast("bigint").alias("toxic"))
@@ -167,14 +168,14 @@ def snk_intermediate(spark, d):
 
 @query("SELECT count(*) AS n, CAST(sum(quality) AS BIGINT) AS good, NULL AS nothing FROM labels")
 def snk_json_report(spark, d):
-    path = _scratch(spark)
+    path = scratch(spark)
     row = _labels(spark, d).agg(F.count("*").alias("n"), F.sum("quality").alias("good"), F.lit(None).cast("int").alias("nothing"))
     writers.json_report(row, path)
     return spark.read.schema("n bigint, good bigint, nothing int").json(path)
 
 
 def _backed_up(spark, d) -> tuple[str, str]:
-    path = _scratch(spark)
+    path = scratch(spark)
     writers.jsonl(_labels(spark, d), f"{path}/data")
     return path, writers.backup(spark, [f"{path}/data", f"{path}/raw"], f"{path}/backups")
 
@@ -206,7 +207,7 @@ def _files(spark: SparkSession, folder: str, names: list[str]) -> None:
 @query("SELECT name FROM (VALUES ('a.raw'), ('b.tmp'), ('1_a.raw')) t(name)")
 def snk_archive_patterns(spark, d):
     """Files of the same name from two folders are both kept."""
-    path = _scratch(spark)
+    path = scratch(spark)
     _files(spark, path, ["x/a.raw", "y/a.raw", "x/b.tmp", "x/stays.json"])
     return _names(spark, writers.archive(writers.listing(spark, [f"{path}/*/*.raw", f"{path}/x/*.tmp"]), f"{path}/archive"))
 
@@ -214,7 +215,7 @@ def snk_archive_patterns(spark, d):
 @query("SELECT name FROM (VALUES ('20250101_000000')) t(name)")
 def snk_archive_old(spark, d):
     """Of archives older than 30 days those go that nothing refers to and that hold nothing essential."""
-    path = _scratch(spark)
+    path = scratch(spark)
     _files(spark, path, ["20250101_000000/a", "20250102_000000/a", "20250103_000000/keep.json", "20250601_000000/a", "notes/a"])
     gone = writers.purge(spark, path, referenced={"20250102_000000"}, essential={"keep.json"}, now=datetime(2025, 6, 15))
     return _names(spark, gone)
@@ -229,7 +230,7 @@ def snk_archive_oldest(spark, d):
 
 @query("SELECT CAST(3 AS BIGINT) AS deleted, CAST(1 AS BIGINT) AS n_left")
 def snk_cleanup(spark, d):
-    path = _scratch(spark)
+    path = scratch(spark)
     _files(spark, path, ["cache/a/b", "x.tmp", "y.tmp", "z.json"])
     n = writers.cleanup(spark, [f"{path}/cache", f"{path}/*.tmp"])
     return spark.range(1).select(F.lit(n).cast("bigint").alias("deleted"), F.lit(writers.listing(spark, [f"{path}/*"]).count()).cast("bigint").alias("n_left"))
@@ -237,14 +238,14 @@ def snk_cleanup(spark, d):
 
 @query("SELECT line FROM (VALUES ('model: small'), ('train:'), ('  epochs: 3'), ('  fp16: true'), ('files:'), ('  - a'), ('  - b')) t(line)")
 def snk_yaml(spark, d):
-    path = _scratch(spark)
+    path = scratch(spark)
     writers.yaml_config(spark, {"model": "small", "train": {"epochs": 3, "fp16": True}, "files": ["a", "b"]}, path)
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 @query("SELECT 'a: found' || chr(10) || 'b: not found' AS text")
 def rep_validation_overall(spark, d):
-    path = _scratch(spark)
+    path = scratch(spark)
     writers.bytes_file(spark, f"{path}/a", b"x")
     return spark.range(1).select(F.lit(reports.overall({n: readers.exists(spark, f"{path}/{n}") for n in "ab"})).alias("text"))
 

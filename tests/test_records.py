@@ -4,6 +4,7 @@ import difflib
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from sieveline.functions import classify as C
 from sieveline.functions import records as R
 from sieveline.functions import text as T
 from sieveline.operators import align as A
+from sieveline.operators import similarity as S
 from sieveline.operators import chunking as K
 from sieveline.operators import data as D
 from sieveline.operators import order as O
@@ -89,7 +91,7 @@ def test_negation(spark):
 
 def test_ratios():
     for a, b in (("abcd", "bcde"), ("", ""), ("a", ""), ("kitten sitting", "sitting kitten")):
-        assert A.seq_ratio(a, b) == difflib.SequenceMatcher(None, a, b).ratio()
+        assert S.seq_ratios(S.Texts([a]), S.Texts([b]), np.array([0]), np.array([0]))[0] == difflib.SequenceMatcher(None, a, b).ratio()
     assert A.indel_ratio("abcd", "bcde") == 75.0
     assert A.indel_ratio("", "") == 100.0
 
