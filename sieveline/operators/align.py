@@ -97,7 +97,7 @@ def like_pairs(left: DataFrame, right: DataFrame, a: str, b: str, threshold: flo
 
 
 #: Texts in a block of the left and of the right side that meet in one step of a task.
-LEFT_BLOCK, RIGHT_BLOCK = 256, 1024
+LEFT_BLOCK, RIGHT_BLOCK = 64, 1024
 #: Right texts with which lists begin.
 FIRST = 8
 
@@ -171,7 +171,7 @@ def heading_fuzzy(left: DataFrame, right: DataFrame, *, threshold: float = 0.3,
     rights = stored(mark(right, "b"))
     lefts = stored(rank_within(mark(left, "a"), on, "_id", name="_r"))
     n = lefts.agg(F.max("_r")).first()[0] or 0
-    low, width = 0, max(LEFT_BLOCK, rights.groupBy(*on).count().agg(F.max("count")).first()[0] or 0)
+    low, width = 0, max(256, rights.groupBy(*on).count().agg(F.max("count")).first()[0] or 0)
     matched = []
     while low < n and rights.limit(1).count():
         window = stored(rank_within(lefts.where(F.col("_r").between(low + 1, low + width)), [*on, "ha"], "_id", name="i"))
@@ -206,8 +206,8 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-#: Rows in a block of vectors, and how many of the rights are pivots.
-VECTORS, PIVOTS = 1024, 64
+#: Rows in a block of vectors, most pivots, and about how many pairs a task compares.
+VECTORS, PIVOTS, PRODUCTS = 1024, 64, 1 << 24
 
 
 def _clustered(df: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
@@ -228,7 +228,7 @@ def _clustered(df: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
     return stored(df.mapInArrow(run, f"_grp string, i {df.schema['i'].dataType.simpleString()}, u array<double>, d int, k int, angle double"))
 
 
-def near_vectors(a: DataFrame, b: DataFrame, threshold: float, *, pivots: int = PIVOTS, rows: int = VECTORS) -> tuple[DataFrame, float]:
+def near_vectors(a: DataFrame, b: DataFrame, threshold: float, *, pivots: int | None = None, rows: int = VECTORS) -> tuple[DataFrame, float]:
     """Pairs (a, b: the ids) of the same _grp and dimension whose cosine may exceed the threshold, and the share of pairs of
     one group and dimension that were never compared. a and b: _grp, i, e, n (the vector and its length, above 0).
 
@@ -236,7 +236,7 @@ def near_vectors(a: DataFrame, b: DataFrame, threshold: float, *, pivots: int =
     both radii, allows the threshold (triangle inequality); blocks of clusters that meet take one matrix product each.
     Vectors that lie in all directions alike, as at random in many dimensions, leave nothing to skip.
     """
-    sample = {}
+    pivots, sample = pivots or min(PIVOTS, 1 + b.count() // 64), {}
     for r in b.orderBy(F.xxhash64("i"), "i").limit(pivots).collect():
         sample.setdefault(len(r["e"]), []).append(np.array(r["e"], float) / r["n"])
     sample = {d: np.array(v) for d, v in sample.items()}
@@ -248,7 +248,7 @@ def near_vectors(a: DataFrame, b: DataFrame, threshold: float, *, pivots: int =
     met = sizes(x, "a").join(sizes(y, "b"), key).join(F.broadcast(between), ["d", "ka", "kb"], "left")
     allowed = F.coalesce(F.col("apart"), F.lit(0.0)) - F.col("ra") - F.col("rb") <= math.acos(max(-1.0, min(1.0, threshold))) + 1e-9
     met = stored(met.withColumn("meet", allowed))
-    total, kept, blocks = met.agg(F.sum(F.col("na") * F.col("nb")), F.sum(F.when(F.col("meet"), F.col("na") * F.col("nb"))), F.sum(F.when(F.col("meet"), F.ceil(F.col("na") / rows) * F.ceil(F.col("nb") / rows)))).first()
+    total, kept = met.agg(F.sum(F.col("na") * F.col("nb")), F.coalesce(F.sum(F.when(F.col("meet"), F.col("na") * F.col("nb"))), F.lit(0))).first()
     met, salts = met.where("meet"), 64
 
     def blocked(df: DataFrame, s: str) -> DataFrame:
@@ -270,8 +270,8 @@ def near_vectors(a: DataFrame, b: DataFrame, threshold: float, *, pivots: int =
                 yield pa.RecordBatch.from_arrays([p.field("i").take(pa.array(i)), q.field("i").take(pa.array(j))], ["a", "b"])
 
     kind = lambda df: df.schema["i"].dataType.simpleString()
-    found = both.repartition(min(max(int(blocks or 0), 8), 10_000)).mapInArrow(near, f"a {kind(a)}, b {kind(b)}")
-    return found, 1 - (kept or 0) / total if total else 0.0
+    found = both.repartition(min(8 + kept // PRODUCTS, 10_000)).mapInArrow(near, f"a {kind(a)}, b {kind(b)}")
+    return found, 1 - kept / total if total else 0.0
 
 
 def semantic(left: DataFrame, right: DataFrame, *, embedding: str = "embedding", threshold: float = 0.5, group: str | None = None) -> DataFrame:

@@ -64,9 +64,8 @@ def sequence(lefts, scores):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_rounds_agree_with_the_sequence(spark, seed):
-    rng = random.Random(seed)
+def test_rounds_agree_with_the_sequence(spark):
+    rng = random.Random(1)
     scores = {a: {b: rng.choice([1, 2, 3, rng.random()]) for b in rng.sample(range(40), rng.randint(0, 12))} for a in range(50)}
     frame = spark.createDataFrame([(a, b, float(s)) for a, r in scores.items() for b, s in r.items()], "a long, b long, score double").repartition(3)
     want = sequence(scores, scores)
@@ -95,17 +94,17 @@ def plain_headings(left, right, threshold=0.3):
 def test_headings_agree_with_the_sequence(spark, words):
     """The first words make many equal headings, the second many ties and windows."""
     rng = random.Random(5)
-    left, right = (spark.createDataFrame([*headed(rng, n, words), (n, None), (n + 1, "no heading here\nx")], "chunk_id long, text string").repartition(3) for n in (60, 45))
+    left, right = (spark.createDataFrame([*headed(rng, n, words), (n, None), (n + 1, "no heading here\nx")], "chunk_id long, text string").repartition(3) for n in (40, 30))
     got = A.heading_fuzzy(left, right, first=3).collect()
     assert sorted((r["ar_chunk_id"], r["en_chunk_id"], r["confidence"]) for r in got) == plain_headings(left, right)
 
 
 def test_headings_by_group_and_in_windows(spark, monkeypatch):
     rng = random.Random(6)
-    monkeypatch.setattr(A, "LEFT_BLOCK", 8)
+    monkeypatch.setattr(A, "LEFT_BLOCK", 64)
     monkeypatch.setattr(A, "RIGHT_BLOCK", 16)
     words = ["alpha", "beta", "gamma", "delta", "intro"]
-    left, right = (spark.createDataFrame([(i, t, rng.choice(["p", "q", None])) for i, t in headed(rng, n, words)], "chunk_id long, text string, pair string") for n in (90, 25))
+    left, right = (spark.createDataFrame([(i, t, rng.choice(["p", "q", None])) for i, t in headed(rng, n, words)], "chunk_id long, text string, pair string") for n in (300, 12))
     got = sorted((r["ar_chunk_id"], r["en_chunk_id"], r["confidence"]) for r in A.heading_fuzzy(left, right, group="pair", first=2).collect())
     parts = [plain_headings(left.where(w), right.where(w)) for w in ("pair = 'p'", "pair = 'q'", "pair is null")]
     assert got == sorted(x for p in parts for x in p)
