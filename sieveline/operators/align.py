@@ -50,9 +50,12 @@ def headings(chunks: DataFrame, *, id_col: str = "chunk_id", text_col: str = "te
 @F.pandas_udf(DoubleType())
 def seq_ratio_column(a: pd.Series, b: pd.Series) -> pd.Series:
     """Twice the characters in matching blocks over both lengths; null as empty."""
-    x, y = Texts(a.fillna("")), Texts(b.fillna(""))
-    rows = np.arange(len(x.n))
-    return pd.Series(seq_ratios(x, y, rows, rows))
+    a, b, out = a.fillna("").to_list(), b.fillna("").to_list(), []
+    for at in range(0, len(a), 512):
+        x, y = Texts(a[at : at + 512]), Texts(b[at : at + 512])
+        rows = np.arange(len(x.n))
+        out.append(seq_ratios(x, y, rows, rows))
+    return pd.Series(np.concatenate(out) if out else np.empty(0))
 
 
 def indel_ratio(a: str, b: str) -> float:
@@ -62,13 +65,14 @@ def indel_ratio(a: str, b: str) -> float:
 
 @F.pandas_udf(DoubleType())
 def indel_ratio_column(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([indel_ratio(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype=float)
-
-
-def length_bound(a: Column, b: Column, threshold: float) -> Column:
-    """Whether the lengths let a ratio of matching characters exceed the threshold; drops no pair that could."""
-    x, y = F.char_length(a), F.char_length(b)
-    return 2.0 * F.least(x, y) >= F.lit(threshold) * (x + y)
+    """100 times twice the longest common subsequence over both lengths; null as empty. Strings that share a left one are taken at once."""
+    a, b = a.fillna(""), b.fillna("")
+    out = np.empty(len(a))
+    for text, rows in b.reset_index(drop=True).groupby(a.to_numpy(), sort=False):
+        for at in range(0, len(rows), 512):
+            some = rows.iloc[at : at + 512]
+            out[some.index] = indel(text, Texts(some))
+    return pd.Series(out)
 
 
 def _letters(c: Column, kinds: int = 16) -> Column:
@@ -77,23 +81,75 @@ def _letters(c: Column, kinds: int = 16) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(kinds - 1)), lambda k: F.size(F.filter(of, lambda x: x == k)))
 
 
-def like_pairs(left: DataFrame, right: DataFrame, a: str, b: str, threshold: float, on: tuple[str, ...] = ()) -> DataFrame:
-    """Pairs of left and right whose strings a and b may have a ratio of matching characters of the threshold or more.
+#: Lengths of the grams that index strings, the longest that a threshold and a string's length allow.
+GRAMS = (3, 2, 1)
+
+
+def shared_grams(q: int, both: float, threshold: float) -> int:
+    """Least number of grams of length q that two strings of `both` characters together have in common if twice their common
+    subsequence is at least threshold * both: a character outside it breaks at most q grams of its own string and q - 1 of the other."""
+    return math.ceil(both * (threshold * (2 * q - 1) / 2 - (q - 1)) - q + 1 - 1e-9)
+
 
-    Loses no such pair. Lengths are cut into bands, each as wide as the threshold lets lengths differ,
-    so a string meets its own band and the two beside it in an equi-join, which adaptive execution splits
-    where a band is large; then the common characters must suffice. threshold lies between 0 and 1.
+def _grams(c: Column, q: int) -> Column:
+    """Struct g, k of each gram: the k-th of its kind in the string, so that no two are alike."""
+    all_ = F.transform(F.sequence(F.lit(1), F.char_length(c) - q + 1), lambda i: F.struct(F.substring(c, i, F.lit(q)).alias("g"), i.alias("i")))
+    ordered = F.sort_array(F.when(F.char_length(c) >= q, all_).otherwise(F.array()))
+    step = lambda acc, x: F.struct(
+        F.concat(acc["done"], F.array(F.struct(x["g"].alias("g"), F.when(acc["g"] == x["g"], acc["k"] + 1).otherwise(0).alias("k")))).alias("done"),
+        x["g"].alias("g"),
+        F.when(acc["g"] == x["g"], acc["k"] + 1).otherwise(0).alias("k"),
+    )
+    zero = F.struct(F.array().cast("array<struct<g: string, k: int>>").alias("done"), F.lit("").alias("g"), F.lit(-1).alias("k"))
+    return F.aggregate(ordered, zero, step, lambda acc: acc["done"])
+
+
+def like_pairs(left: DataFrame, right: DataFrame, a: str, b: str, threshold: float) -> DataFrame:
+    """Pairs of the strings a of left and b of right that may have a ratio of common characters of the threshold or more.
+
+    Loses no such pair, and forms none but those that an inverted index brings together. Strings that are so alike share
+    a number of grams; of a string's grams in order of rarity, all but that number less one are its
+    prefix, and prefixes of like strings meet. Then lengths and common characters must allow the threshold (above 0, at most 1).
     """
-    step = max(math.log((2 - threshold) / threshold), 0.01)
-    n = lambda c: F.char_length(c).cast("double")
-    none = F.lit(-(10**6))
-    at = lambda c, by: F.floor(F.log(n(c)) / F.lit(step) + F.lit(by)).cast("int")
-    bands = F.when(n(b) == 0, F.array(none)).otherwise(F.sequence(at(b, -1 - 1e-9), at(b, 1 + 1e-9)))
-    x = left.where(F.col(a).isNotNull()).withColumns({"_band": F.when(n(a) == 0, none).otherwise(at(a, 0.0)), "_la": _letters(F.col(a))})
-    y = right.where(F.col(b).isNotNull()).withColumns({"_band": F.explode(bands), "_lb": _letters(F.col(b))})
+    reach = (2 - threshold) / threshold  # most times that one may be as long as the other
+    n = lambda c: F.char_length(c)
+    least = lambda c, q: F.ceil(n(c) * F.lit((1 + 1 / reach) * (threshold * (2 * q - 1) / 2 - (q - 1))) - q + 1 - 1e-9)
+
+    def gram_size(c: str) -> Column:
+        out = F.lit(GRAMS[-1])
+        for q in reversed(GRAMS[:-1]):
+            out = F.when(least(c, q) >= 1, F.lit(q)).otherwise(out)
+        return out
+
+    x = stored(left.select(a).where(F.col(a).isNotNull()).distinct().withColumns({"_ia": F.xxhash64(a), "_q": gram_size(a)}))
+    y = stored(right.select(b).where(F.col(b).isNotNull()).distinct().withColumn("_ib", F.xxhash64(b)))
+    tops = {r["_q"]: r["top"] for r in x.groupBy("_q").agg(F.max(n(a)).alias("top")).collect()}
+
+    def grams(df: DataFrame, c: str, i: str, of) -> DataFrame:
+        """i, q, g, k and how many grams the prefix has."""
+        out = None
+        for q, top in tops.items():
+            rows = df.where(of(q, top)).select(i, F.lit(q).alias("q"), (n(c) - q + 2 - F.greatest(least(c, q), F.lit(1))).alias("_most"), F.explode(_grams(F.col(c), q)).alias("_g"))
+            out = rows if out is None else out.unionByName(rows)
+        return out.select(i, "q", "_most", "_g.g", "_g.k")
+
+    def prefixes(rows: DataFrame, i: str) -> DataFrame:
+        order = Window.partitionBy(i, "q").orderBy(F.coalesce("n", F.lit(0)), "g", "k")
+        ranked = rows.join(often, ["q", "g"], "left").withColumn("_r", F.row_number().over(order))
+        return ranked.where("_r <= _most").select(i, "q", "g", "k")
+
+    if not tops:
+        return x.select(a).crossJoin(y.select(b).limit(0))
+    of_b = stored(grams(y, b, "_ib", lambda q, top: n(b) <= math.floor(top * reach + 1e-9)))
+    of_a = grams(x, a, "_ia", lambda q, top: F.col("_q") == q)
+    often = stored(of_b.groupBy("q", "g").agg(F.count("*").alias("n")))
+    met = prefixes(of_a, "_ia").join(prefixes(of_b, "_ib"), ["q", "g", "k"]).select("_ia", "_ib").distinct()
+    pairs = met.join(x.select("_ia", a, _letters(F.col(a)).alias("_la")), "_ia").join(y.select("_ib", b, _letters(F.col(b)).alias("_lb")), "_ib")
     common = F.aggregate(F.zip_with("_la", "_lb", lambda p, q: F.least(p, q)), F.lit(0), lambda s, v: s + v)
-    pairs = x.join(y, [*on, "_band"]).where(length_bound(F.col(a), F.col(b), threshold))
-    return pairs.where(2.0 * common >= F.lit(threshold) * (n(a) + n(b))).drop("_band", "_la", "_lb")
+    both = F.lit(threshold) * (n(a) + n(b)) - 1e-9
+    alike = pairs.where((2.0 * F.least(n(a), n(b)) >= both) & (2.0 * common >= both)).select(a, b)
+    empty = x.where(n(a) == 0).join(y.where(n(b) == 0), n(a) == n(b)).select(a, b)
+    return alike.unionByName(empty)
 
 
 #: Texts in a block of the left and of the right side that meet in one step of a task.
@@ -159,7 +215,8 @@ def heading_fuzzy(left: DataFrame, right: DataFrame, *, threshold: float = 0.3,
     best unused right, ties to the smallest. Equal pairs of headings are scored once.
 
     Lefts come in windows of their order, which only need the rights that earlier ones left; in a window
-    lists begin with each left's best `first` headings, and lefts that use them up get all that is open to them.
+    lists begin with each left's best `first` headings, and lefts that use them up get four times as many of what is
+    open to them with each turn.
     Nothing is gathered for a group, which may be null or hold all rows.
     """
     on = ["_grp"]
@@ -179,12 +236,14 @@ def heading_fuzzy(left: DataFrame, right: DataFrame, *, threshold: float = 0.3,
         scores = stored(_scored(window.select(*on, "ha").distinct(), free.select(*on, "hb").distinct(), on, threshold, first))
         lists = _first_lists(window, free, scores, on, first)
 
-        def more(used_up: DataFrame, holders: DataFrame, free=free) -> DataFrame:
-            held = free.join(holders, "b", "left")
+        def more(used_up: DataFrame, holders: DataFrame, turn: int, free=free) -> tuple[DataFrame, DataFrame]:
             least = used_up.groupBy(*on).agg(F.min("a").alias("_least"))
-            open_ = stored(held.join(least, on).where("h is null or h > _least").drop("_least"))
-            found = _scored(used_up.select(*on, "ha").distinct(), open_.select(*on, "hb").distinct(), on, threshold, None)
-            return used_up.select("a", *on, "ha").join(found, [*on, "ha"]).join(open_.select("b", "h", *on, "hb"), [*on, "hb"]).where("h is null or h > a").select("a", "b", "score")
+            open_ = stored(free.join(holders, "b", "left").join(least, on).where("h is null or h > _least").drop("_least"))
+            most = first * 4**turn
+            found = stored(_scored(used_up.select(*on, "ha").distinct(), open_.select(*on, "hb").distinct(), on, threshold, most))
+            still = found.groupBy(*on, "ha").count().where(F.col("count") >= most).select(*on, "ha")
+            pairs = used_up.select("a", *on, "ha").join(found, [*on, "ha"]).join(open_.select("b", "h", *on, "hb"), [*on, "hb"]).where("h is null or h > a")
+            return pairs.select("a", "b", "score"), used_up.join(still, [*on, "ha"], "left_semi").select(*used_up.columns)
 
         # lists may be incomplete where a text has many candidates, or many rights share one of them
         many = free.groupBy(*on, "hb").count().where("count > 1").select(*on, "hb").join(scores, [*on, "hb"]).select(*on, "ha")

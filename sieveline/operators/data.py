@@ -77,8 +77,8 @@ def _normal(c: Column) -> Column:
 def _close(left: DataFrame, corpus: DataFrame, text_col: str, ratio, threshold: float, full: float = 1.0) -> DataFrame:
     """The distinct _r of left within the ratio of a sentence of the corpus.
 
-    Sentences come from all texts, are taken once each and meet references of like length only; common
-    characters are counted before the ratio is worked out.
+    Sentences come from all texts, are taken once each and meet the references that share rare grams with them;
+    common characters are counted before the ratio is worked out.
     """
     sentences = corpus.select(F.explode(F.split(F.lower(F.col(text_col)), r"\.")).alias("_s")).select(T.strip(F.col("_s")).alias("_s")).distinct()
     pairs = like_pairs(left.select("_r").distinct(), sentences, "_r", "_s", threshold / full)

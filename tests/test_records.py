@@ -302,7 +302,7 @@ def test_containment_meets_every_kind_of_reference(spark):
     assert D.reference_any(rows.limit(0), corpus).count() == 0
 
 
-@pytest.mark.parametrize("threshold", [0.3, 0.85, 1.0])
+@pytest.mark.parametrize("threshold", [0.4, 0.85, 1.0])
 def test_like_pairs_lose_none(spark, threshold):
     rng = random.Random(7)
     words = ["", "a", *("".join(rng.choice("abcdé ") for _ in range(rng.randint(1, 24))) for _ in range(60))]
@@ -314,6 +314,45 @@ def test_like_pairs_lose_none(spark, threshold):
     assert len(got) < len(words) ** 2
 
 
+def test_like_pairs_bring_few_together(spark):
+    """Sentences of one vocabulary: what meets are the copies with small changes and few others."""
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    sentences = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(3, 14))) for _ in range(300)]
+    close = [s[:5] + "xy" + s[7:] for s in sentences[:40]]
+    a, b = spark.createDataFrame([(s,) for s in close], "a string"), spark.createDataFrame([(s,) for s in sentences], "b string")
+    got = {(r["a"], r["b"]) for r in A.like_pairs(a, b, "a", "b", 0.85).collect()}
+    want = {(x, y) for x in close for y in sentences if A.indel_ratio(x, y) >= 85}
+    assert len(want) >= 35 and want <= got and len(got) < 0.1 * len(close) * len(sentences)
+    assert A.like_pairs(a.limit(0), b, "a", "b", 0.85).count() == 0 and A.like_pairs(a, b.limit(0), "a", "b", 0.85).count() == 0
+
+
+def test_references_agree_with_all_pairs(spark):
+    rng = random.Random(10)
+    vocabulary = ["sale", "hire", "rule", "of", "the", "Second", "contract", "witness", "é"]
+    texts = [". ".join(" ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 7))) for _ in range(rng.randint(1, 4))) for _ in range(25)] + ["", None, "q" * 230 + ". x"]
+    sentences = [s.strip() for t in texts if t is not None for s in t.lower().split(".")]
+    pick = lambda: list(rng.choice(sentences))
+    refs = ["UNKNOWN", "", "unknown", None, "q" * 225 + "z"]
+    for _ in range(60):
+        s = pick()
+        for _ in range(rng.randint(0, 4)):
+            s.insert(rng.randint(0, len(s)), rng.choice("abz ")) if rng.random() < 0.5 or not s else s.pop(rng.randrange(len(s)))
+        refs.append("".join(s))
+    rows = spark.createDataFrame(list(enumerate(refs)), "i int, reference string")
+    corpus = spark.createDataFrame([(t,) for t in texts], "text string")
+    norm = lambda t: " ".join(t.lower().split())
+    whole = [t for t in texts if t is not None]
+    got = {r["i"]: r["verified"] for r in D.reference_norm(rows, corpus).collect()}
+    for i, r in enumerate(refs):
+        if r is not None:
+            assert got[i] == (r == "UNKNOWN" or any(norm(r) in norm(t) for t in whole) or any(A.indel_ratio(norm(r), s) >= 85 for s in sentences)), r
+    got = {r["i"]: r["verified"] for r in D.reference_seq(rows, corpus).collect()}
+    for i, r in enumerate(refs):
+        key = (r or "").strip().lower()
+        assert got[i] == (key in ("", "unknown") or any(key in t.lower() for t in whole) or any(difflib.SequenceMatcher(None, key, s).ratio() >= 0.85 for s in sentences)), r
+
+
 def _plain_batches(costs, limit, prompt, output):
     out = []
     for i, c in enumerate(costs):
