@@ -18,9 +18,8 @@ captions), if its links hold no more than half of its characters.
 Text: character references decoded, blocks in page order, white space runs as one space.
 
 Defined results: a null or empty page, or one without text outside boilerplate, gives an empty
-text; unclosed and stray tags are tolerated; elements nested more than `DEPTH` deep count as part
-of the one at that depth, with their text; nothing is cut off; repeated rows give equal texts;
-extra columns are ignored or carried by name.
+text; unclosed and stray tags are tolerated, to any depth; `<!-->` and `<!--->` are empty comments;
+nothing is cut off; repeated rows give equal texts; extra columns are ignored or carried by name.
 """
 
 from __future__ import annotations
@@ -28,7 +27,8 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,7 +56,7 @@ BOILERPLATE_NAMES = frozenset(
 )
 NAME_PARTS = re.compile(r"[^a-z0-9]+")
 KEEPS = frozenset({"body", "html", "article", "main"})
-DEPTH = 256
+CORE = frozenset({"article", "main"})
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -90,15 +90,16 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
 
     Each search for a sign that isn't there is made once, so no page takes more than linear time.
     """
-    at, n, gone, quotes = 0, len(page), set(), True
+    at, n, quotes = 0, len(page), True
+    known: dict[str, tuple[int, int]] = {}  # of each sign where it was last looked for, and where it was
 
     def find(sign: str, start: int) -> int:
-        if sign in gone:
-            return -1
-        out = page.find(sign, start)
-        if out < 0:
-            gone.add(sign)
-        return out
+        since, there = known.get(sign, (0, -2))
+        if since <= start and (there == -1 or there >= start):
+            return there
+        there = page.find(sign, start)
+        known[sign] = start, there
+        return there
 
     while at < n:
         start = find("<", at)
@@ -113,8 +114,10 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         m = NAME.match(page, at + 1)
         if m is None:
             if page.startswith("<!--", at):
-                end = find("-->", at + 4)
-                at = end + 3 if end >= 0 else n
+                short = next((x for x in ("<!-->", "<!--->") if page.startswith(x, at)), None)
+                ends = [(find(x, at + 4), len(x)) for x in ("-->", "--!>")]
+                end, size = min((e for e in ends if e[0] >= 0), default=(n, 0))
+                at = at + len(short) if short else end + size
             elif page[at + 1] in "!?/":
                 at = find(">", at + 1) + 1
             else:
@@ -152,8 +155,7 @@ class Tree:
         self.chars, self.link_chars, self.tags, self.link_tags = [0], [0], [0], [0]
         self.texts: list[tuple[int, str]] = []
         self.stack, self.links = [0], 0
-        self.there: dict[str, int] = {}  # open elements of each tag
-        self.deep: dict[str, int] = {}  # open elements beyond DEPTH
+        self.open: dict[str, list[int]] = {}  # of each tag the places of its open elements in the stack
         for name, sign, rest in tokens(page):
             if not name:
                 self._text(sign)
@@ -180,17 +182,14 @@ class Tree:
             if self.links:
                 self.link_chars[here] += n
 
+    def _innermost(self, names: Iterable[str]) -> int:
+        """The highest place in the stack of an open element with one of these names, or 0."""
+        return max((places[-1] for x in names if (places := self.open.get(x))), default=0)
+
     def _close(self, name: str) -> None:
-        if self.deep.get(name):
-            self.deep[name] -= 1
-        elif self.there.get(name):
-            stack = self.stack
-            for k in range(len(stack) - 1, 0, -1):
-                if self.tag[stack[k]] == name:
-                    self._pop(k)
-                    break
-                if name in INLINE and self.tag[stack[k]] in ("article", "main", "table"):
-                    break
+        at = self._innermost((name,))
+        if at and not (name in INLINE and self._innermost(("article", "main", "table")) > at):
+            self._pop(at)
         self.texts.append((self.stack[-1], "" if name in INLINE else "\n"))
 
     def _open(self, name: str, rest: str) -> None:
@@ -198,14 +197,15 @@ class Tree:
         if self.tag[stack[-1]] == "head" and name not in HEAD_ONLY:
             self._pop(len(stack) - 1)
         inner, bounds = ({"p"}, P_SCOPE) if name in CLOSES_P else IMPLIED.get(name, ((), ()))
-        if any(self.there.get(x) for x in inner):
-            outermost = 0
-            for k in range(len(stack) - 1, 0, -1):
-                if self.tag[stack[k]] in inner:
-                    outermost = k
-                elif self.tag[stack[k]] in bounds:
-                    break
-            if outermost:
+        if any(self.open.get(x) for x in inner):
+            # the outermost of them that stands above all bounds
+            bound, outermost = self._innermost(x for x in bounds if x not in inner), len(stack)
+            for x in inner:
+                places = self.open.get(x, ())
+                k = bisect_right(places, bound)
+                if k < len(places):
+                    outermost = min(outermost, places[k])
+            if outermost < len(stack):
                 self._pop(outermost)
         here = stack[-1]
         if name not in INLINE:
@@ -214,11 +214,6 @@ class Tree:
         if name in VOID or name in RAW:
             self.tags[here] += name in VOID
             return
-        if len(stack) >= DEPTH:
-            if not ends:
-                self.deep[name] = self.deep.get(name, 0) + 1
-            self.tags[here] += 1
-            return
         self.tag.append(name)
         self.parent.append(here)
         self.end.append(len(self.tag))
@@ -226,8 +221,8 @@ class Tree:
         for x in (self.chars, self.link_chars, self.tags, self.link_tags):
             x.append(0)
         if not ends:
+            self.open.setdefault(name, []).append(len(stack))
             stack.append(len(self.tag) - 1)
-            self.there[name] = self.there.get(name, 0) + 1
             self.links += name == "a"
 
     def _pop(self, k: int) -> None:
@@ -235,10 +230,10 @@ class Tree:
         for x in self.stack[k:]:
             self.end[x] = len(self.tag)
             if x:
-                self.there[self.tag[x]] -= 1
+                places = self.open[self.tag[x]]
+                del places[bisect_left(places, k) :]
                 self.links -= self.tag[x] == "a"
         del self.stack[k:]
-        self.deep.clear()
 
     def _drop_boilerplate(self) -> None:
         """Marks the elements of boilerplate as gone; their counts become 0."""
@@ -301,11 +296,13 @@ class Tree:
     def _between(self, chosen: set[int], chars: list[int], links: list[int]) -> set[int]:
         """Elements between the chosen ones, headings before them, and others in the same article or main element, that aren't mostly links."""
         first, last = min(chosen), max(max(self.end[i], i + 1) for i in chosen)
-        for i in list(chosen):
-            while i > 0 and self.tag[i] not in ("article", "main"):
-                i = self.parent[i]
-            if i > 0:
-                first, last = min(first, i), max(last, self.end[i])
+        n = len(self.tag)
+        core, block = [0] * n, [0] * n  # nearest article or main, and nearest element that isn't inline
+        for i in range(1, n):
+            core[i] = i if self.tag[i] in CORE else core[self.parent[i]]
+            block[i] = i if self.tag[i] not in INLINE else block[self.parent[i]]
+        for i in filter(None, {core[i] for i in chosen}):
+            first, last = min(first, i), max(last, self.end[i])
         holds = bytearray(len(self.tag))  # those that hold a chosen element
         for i in chosen:
             while i > 0 and not holds[i]:
@@ -314,10 +311,7 @@ class Tree:
         for i in range(first - 1, 0, -1):
             if holds[i] or not chars[i]:
                 continue
-            at = i
-            while at > 0 and self.tag[at] in INLINE:
-                at = self.parent[at]
-            if self.tag[at] not in HEADINGS:
+            if self.tag[block[i]] not in HEADINGS:
                 break
             first = at
         out, i = set(), first

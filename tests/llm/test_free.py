@@ -497,3 +497,32 @@ def test_pipeline(spark, sf_dir):
     empty = spark.createDataFrame([], docs.schema)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf_dir).count() == 0
+
+
+@pytest.mark.parametrize("empty", ["<!-->", "<!--->", "<!---->", "<!-- a -->", "<!-- a --!>"])
+def test_short_comments_end(empty):
+    assert htmltext.main_text(f"<p>Before.</p>{empty}<p>After it, more.</p><!-- x --><p>End.</p>") == "Before. After it, more. End."
+
+
+def test_scanning_is_linear_in_odd_pages():
+    n = 400_000
+    pages = ["< " * n + ">", "<p><button>" + "<span>" * (n // 8) + "<hr>" * (n // 8), "<div>" * (n // 8) + "</b>" * (n // 8), "<a " * n, "<!-->" * n, "<i><table>" + "<td>x" * (n // 8) + "</i>" * (n // 8)]
+    for page in pages:
+        began = time.monotonic()
+        htmltext.main_text(page)
+        assert time.monotonic() - began < 20, page[:30]
+
+
+def test_boilerplate_is_seen_at_any_depth():
+    deep = "<div>" * 600
+    assert htmltext.main_text(f"<body>{deep}<p>Main words, {"and more " * 20}.</p><nav>menu entry</nav><form>mail <input></form><aside>side</aside><p>Last words.</p>") == " ".join(f"Main words, {'and more ' * 20}. Last words.".split())
+
+
+def test_density_decides_where_nothing_has_a_name():
+    """Divisions without telling tags, classes or ids: menus of links go by their density alone."""
+    rng = random.Random(3)
+    prose = [" ".join("".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 8))) for _ in range(60)) for _ in range(5)]
+    menu = lambda k: "<div>" + "".join(f'<div><a href="/{i}">item {i}</a></div>' for i in range(k)) + "</div>"
+    body = "<div>" + "".join(f"<div>{t}</div>" for t in prose) + "</div>"
+    page = f"<html><body>{menu(12)}<div>{menu(5)}{body}{menu(9)}</div>{menu(7)}</body></html>"
+    assert htmltext.main_text(page) == " ".join(prose)
