@@ -746,11 +746,47 @@ def _round_trip(read):
 
 
 query(_LINES, "src_jsonl_strict")(_round_trip(lambda spark, p: readers.jsonl(spark, p, _THREE)))
-query(_LINES, "src_jsonl_lenient")(_round_trip(lambda spark, p: readers.jsonl(spark, p, _THREE, strict=False)))
-query(_LINES, "src_jsonl_abort")(_round_trip(lambda spark, p: readers.jsonl_or_nothing(spark, p, _THREE)[0]))
+
+
+def _flawed(spark, d) -> str:
+    """A file of records of which every seventh is followed by a line that is cut off, every fifth by a blank one, and
+    every third lacks the input; blank and broken ones stand where line numbers count."""
+    path = scratch(spark)
+    rows = judged(spark, d).select("ordinal", F.to_json(F.struct("instruction", F.when(F.col("ordinal") % 3 > 0, F.col("input")).alias("input"), "output")).alias("value"))
+    cut = rows.where("ordinal % 7 = 0").select("ordinal", F.expr("substring(value, 1, 12)").alias("value"))
+    blank = rows.where("ordinal % 5 = 0").select("ordinal", F.lit("  ").alias("value"))
+    rows.unionByName(cut).unionByName(blank).select("value").write.text(path)
+    return path
+
+
+_FLAWED = f"WITH {JUDGED} SELECT instruction, CASE WHEN ordinal % 3 > 0 THEN input END AS input, output FROM judged"
+
+
+@query(_FLAWED)
+def src_jsonl_lenient(spark, d):
+    """Broken and blank lines go, missing fields are null."""
+    return readers.jsonl(spark, _flawed(spark, d), _THREE, strict=False)
+
+
+@query(_LINES)
+def src_jsonl_abort(spark, d):
+    """All rows of a sound file; none of one with a broken line."""
+    path = scratch(spark)
+    writers.jsonl(judged(spark, d).select("instruction", "input", "output"), path)
+    sound, broken = readers.jsonl_or_nothing(spark, path, _THREE)[0], readers.jsonl_or_nothing(spark, _flawed(spark, d), _THREE)[0]
+    return sound if broken is None else sound.unionByName(broken)
+
+
 query(_LINES, "snk_jsonl")(_round_trip(lambda spark, p: readers.jsonl(spark, p, _THREE)))
 query(f"WITH {JUDGED} SELECT count(*) AS n FROM judged", "src_count_lines")(_round_trip(readers.count_lines))
-query(f"WITH {JUDGED} SELECT count(*) AS lines, CAST(0 AS BIGINT) AS bad FROM judged", "src_jsonl_audited")(_round_trip(lambda spark, p: readers.jsonl_audited(spark, p).agg(F.count("*").alias("lines"), F.count("problem").alias("bad"))))
+
+
+@query(f"WITH {JUDGED} SELECT count(*) + count(*) FILTER (ordinal % 7 = 0) AS lines, count(*) FILTER (ordinal % 7 = 0) AS bad, CAST(count(*) + count(*) FILTER (ordinal % 7 = 0) + count(*) FILTER (ordinal % 5 = 0) AS BIGINT) AS all_lines FROM judged")
+def src_jsonl_audited(spark, d):
+    """Lines that aren't blank, broken ones among them, and the last line numbers of all files together."""
+    path = _flawed(spark, d)
+    last = readers.numbered_lines(spark, path).groupBy("path").agg(F.max("line").alias("n")).agg(F.sum("n").alias("all_lines"))
+    return readers.jsonl_audited(spark, path).agg(F.count("*").alias("lines"), F.count("problem").alias("bad")).join(F.broadcast(last))
 
 
 @query(_LINES)
@@ -762,9 +798,11 @@ def snk_training_only(spark, d):
 
 @query(_LINES)
 def snk_candidate_swap(spark, d):
-    path = f"{scratch(spark)}/final"
-    writers.candidate_swap(judged(spark, d).select("instruction", "input", "output"), path)
-    return readers.jsonl(spark, path, _THREE)
+    """Of three candidates, one without rows, the last with rows is current."""
+    path, rows = f"{scratch(spark)}/final", judged(spark, d).select("instruction", "input", "output")
+    for candidate in (rows.where("false"), rows.where("output is null or instruction <> ''").limit(1), rows, rows.where("false")):
+        writers.candidate_swap(candidate, path)
+    return readers.jsonl(spark, readers.published(spark, path), _THREE)
 
 
 @query(_SIMPLE.replace("SELECT ordinal, sample_id FROM r, s", f"SELECT CAST(sample_id AS VARCHAR) AS sample_id, replace(substr(instruction, strpos(instruction, 'Claim:'), 100) || '...', {_NL}, ' ') AS claim_preview, CASE WHEN contains(output, 'VERDICT: True') THEN 'True' ELSE 'False' END AS model_verdict FROM r, s"))

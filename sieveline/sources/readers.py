@@ -13,11 +13,12 @@ from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import text as T
+from ..operators.scratch import stored
 
 RECORD = "instruction string, input string, output string, meta struct<language: string, seed_id: string, type: string, source: string, suspected_fabrication: boolean, chunk_id: bigint>"
 
@@ -52,13 +53,35 @@ def jsonl_or_nothing(spark: SparkSession, path: str, schema: str | StructType =
     return (None, f"line {bad[0]['line']}: {bad[0]['problem']}") if bad else (jsonl(spark, path, schema), "")
 
 
+#: Splits of whose first lines the numbers are broadcast; beyond it they are joined by a shuffle.
+FEW_SPLITS = 100_000
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """path, line (from 1 in each file), raw of all lines of text files, which may have any size.
+
+    Splits of a file are read by many tasks: a first pass counts each split's lines, whose sums give the number of its first line.
+    """
+    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"), F.col("value").alias("raw"))
+    splits = text.groupBy("path", "_at").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy("path").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+    splits = stored(splits.select("path", "_at", "_first", before.alias("_before")))
+    if splits.count() <= FEW_SPLITS:
+        splits = F.broadcast(splits)
+    return text.join(splits, ["path", "_at"]).select("path", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line"), "raw")
+
+
 def jsonl_audited(spark: SparkSession, path: str) -> DataFrame:
-    """path, line, raw, problem (null, or `Invalid JSON`) of each line that isn't blank. A file is read as one row."""
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.posexplode(F.split("value", "\n")).alias("pos", "raw"))
-    rows = files.where(F.trim("raw") != "").select("path", (F.col("pos") + 1).alias("line"), "raw")
+    """path, line, raw, problem (null, or `Invalid JSON`) of each line that isn't blank."""
+    rows = numbered_lines(spark, path).where(F.trim("raw") != "")
     return rows.withColumn("problem", F.when(F.try_parse_json("raw").isNull(), "Invalid JSON"))
 
 
+def published(spark: SparkSession, path: str) -> str:
+    """The folder of the version that is current at a path that `writers.publish` writes to."""
+    return f"{path.rstrip('/')}/{spark.read.text(f'{path.rstrip('/')}/CURRENT').first()[0]}"
+
+
 def json_or_jsonl(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """JSON lines if the path ends in .jsonl, else one JSON array."""
     return spark.read.schema(schema).json(path, multiLine=not path.endswith(".jsonl"))

@@ -6,6 +6,7 @@ Files are moved through the file system of their path, so any store that Spark w
 from __future__ import annotations
 
 import time
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,21 +102,41 @@ def raw_responses(df: DataFrame, path: str, by: str = "batch_id") -> None:
     df.write.mode("append").partitionBy(by).json(path)
 
 
-def candidate_swap(df: DataFrame, path: str, *, dry_run: bool = False) -> int:
-    """Writes beside the target and replaces it if there are rows; the candidate never stays behind. Returns the rows."""
-    spark = df.sparkSession
-    staged = f"{path.rstrip('/')}_candidate"
-    fs, there = _fs(spark, staged)
+def publish(df: DataFrame, path: str, *, keep: int = 2) -> int:
+    """Writes JSON lines as a new version in a folder of its own below the path and makes it current if there
+    are rows, which it returns. Read the path through `readers.published`.
+
+    Current is what the small file CURRENT names. Its new content is written beside it and renamed over it,
+    which file systems do at once, so readers find the old version or the new one, whole; a job that fails leaves
+    the old one. Of older versions `keep` less one stay, for readers that have begun.
+    """
+    spark, version = df.sparkSession, f"v-{time.time_ns():020d}-{uuid.uuid4().hex}"
+    root = path.rstrip("/")
+    fs, there = _fs(spark, f"{root}/{version}")
     try:
-        jsonl(df, staged)
-        n = spark.read.text(staged).count()
-        if n and not dry_run:
-            fs.delete(_path(spark, path), True)
-            if not fs.rename(there, _path(spark, path)):
-                raise OSError(f"can't rename {staged}")
-        return n
-    finally:
+        jsonl(df, f"{root}/{version}")
+        n = spark.read.text(f"{root}/{version}").count()
+    except BaseException:
+        fs.delete(there, True)
+        raise
+    if not n:
         fs.delete(there, True)
+        return 0
+    bytes_file(spark, f"{root}/.{version}", version.encode())
+    jvm, conf = spark.sparkContext._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(_path(spark, root).toUri(), conf).rename(_path(spark, f"{root}/.{version}"), _path(spark, f"{root}/CURRENT"), options)
+    versions = sorted(str(x.getPath()) for x in fs.globStatus(_path(spark, f"{root}/v-*")) or [])
+    for old in [v for v in versions if not v.endswith(version)][: max(0, len(versions) - keep)]:
+        fs.delete(_path(spark, old), True)
+    return n
+
+
+def candidate_swap(df: DataFrame, path: str, *, dry_run: bool = False) -> int:
+    """The rows of df; unless there are none or it is a dry run they become the current version at the path."""
+    return df.count() if dry_run else publish(df, path)
 
 
 def backup(spark: SparkSession, paths: list[str], root: str) -> str:
@@ -141,9 +162,16 @@ def restore_latest(spark: SparkSession, root: str, name: str, path: str) -> str
     staged = _path(spark, f"{path.rstrip('/')}_restored")
     target_fs.delete(staged, True)
     util.copy(fs, _path(spark, found[-1]), target_fs, staged, False, conf)
-    target_fs.delete(target, True)  # only when the copy is whole
+    # only when the copy is whole; what was there is put aside and comes back if the copy can't take its place
+    aside, there = _path(spark, f"{path.rstrip('/')}_before"), target_fs.exists(target)
+    target_fs.delete(aside, True)
+    if there and not target_fs.rename(target, aside):
+        raise OSError(f"can't rename {target}")
     if not target_fs.rename(staged, target):
+        if there:
+            target_fs.rename(aside, target)
         raise OSError(f"can't rename {staged}")
+    target_fs.delete(aside, True)
     return found[-1]
 
 

@@ -211,13 +211,49 @@ def test_json_lines(spark, tmp_path):
     assert raw.select(R.missing_fields(F.col("raw")).alias("m")).first()["m"] == ["input"]
 
 
+def test_line_numbers_of_split_files(spark, tmp_path):
+    """A file of many splits and some small ones: line numbers are those of the files, blank lines counted."""
+    rng = random.Random(12)
+    want = set()
+    for name, n in (("a", 3000), ("b", 1), ("c", 40)):
+        lines = [rng.choice(['{"k": 1}', "", "{cut", '{"t": "' + "é" * rng.randint(0, 90) + '"}']) for _ in range(n)]
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(lines) + "\n", encoding="utf-8")
+        want |= {(name, k, x) for k, x in enumerate(lines, 1)}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        rows = readers.numbered_lines(spark, str(tmp_path))
+        assert rows.rdd.getNumPartitions() > 5
+        assert {(r["path"].rsplit("/", 1)[1][0], r["line"], r["raw"]) for r in rows.collect()} == want
+        bad = readers.jsonl_audited(spark, str(tmp_path)).where("problem is not null").collect()
+        assert {(r["path"].rsplit("/", 1)[1][0], r["line"]) for r in bad} == {(f, k) for f, k, x in want if x == "{cut"}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_publishing_is_all_or_nothing(spark, tmp_path):
+    path = f"file://{tmp_path}/rows"
+    rows = lambda: sorted(r["i"] for r in spark.read.schema("i long").json(readers.published(spark, path)).collect())
+    assert writers.publish(spark.range(3).withColumnRenamed("id", "i"), path) == 3
+    with pytest.raises(Exception):  # noqa: B017
+        writers.publish(spark.range(0, 90, 1, 4).select(F.when(F.col("id") == 70, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long").alias("i")), path)
+    assert rows() == [0, 1, 2]
+    old = spark.read.schema("i long").json(readers.published(spark, path))
+    assert writers.publish(spark.range(5, 7).withColumnRenamed("id", "i"), path) == 2
+    assert rows() == [5, 6]
+    assert old.count() == 3  # a reader that has begun
+    assert writers.candidate_swap(spark.range(0).withColumnRenamed("id", "i"), path) == 0 and rows() == [5, 6]
+    for k in range(3):
+        writers.publish(spark.range(k + 1).withColumnRenamed("id", "i"), path)
+    assert rows() == [0, 1, 2] and len([x for x in (tmp_path / "rows").iterdir() if x.name.startswith("v-")]) == 2
+
+
 def test_writers(spark, tmp_path):
     df = spark.createDataFrame([("i", "", "VERDICT: True", "é")], "instruction string, input string, output string, note string")
     path = f"file://{tmp_path}/final"
     assert writers.candidate_swap(df, path) == 1
     assert writers.candidate_swap(df.limit(0), path) == 0
-    assert spark.read.json(path).count() == 1
-    assert not readers.exists(spark, f"{path}_candidate")
+    assert spark.read.json(readers.published(spark, path)).count() == 1
     kept = writers.backup(spark, [path], f"file://{tmp_path}/backup")
     assert readers.exists(spark, f"{kept}/final")
     assert writers.restore_latest(spark, f"file://{tmp_path}/backup", "final", path)
