@@ -155,7 +155,8 @@ def candidates(docs: DataFrame, *, text_col: str = "text", carry: tuple[str, ...
     # a text is searched once for each distinct value, and goes no further
     rows = rows.withColumn("_places", F.transform("_values", place))
     at = lambda x: F.element_at("_places", F.array_position("_values", x["value"]).cast("int"))
-    each = rows.select("_k", F.explode(F.transform("_found", lambda x: F.struct(x.alias("x"), at(x).alias("at")))).alias("_c"))
+    # the outer form, as for the plain one the optimiser makes a filter that finds all candidates anew
+    each = rows.select("_k", F.explode_outer(F.transform("_found", lambda x: F.struct(x.alias("x"), at(x).alias("at")))).alias("_c")).where("_c is not null")
     return each.select(*[F.col(f"_k.k{i}").alias(c) for i, c in enumerate(carry)], "_c.x.*", "_c.at.*")
 
 
