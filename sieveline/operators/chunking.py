@@ -1,6 +1,7 @@
 """Greedy packing of paragraphs, sentences and chunks under word or token budgets.
 
 Packing restarts with each document, so it is one ordered fold for a row, and rows are independent.
+Batches of chunks run over whole groups; these are packed in ranges (`budgets`).
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.classify import heading_unit
+from . import budgets
+from .scratch import stored
 
 
 def _groups(items: Column, limit: int, *, base: int = 0, closes=None) -> Column:
@@ -99,14 +102,23 @@ def chunk_sentences(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def pack_batches(chunks: DataFrame, *, group: str, order: str, tokens: str = "token_count", limit: int = 240_000, prompt_tokens: int = 0, output_tokens: int = 512) -> DataFrame:
-    """Batches batch_id, chunk_ids, prompt_tokens, expected_output_tokens, total_tokens of each group's chunks in order."""
-    lists = chunks.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).cast("bigint").alias("id"), F.col(tokens).cast("bigint").alias("n")))).alias("c"))
-    items = F.transform("c", lambda x: F.struct(x["id"].alias("text"), (x["n"] + output_tokens).alias("n")))
-    lists = lists.select(group, items.alias("_items"))
-    batches = F.transform(_groups(F.col("_items"), limit, base=prompt_tokens), lambda g: F.struct(_texts(F.col("_items"), g).alias("ids"), g["n"].alias("n")))
-    rows = lists.select(group, F.posexplode(batches).alias("batch_id", "b"))
-    output = (F.size("b.ids") * output_tokens).cast("bigint")
-    return rows.select(group, "batch_id", F.col("b.ids").alias("chunk_ids"), (F.col("b.n") - output).alias("prompt_tokens"), output.alias("expected_output_tokens"), F.col("b.n").alias("total_tokens"))
+    """Batches batch_id, chunk_ids, prompt_tokens, expected_output_tokens, total_tokens of each group's chunks in order.
+
+    Groups of up to `budgets.RANGE` chunks are folded in a row each; larger ones are packed in ranges, by many tasks.
+    """
+    rows = chunks.select(group, F.col(order).cast("bigint").alias("id"), (F.col(tokens).cast("bigint") + output_tokens).alias("n"))
+    sizes = rows.groupBy(F.col(group).alias("_of")).agg(F.count("*").alias("_size"))
+    large = stored(sizes.where(F.col("_size") > budgets.RANGE).select("_of"))
+    same = F.col(group).eqNullSafe(F.col("_of"))
+    lists = rows.join(large, same, "left_anti").groupBy(group).agg(F.array_sort(F.collect_list(F.struct("id", "n"))).alias("_items"))
+    folded = F.transform(_groups(F.col("_items"), limit, base=prompt_tokens), lambda g: F.struct(F.transform(F.slice("_items", g["first"] + 1, g["last"] - g["first"] + 1), lambda x: x["id"]).alias("ids"), g["n"].alias("n")))
+    batches = lists.select(group, F.posexplode(folded).alias("batch_id", "b")).select(group, "batch_id", F.col("b.ids").alias("chunk_ids"), F.col("b.n").alias("total_tokens"))
+    if large.limit(1).count():
+        packed = budgets.batch_ids(rows.join(large, same, "left_semi"), group=group, order="id", cost="n", limit=limit - prompt_tokens)
+        wide = packed.groupBy(group, F.col("batch_id").cast("int").alias("batch_id")).agg(F.array_sort(F.collect_list("id")).alias("chunk_ids"), (F.sum("n") + prompt_tokens).alias("total_tokens"))
+        batches = batches.unionByName(wide)
+    output = (F.size("chunk_ids") * output_tokens).cast("bigint")
+    return batches.select(group, "batch_id", "chunk_ids", (F.col("total_tokens") - output).alias("prompt_tokens"), output.alias("expected_output_tokens"), "total_tokens")
 
 
 def make_seeds(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", separator: str = "\n\n", least_paragraph: int = 50, least_claim: int = 30, claims: int = 2, letters: str = "؀-ۿ", found: str = "ar", other: str = "en") -> DataFrame:

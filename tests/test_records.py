@@ -12,6 +12,7 @@ from sieveline.functions import classify as C
 from sieveline.functions import records as R
 from sieveline.functions import text as T
 from sieveline.operators import align as A
+from sieveline.operators import budgets as B
 from sieveline.operators import similarity as S
 from sieveline.operators import chunking as K
 from sieveline.operators import data as D
@@ -399,6 +400,34 @@ def _plain_batches(costs, limit, prompt, output):
     return out
 
 
+def test_batches_of_one_group_over_many_ranges(spark, monkeypatch):
+    """Small ranges and fans, so that functions are composed over several levels; against a plain loop."""
+    monkeypatch.setattr(B, "RANGE", 7)
+    monkeypatch.setattr(B, "FAN", 3)
+    rng = random.Random(4)
+    groups = {"hot": [rng.choice([0, 0, 1, 5, 40, 99, 100, 101, 250]) for _ in range(700)], "one": [500], None: [3] * 50}
+    rows = spark.createDataFrame([(g, i, c) for g, costs in groups.items() for i, c in enumerate(costs)], "g string, id long, token_count long").repartition(6)
+    got = K.pack_batches(rows, group="g", order="id", limit=300, prompt_tokens=20, output_tokens=3).collect()
+    for g, costs in groups.items():
+        mine = sorted((r["batch_id"], r["chunk_ids"], r["total_tokens"]) for r in got if r["g"] == g)
+        assert mine == [(k, *b) for k, b in enumerate(_plain_batches(costs, 300, 20, 3))]
+    assert K.pack_batches(rows.limit(0), group="g", order="id").count() == 0
+
+
+def test_step_functions_compose():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        limit = int(rng.integers(1, 60))
+        parts = [rng.integers(0, 30, rng.integers(1, 9)) for _ in range(3)]
+        whole = B.steps_of(np.concatenate(parts), limit)
+        chain = B.steps_of(parts[0], limit).then(B.steps_of(parts[1], limit)).then(B.steps_of(parts[2], limit))
+        for amount in [*range(limit + 40), B.FULL]:
+            held = amount
+            for c in np.concatenate(parts):
+                held = held + c if held + c <= limit else c
+            assert whole(amount) == chain(amount) == held
+
+
 def test_batches_and_chunks_of_long_rows(spark):
     """Groups against a plain loop; a document of 20,000 paragraphs takes seconds, as nothing is copied for each item."""
     rng = random.Random(3)
