@@ -146,13 +146,13 @@ def src_csv_corrections(spark, d):
     return readers.corrections_csv(spark, path).select("seed_id", "reviewer_verdict", "reviewer_notes")
 
 
-@query("SELECT 'second' AS name")
+@query(_LABELS)
 def src_first_existing(spark, d):
-    path = scratch(spark)
-    for name in ("second", "third"):
-        writers.bytes_file(spark, f"{path}/{name}", b"x")
-    found = readers.first_existing(spark, [f"{path}/{n}" for n in ("first", "second", "third")])
-    return spark.range(1).select(F.substring_index(F.lit(found), "/", -1).alias("name"))
+    """The rows of the first of three paths that is there; the third has fewer."""
+    path, rows = scratch(spark), _labels(spark, d)
+    writers.jsonl(rows, f"{path}/second")
+    writers.jsonl(rows.where("toxic = 1"), f"{path}/third")
+    return readers.jsonl(spark, readers.first_existing(spark, [f"{path}/{n}" for n in ("first", "second", "third")]), LABELS)
 
 
 @query(f"SELECT kind, doc_id, quality, toxic FROM ({_LABELS}), (VALUES ('json'), ('jsonl')) t(kind) UNION ALL SELECT 'text', doc_id, NULL, NULL FROM labels")
@@ -195,30 +195,35 @@ def snk_restore_latest(spark, d):
     return readers.jsonl(spark, f"{path}/data", LABELS)
 
 
-def _names(spark: SparkSession, names: list[str]) -> DataFrame:
-    return spark.createDataFrame([(n.rsplit("/", 1)[-1],) for n in names], "name string")
-
-
-def _files(spark: SparkSession, folder: str, names: list[str]) -> None:
-    for name in names:
-        writers.bytes_file(spark, f"{folder}/{name}", b"x")
-
-
-@query("SELECT name FROM (VALUES ('a.raw'), ('b.tmp'), ('1_a.raw')) t(name)")
+@query("SELECT CASE WHEN toxic = 1 THEN 'archived' ELSE 'stays' END AS kind, doc_id FROM labels WHERE toxic IN (0, 1)")
 def snk_archive_patterns(spark, d):
-    """Files of the same name from two folders are both kept."""
-    path = scratch(spark)
-    _files(spark, path, ["x/a.raw", "y/a.raw", "x/b.tmp", "x/stays.json"])
-    return _names(spark, writers.archive(writers.listing(spark, [f"{path}/*/*.raw", f"{path}/x/*.tmp"]), f"{path}/archive"))
-
-
-@query("SELECT name FROM (VALUES ('20250101_000000')) t(name)")
+    """Files that match are moved with their rows, those of the same name from two folders too; others stay."""
+    path, rows = scratch(spark), _labels(spark, d)
+    for part in (0, 1):
+        for name in ("x", "y"):
+            writers.single(rows.where(f"toxic = {part} and (doc_id % 2 = 0) = {name == 'x'}".lower()).select(F.to_json(F.struct("doc_id")).alias("value")), f"{path}/{name}/{'raw' if part else 'kept'}.json")
+    moved = writers.archive(writers.listing(spark, [f"{path}/*/raw*.json"]), f"{path}/archive")
+    of = lambda where, kind: readers.jsonl(spark, where, "doc_id bigint").select(F.lit(kind).alias("kind"), "doc_id")
+    return of(moved, "archived").unionByName(of(f"{path}/[xy]/*.json", "stays"))
+
+
+@query(
+    """SELECT name, count(*) AS n FROM (
+  SELECT CASE WHEN quality = 0 THEN '20250102_000000' WHEN toxic = 1 THEN '20250103_000000' WHEN doc_id % 2 = 0 THEN '20250101_000000' ELSE '20250601_000000' END AS name FROM labels)
+WHERE name <> '20250101_000000' GROUP BY 1"""
+)
 def snk_archive_old(spark, d):
-    """Of archives older than 30 days those go that nothing refers to and that hold nothing essential."""
+    """Of archives older than 30 days those go that nothing refers to and that hold nothing essential; what the others hold."""
     path = scratch(spark)
-    _files(spark, path, ["20250101_000000/a", "20250102_000000/a", "20250103_000000/keep.json", "20250601_000000/a", "notes/a"])
+    stamp = F.when(F.col("quality") == 0, "20250102_000000").when(F.col("toxic") == 1, "20250103_000000").when(F.col("doc_id") % 2 == 0, "20250101_000000").otherwise("20250601_000000")
+    rows = _labels(spark, d).withColumn("stamp", stamp)
+    names = [r["stamp"] for r in rows.select("stamp").distinct().collect()]  # four at most
+    for name in names:
+        held = rows.where(F.col("stamp") == name).select(F.to_json(F.struct("doc_id")).alias("value"))
+        writers.single(held, f"{path}/{name}/{'keep' if name.startswith('20250103') else 'a'}.json")
     gone = writers.purge(spark, path, referenced={"20250102_000000"}, essential={"keep.json"}, now=datetime(2025, 6, 15))
-    return _names(spark, gone)
+    left = spark.read.text([f"{path}/{n}" for n in names if n not in gone]) if len(gone) < len(names) else spark.range(0).select(F.lit("").alias("value"))
+    return left.groupBy(F.regexp_extract(F.input_file_name(), "([0-9]{8}_[0-9]{6})/[^/]*$", 1).alias("name")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT CAST(doc_id AS VARCHAR) || '.json' AS name FROM labels WHERE (SELECT count(*) FROM labels) > 100 ORDER BY toxic DESC, doc_id DESC OFFSET 50")
@@ -228,26 +233,37 @@ def snk_archive_oldest(spark, d):
     return writers.oldest_beyond(files).select("name")
 
 
-@query("SELECT CAST(3 AS BIGINT) AS deleted, CAST(1 AS BIGINT) AS n_left")
+@query("SELECT CAST(2 AS BIGINT) AS deleted, count(*) AS n_left FROM labels")
 def snk_cleanup(spark, d):
-    path = scratch(spark)
-    _files(spark, path, ["cache/a/b", "x.tmp", "y.tmp", "z.json"])
+    """Deleted folders and files, and the rows of what stays."""
+    path, rows = scratch(spark), _labels(spark, d)
+    for name in ("cache/part", "x.tmp", "kept"):
+        writers.jsonl(rows, f"{path}/{name}")
     n = writers.cleanup(spark, [f"{path}/cache", f"{path}/*.tmp"])
-    return spark.range(1).select(F.lit(n).cast("bigint").alias("deleted"), F.lit(writers.listing(spark, [f"{path}/*"]).count()).cast("bigint").alias("n_left"))
+    return spark.read.text(f"{path}/*").agg(F.lit(n).cast("bigint").alias("deleted"), F.count("*").alias("n_left"))
 
 
-@query("SELECT line FROM (VALUES ('model: small'), ('train:'), ('  epochs: 3'), ('  fp16: true'), ('files:'), ('  - a'), ('  - b')) t(line)")
+@query(
+    """WITH n AS (SELECT count(*) AS rows, count(*) FILTER (toxic = 1) AS toxic, count(*) FILTER (quality = 1) AS good FROM labels)
+SELECT 'rows: ' || rows AS line FROM n UNION ALL SELECT 'labels:' UNION ALL SELECT '  good: ' || good FROM n UNION ALL SELECT '  any_toxic: ' || CASE WHEN toxic > 0 THEN 'true' ELSE 'false' END FROM n
+UNION ALL SELECT 'languages:' UNION ALL SELECT DISTINCT '  - ' || lang FROM documents WHERE lang IS NOT NULL"""
+)
 def snk_yaml(spark, d):
     path = scratch(spark)
-    writers.yaml_config(spark, {"model": "small", "train": {"epochs": 3, "fp16": True}, "files": ["a", "b"]}, path)
+    n = _labels(spark, d).agg(F.count("*").alias("rows"), F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("quality") == 1).alias("good")).first()
+    languages = [r["lang"] for r in table(spark, d, "documents").select("lang").where("lang is not null").distinct().orderBy("lang").collect()]
+    writers.yaml_config(spark, {"rows": n["rows"], "labels": {"good": n["good"], "any_toxic": n["toxic"] > 0}, "languages": languages}, path)
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
-@query("SELECT 'a: found' || chr(10) || 'b: not found' AS text")
+@query("SELECT 'toxic: ' || CASE WHEN (SELECT count(*) FROM labels WHERE toxic = 1) > 0 THEN 'found' ELSE 'not found' END || chr(10) || 'unlabelled: ' || CASE WHEN (SELECT count(*) FROM labels WHERE quality IS NULL) > 0 THEN 'found' ELSE 'not found' END AS text")
 def rep_validation_overall(spark, d):
-    path = scratch(spark)
-    writers.bytes_file(spark, f"{path}/a", b"x")
-    return spark.range(1).select(F.lit(reports.overall({n: readers.exists(spark, f"{path}/{n}") for n in "ab"})).alias("text"))
+    """Which of the files are there; those without rows aren't written."""
+    path, rows = scratch(spark), _labels(spark, d)
+    for name, part in (("toxic", rows.where("toxic = 1")), ("unlabelled", rows.where("quality is null"))):
+        if not part.isEmpty():
+            writers.jsonl(part, f"{path}/{name}")
+    return spark.range(1).select(F.lit(reports.overall({n: readers.exists(spark, f"{path}/{n}") for n in ("toxic", "unlabelled")})).alias("text"))
 
 
 @query("SELECT 'labels there: ' || CASE WHEN (SELECT count(*) FROM labels) > 0 THEN 'PASS' ELSE 'FAIL' END || chr(10) || 'no toxic rows: ' || CASE WHEN (SELECT count(*) FROM labels WHERE toxic = 1) = 0 THEN 'PASS' ELSE 'FAIL' END || chr(10) || ((SELECT count(*) > 0 FROM labels)::INT + (SELECT count(*) = 0 FROM labels WHERE toxic = 1)::INT) || ' of 2 steps passed' AS text")
