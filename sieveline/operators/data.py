@@ -36,6 +36,10 @@ def dedup_input(df: DataFrame, *, col: str = "input", order: str = "ordinal") ->
 # ---- references ----------------------------------------------------------------------------
 
 
+#: References that are looked for in a text at a time.
+REFS = 5000
+
+
 def _contained(refs: DataFrame, texts: DataFrame) -> DataFrame:
     """The distinct _r of refs that are contained in a _t of texts.
 
@@ -58,7 +62,11 @@ def _contained(refs: DataFrame, texts: DataFrame) -> DataFrame:
     plain = keyed.where("_w is null and _p is not null").select("_r", "_p", F.substring(F.col("_p"), F.lit(1), size("_p")).alias("_g"))
     holding = plain.join(grams, "_g").where(F.col("_w").contains(F.col("_p"))).select("_r", "_w")
     likely = whole.unionByName(holding.join(words, "_w").select("_r", "_h")).distinct()
-    found = likely.join(texts, "_h").where(F.col("_t").contains(F.col("_r"))).select("_r")
+    # a text goes to its likely references once, with up to REFS of them at a time
+    many = likely.groupBy("_h").agg(F.count("*").alias("_n"))
+    lists = likely.join(many, "_h").groupBy("_h", F.pmod(F.xxhash64("_r"), F.ceil(F.col("_n") / REFS)).alias("_k")).agg(F.collect_list("_r").alias("_rs"))
+    once = texts.groupBy("_h").agg(F.first("_t").alias("_t"))
+    found = lists.join(once, "_h").select(F.explode(F.filter("_rs", lambda r: F.contains(F.col("_t"), r))).alias("_r"))
     run = texts.agg(F.max(F.coalesce(F.array_max(F.transform(F.regexp_extract_all("_t", F.lit("( +)")), F.char_length)), F.lit(0))).alias("_run"))
     blank = keyed.where("_p is null").join(F.broadcast(run)).where(F.char_length("_r") <= F.col("_run")).select("_r")
     return found.unionByName(blank).distinct()
@@ -115,9 +123,19 @@ def fix_references(rows: DataFrame, corpus: DataFrame, *, ref_col: str = "refere
     return joined.withColumn(ref_col, R.fix_reference(F.col(ref_col), F.coalesce("_in", F.lit(False)) | (F.col(ref_col) == ""), F.col(context_col))).drop("_k", "_in")
 
 
-def anti_referenced(files: DataFrame, reports: DataFrame, *, path_col: str = "path", text_col: str = "text") -> DataFrame:
-    """The files whose path is contained in no report. Reports are few and short, so they are matched by containment."""
-    return files.join(F.broadcast(reports.select(F.col(text_col).alias("_t"))), F.col("_t").contains(F.col(path_col)), "left_anti")
+def anti_referenced(files: DataFrame, reports: DataFrame, *, path_col: str = "path", text_col: str = "text", by_name: bool = False, keep_on_error: bool = False) -> DataFrame:
+    """The files whose path (by_name: what follows its last slash) is contained in no report; a null path is in none.
+
+    Files and reports may be many: they meet through words. A report that can't be read has a null text; with keep_on_error
+    it may refer to any file, so none is returned.
+    """
+    ref = F.substring_index(F.col(path_col), "/", -1) if by_name else F.col(path_col)
+    texts = reports.select(F.col(text_col).alias("_t"))
+    out = files.join(_contained(files.select(ref.alias("_r")), texts), ref == F.col("_r"), "left_anti")
+    if keep_on_error:
+        unread = texts.where("_t is null").limit(1).select(F.lit(True).alias("_unread"))
+        out = out.join(F.broadcast(unread), F.lit(True), "left_anti")
+    return out
 
 
 def apply_corrections(rows: DataFrame, corrections: DataFrame, *, key: str = "seed_id", notes: str = "reviewer_notes") -> DataFrame:

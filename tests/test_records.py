@@ -212,6 +212,22 @@ def test_json_lines(spark, tmp_path):
     assert raw.select(R.missing_fields(F.col("raw")).alias("m")).first()["m"] == ["input"]
 
 
+def test_unreferenced_files(spark):
+    """Against a plain search of many reports, by path and by name; an unreadable report keeps all."""
+    rng = random.Random(13)
+    paths = [f"{rng.choice(['raw', 'out', 'a b'])}/{rng.choice(['x', 'y 1', 'z'])}{i % 40}.json" for i in range(120)] + ["", None]
+    texts = [" ".join(rng.choice([p for p in paths if p]) + rng.choice(["", ",", " kept"]) for _ in range(rng.randint(0, 3))) for _ in range(25)] + ["see x7.json!"]
+    files = spark.createDataFrame(list(enumerate(paths)), "i int, path string")
+    reports = spark.createDataFrame([(t,) for t in texts], "text string")
+    plain = lambda key: {i for i, p in enumerate(paths) if p is None or not any(key(p) in t for t in texts)}
+    assert {r["i"] for r in D.anti_referenced(files, reports).collect()} == plain(lambda p: p)
+    assert {r["i"] for r in D.anti_referenced(files, reports, by_name=True).collect()} == plain(lambda p: p.rsplit("/", 1)[-1])
+    assert {r["i"] for r in D.anti_referenced(files, reports, keep_on_error=True).collect()} == plain(lambda p: p)
+    broken = reports.unionByName(spark.createDataFrame([(None,)], "text string"))
+    assert D.anti_referenced(files, broken, keep_on_error=True).count() == 0
+    assert {r["i"] for r in D.anti_referenced(files, broken).collect()} == plain(lambda p: p)
+
+
 def test_line_numbers_of_split_files(spark, tmp_path):
     """A file of many splits and some small ones: line numbers are those of the files, blank lines counted."""
     rng = random.Random(12)
