@@ -80,24 +80,30 @@ def chunk_tokens(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 def chunk_sentences(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 1000, overlap: int = 100) -> DataFrame:
     """Chunks of sentences (split at points) up to `size` estimated tokens, each begun with the two last
-    sentences of the one before. start_sentence and overlap_tokens are the estimates that parameters give."""
-    parts = F.filter(F.transform(F.split(F.col(text_col), r"\."), T.strip), lambda x: x != "")
+    sentences of the one before, if it has two. start_sentence and overlap_tokens are the estimates that parameters give.
 
-    def fold(acc: Column, s: Column) -> Column:
-        now = acc["now"]
-        grown = F.concat(now, F.lit(". "), s)
-        last_two = F.concat_ws(". ", F.slice(F.split(now, r"\. "), F.greatest(F.size(F.split(now, r"\. ")) - 1, F.lit(1)), F.lit(2)))
-        new = F.when(now.contains("."), F.concat(last_two, F.lit(". "), s)).otherwise(s)
-        full = T.tokens_scaled(grown) > size
-        return F.when(now.isNull(), F.struct(acc["done"].alias("done"), s.alias("now"))).otherwise(
-            F.struct(F.when(full, F.concat(acc["done"], F.array(now))).otherwise(acc["done"]).alias("done"), F.when(full, new).otherwise(grown).alias("now"))
-        )
-
-    none = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("now"))
-    ended = lambda acc: F.when(acc["now"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["now"])))
-    rows = docs.select(id_col, F.posexplode(F.aggregate(parts, none, fold, ended)).alias("id", "text"))
+    Words are counted once for each sentence; the fold adds counts and keeps places, and texts are joined at the end.
+    """
+    parts = F.filter(F.transform(F.split(F.col(text_col), r"\."), T.strip), lambda x: x != "")
+    docs = docs.select(id_col, parts.alias("_s")).select(id_col, "_s", F.transform("_s", T.word_count).alias("_w"))
+    words = lambda i: F.coalesce(F.get("_w", i), F.lit(0).cast("bigint"))
+    span = lambda first, last, n: F.struct(first.alias("first"), last.alias("last"), n.alias("n"))
+
+    def fold(acc: Column, w: Column) -> Column:
+        at, now = acc["at"], acc["now"]
+        full = (now["n"] + w) * F.lit(1.3).cast("double") > size
+        two = now["last"] > now["first"]
+        begun = span(F.when(two, at - 2).otherwise(at), at, F.when(two, words(at - 2) + words(at - 1)).otherwise(F.lit(0).cast("bigint")) + w)
+        grown = span(now["first"], at, now["n"] + w)
+        first = at == 0
+        return F.struct(F.when(full & ~first, F.concat(acc["done"], F.array(now))).otherwise(acc["done"]).alias("done"), F.when(full & ~first, begun).otherwise(grown).alias("now"), (at + 1).alias("at"))
+
+    none = F.struct(F.array().cast("array<struct<first: int, last: int, n: bigint>>").alias("done"), span(F.lit(0), F.lit(0), F.lit(0).cast("bigint")).alias("now"), F.lit(0).alias("at"))
+    ended = lambda acc: F.when(acc["at"] == 0, acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["now"])))
+    chunks = F.transform(F.aggregate("_w", none, fold, ended), lambda c: F.struct(F.array_join(F.slice("_s", c["first"] + 1, c["last"] - c["first"] + 1), ". ").alias("text"), c["n"].alias("n")))
+    rows = docs.select(id_col, F.posexplode(chunks).alias("id", "c"))
     return rows.select(
-        id_col, "id", T.strip(F.col("text")).alias("text"), T.tokens_scaled(F.col("text")).alias("token_count"), (F.col("id") * (size // 100)).alias("start_sentence"), F.when(F.col("id") > 0, overlap).otherwise(0).alias("overlap_tokens")
+        id_col, "id", F.col("c.text").alias("text"), (F.col("c.n") * F.lit(1.3).cast("double")).alias("token_count"), (F.col("id") * (size // 100)).alias("start_sentence"), F.when(F.col("id") > 0, overlap).otherwise(0).alias("overlap_tokens")
     )
 
 

@@ -699,7 +699,18 @@ def win_lookback_overlap(spark, d):
     return K.chunk_tokens(table(spark, d, "documents"), size=80, overlap=1, separator="\n").select("doc_id", "chunk_id", "text", "token_count")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE s AS (SELECT doc_id, list_filter(list_transform(string_split(text, '.'), lambda x: {strip_sql('x')}), lambda x: x <> '') AS s FROM documents),
+w AS (SELECT doc_id, s, list_transform(s, lambda x: {words_sql('x')}) AS w FROM s WHERE len(s) > 0),
+p AS (SELECT doc_id, s, list_transform(range(1, len(s) + 1), lambda i: CAST(list_sum(w[1 : i]) AS BIGINT)) AS p FROM w),
+c AS (
+  SELECT doc_id, 0 AS id, CAST(1 AS BIGINT) AS a, CAST(greatest(1, len(list_filter(p, lambda x: CAST(x AS DOUBLE) * 1.3 <= 200))) AS BIGINT) AS b FROM p
+  UNION ALL
+  SELECT doc_id, id + 1, n, CAST(greatest(b + 1, len(list_filter(p, lambda x: CAST(x - CASE WHEN n > 1 THEN p[n - 1] ELSE 0 END AS DOUBLE) * 1.3 <= 200))) AS BIGINT)
+  FROM (SELECT doc_id, id, b, CASE WHEN b > a THEN b - 1 ELSE b + 1 END AS n, p FROM c JOIN p USING (doc_id) WHERE b < len(p)))
+SELECT doc_id, id, array_to_string(s[a : b], '. ') AS text, CAST(p[b] - CASE WHEN a > 1 THEN p[a - 1] ELSE 0 END AS DOUBLE) * 1.3 AS token_count, id * 2 AS start_sentence, CASE WHEN id > 0 THEN 100 ELSE 0 END AS overlap_tokens
+FROM c JOIN p USING (doc_id)"""
+)
 def fn_chunk_sentences(spark, d):
     return K.chunk_sentences(table(spark, d, "documents"), size=200)
 

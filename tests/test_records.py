@@ -212,6 +212,29 @@ def test_json_lines(spark, tmp_path):
     assert raw.select(R.missing_fields(F.col("raw")).alias("m")).first()["m"] == ["input"]
 
 
+def sentence_chunks(text, size):
+    """By growing texts, as they are read."""
+    out, now = [], None
+    for s in filter(None, (x.strip(" \t\n\r\x0b\f") for x in (text or "").split("."))):
+        grown = s if now is None else f"{now}. {s}"
+        if now is not None and len(grown.split()) * 1.3 > size:
+            out.append(now)
+            grown = ". ".join([*now.split(". ")[-2:], s]) if "." in now else s
+        now = grown
+    return out if now is None else [*out, now]
+
+
+def test_sentence_chunks(spark):
+    rng = random.Random(15)
+    texts = [". ".join(" ".join("w" * rng.randint(1, 4) for _ in range(rng.choice([1, 2, 7, 30]))) for _ in range(rng.randint(0, 40))) for _ in range(30)] + [None, "", "..", "a.b..c. "]
+    texts.append("one two. " * 30_000)
+    got = K.chunk_sentences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), size=30).collect()
+    for i, t in enumerate(texts):
+        mine = sorted((r["id"], r["text"], r["token_count"]) for r in got if r["doc_id"] == i)
+        assert [m[1] for m in mine] == sentence_chunks(t, 30)
+        assert all(n == pytest.approx(1.3 * len(x.split())) for _, x, n in mine)
+
+
 def test_unreferenced_files(spark):
     """Against a plain search of many reports, by path and by name; an unreadable report keeps all."""
     rng = random.Random(13)
