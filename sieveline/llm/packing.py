@@ -3,14 +3,15 @@
 A document's ids are encoded once and cut into full windows and a remainder. Each remainder goes,
 as it arrives, to the fill level that minimises the sum of squared counts of partially filled
 windows (a new window is level 0); the counts stand in an array by level. When more than `OPEN`
-windows are open, the next document's first ids fill the fullest one, so that a task keeps few.
+windows are open (a parameter, `open_windows`), the next document's first ids fill the fullest one, so that a task
+keeps few; such sequences are called "filled", and `shares` tells how much of all that is.
 
 First pass: each task packs its part of the table, without a shuffle. What it completes is final.
 Second pass: the pieces of windows still open, of `FAN` tasks each, meet in one task and are packed
 alike, in a fixed order. A task leaves at most `OPEN` windows, however many rows it had, so a
 second task reads a bounded amount. What is open after that is laid end to end
 and cut at the window length, its last window into powers of two, which need no padding. The
-column `how` tells by which of the three ("first", "second", "rest") a sequence came about.
+column `how` tells by which of these ("first", "second", "filled", "rest") a sequence came about.
 
 Encoding: if the tokenizer drops white space and never joins over it, as the default one, the ids
 of a text are those of its parts between spaces and line feeds, which are cached for each worker
@@ -136,7 +137,7 @@ class Packer:
             self.short[1].append((doc, start, cut, total))
             ids, start = ids[len(cut) :], start + len(cut) // 4
             if self.short[0] == self.size:
-                yield from self.emit(self.short[1])
+                yield from self.emit(self.short[1], "filled")
                 self.short = None
         while len(ids) >= 4 * self.size:
             yield from self.emit([(doc, start, ids[: 4 * self.size], total)])
@@ -210,7 +211,7 @@ def _batches(rows: Iterator[tuple], most: int = 2000) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), TYPES, strict=True)], names=NAMES)
 
 
-def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE, tokenizer: str | None = None, split: bool = True, end_id: int = END_ID, fan: int = FAN) -> DataFrame:
+def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE, tokenizer: str | None = None, split: bool = True, end_id: int = END_ID, fan: int = FAN, open_windows: int = OPEN) -> DataFrame:
     """Pieces of packed sequences: doc_id, start, length, ids (little-endian unsigned 32-bit),
     doc_tokens, sequence_id, offset, how. size should be a power of two.
 
@@ -223,7 +224,7 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", siz
     @slim
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, split)
-        packer = Packer(size, TaskContext.get().partitionId() << 32)
+        packer = Packer(size, TaskContext.get().partitionId() << 32, "first", open_windows)
 
         def rows() -> Iterator[tuple]:
             enc.begin()
@@ -239,7 +240,7 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", siz
 
     @slim
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(size, SECOND | TaskContext.get().partitionId() << 32, "second")
+        packer = Packer(size, SECOND | TaskContext.get().partitionId() << 32, "second", open_windows)
 
         def rows() -> Iterator[tuple]:
             for batch in batches:
@@ -254,8 +255,14 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", siz
     left = packed.where("how = 'open'")
     group = F.floor(F.shiftright("sequence_id", 32) / fan)
     most = left.agg(F.max(group)).first()[0]
-    done = packed.where("how = 'first'").select(*NAMES)
+    done = packed.where("how <> 'open'").select(*NAMES)
     if most is None:
         return done
     again = left.repartition(most + 1, group).sortWithinPartitions("sequence_id", "offset").select(*NAMES)
     return done.unionByName(again.mapInArrow(second, SCHEMA))
+
+
+def shares(pieces: DataFrame) -> DataFrame:
+    """how, tokens and share of all tokens, of packed pieces."""
+    by = pieces.groupBy("how").agg(F.sum("length").alias("tokens"))
+    return by.join(F.broadcast(pieces.agg(F.sum("length").alias("_all")))).select("how", "tokens", (F.col("tokens") / F.col("_all")).alias("share"))

@@ -526,3 +526,14 @@ def test_density_decides_where_nothing_has_a_name():
     body = "<div>" + "".join(f"<div>{t}</div>" for t in prose) + "</div>"
     page = f"<html><body>{menu(12)}<div>{menu(5)}{body}{menu(9)}</div>{menu(7)}</body></html>"
     assert htmltext.main_text(page) == " ".join(prose)
+
+
+def test_packing_tells_what_was_filled(spark):
+    """With few open windows documents are cut to fill them, which sequences say; without a bound none is."""
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(["word", "rain", "tree"]) for _ in range(rng.randint(1, 60)))) for i in range(400)], LONG).repartition(2)
+    for most, filled in ((2, True), (10_000, False)):
+        pieces = packing.pack(docs, size=128, open_windows=most)
+        parts = {r["how"]: r["share"] for r in packing.shares(pieces).collect()}
+        assert ("filled" in parts) == filled and sum(parts.values()) == pytest.approx(1)
+        assert pieces.groupBy("doc_id").agg((F.sum("length") == F.first("doc_tokens")).alias("whole")).where("not whole").count() == 0
