@@ -139,7 +139,7 @@ def like_pairs(left: DataFrame, right: DataFrame, a: str, b: str, threshold: flo
         return ranked.where("_r <= _most").select(i, "q", "g", "k")
 
     if not tops:
-        return x.select(a).crossJoin(y.select(b).limit(0))
+        return left.sparkSession.createDataFrame([], f"{a} string, {b} string")
     of_b = stored(grams(y, b, "_ib", lambda q, top: n(b) <= math.floor(top * reach + 1e-9)))
     of_a = grams(x, a, "_ia", lambda q, top: F.col("_q") == q)
     often = stored(of_b.groupBy("q", "g").agg(F.count("*").alias("n")))
