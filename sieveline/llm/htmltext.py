@@ -313,7 +313,7 @@ class Tree:
                 continue
             if self.tag[block[i]] not in HEADINGS:
                 break
-            first = at
+            first = i
         out, i = set(), first
         while i < last:
             if holds[i] and i not in chosen:
