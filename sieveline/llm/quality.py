@@ -34,6 +34,7 @@ columns other than those named are ignored or, in `quality_filter`, returned unt
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -152,35 +153,65 @@ def _distance(df: DataFrame) -> DataFrame:
         v = F.col(d) - F.col(f"m_{d}")
         for j in range(i):
             v = v - F.col(f"l_{i}{j}") * F.col(f"_z{j}")
-        df = df.withColumn(f"_z{i}", v / F.col(f"l_{i}{i}"))
-        z.append(F.col(f"_z{i}") * F.col(f"_z{i}"))
-    total = z[0]
-    for x in z[1:]:
-        total = total + x
-    return df.withColumn("_d2", total).drop(*[f"_z{i}" for i in range(len(DIMS))])
+        z.append((v / F.col(f"l_{i}{i}")).alias(f"_z{i}"))
+    total = reduce(Column.__add__, [F.col(f"_z{i}") * F.col(f"_z{i}") for i in range(len(DIMS))])
+    # each column may name those before it; one select is analysed once
+    return df.select("*", *z, total.alias("_d2")).drop(*[f"_z{i}" for i in range(len(DIMS))])
 
 
-def _cholesky(params: DataFrame, scale: Column | None = None) -> DataFrame:
-    """Adds l_ij of the covariance columns c_ij (times scale) with the sampling variances v_* added."""
+def _cholesky(params: DataFrame) -> DataFrame:
+    """Adds l_ij of the covariance columns c_ij with the sampling variances v_* added."""
+    lower: list[Column] = []
     for i, d in enumerate(NOISE):
         for j in range(i + 1):
-            v = F.col(f"c_{i}{j}") if scale is None else F.col(f"c_{i}{j}") * scale
+            v = F.col(f"c_{i}{j}")
             if i == j:
                 v = F.greatest(v, F.lit(0.0)) + F.col(d)
             for k in range(j):
                 v = v - F.col(f"l_{i}{k}") * F.col(f"l_{j}{k}")
-            params = params.withColumn(f"l_{i}{j}", F.sqrt(F.greatest(v, F.lit(1e-12))) if i == j else v / F.col(f"l_{j}{j}"))
-    return params
+            lower.append((F.sqrt(F.greatest(v, F.lit(1e-12))) if i == j else v / F.col(f"l_{j}{j}")).alias(f"l_{i}{j}"))
+    return params.select("*", *lower)
+
+
+def _own_distance(scale: Column) -> Column:
+    """Squared distance from mean columns m_* under the covariance columns c_* times scale with the row's own sampling variances v_* added.
+
+    As above, but one expression: a filter on the result is pushed below projections, which would write out each column of a chain wherever it is named.
+    """
+    dims = range(len(DIMS))
+
+    def column(j: int, found: list[Column]) -> Column:
+        """The distance, given columns 0 to j - 1 of the Cholesky factor (from their diagonal down) with the z of each."""
+        if j == len(DIMS):
+            return reduce(Column.__add__, [f["z"] * f["z"] for f in found])
+
+        def rest(i: int) -> Column:
+            v = F.col(f"c_{i}{j}") * scale
+            if i == j:
+                v = F.greatest(v, F.lit(0.0)) + F.col(NOISE[i])
+            return reduce(lambda v, f: v - f[f"l_{i}"] * f[f"l_{j}"], found, v)
+
+        def below(root: Column) -> Column:
+            z = reduce(lambda v, f: v - f[f"l_{j}"] * f["z"], found, F.col(DIMS[j]) - F.col(f"m_{DIMS[j]}")) / root
+            return let(F.struct(*[(rest(i) / root).alias(f"l_{i}") for i in dims[j + 1 :]], z.alias("z")), lambda f: column(j + 1, [*found, f]))
+
+        return let(F.sqrt(F.greatest(rest(j), F.lit(1e-12))), below)
+
+    return column(0, [])
+
+
+def _sums() -> list[Column]:
+    """Weighted sums of cells' statistics and of their products."""
+    n = F.col("_n")
+    out = [F.sum(n).alias("_n"), *[F.sum(n * F.col(d)).alias(f"s_{i}") for i, d in enumerate(DIMS)]]
+    return out + [F.sum(n * F.col(a) * F.col(b)).alias(f"p_{i}{j}") for i, a in enumerate(DIMS) for j, b in enumerate(DIMS[: i + 1])]
 
 
 def _moments() -> list[Column]:
-    """Weighted mean and covariance of cells."""
-    n = F.sum("_n")
-    mean = {d: F.sum(F.col("_n") * F.col(d)) / n for d in DIMS}
-    out = [v.alias(f"m_{d}") for d, v in mean.items()]
-    for i, a in enumerate(DIMS):
-        out += [(F.sum(F.col("_n") * F.col(a) * F.col(b)) / n - mean[a] * mean[b]).alias(f"c_{i}{j}") for j, b in enumerate(DIMS[: i + 1])]
-    return out
+    """Mean and covariance from such sums."""
+    total = lambda c: F.sum(c) / F.sum("_n")
+    out = [total(f"s_{i}").alias(f"m_{d}") for i, d in enumerate(DIMS)]
+    return out + [(total(f"p_{i}{j}") - total(f"s_{i}") * total(f"s_{j}")).alias(f"c_{i}{j}") for i in range(len(DIMS)) for j in range(i + 1)]
 
 
 def _bin(d2: Column) -> Column:
@@ -194,12 +225,10 @@ def _starts(cells: DataFrame) -> DataFrame:
     median = [F.max(F.when(F.col("_dim") == i, F.col("q2"))).alias(f"m_{d}") for i, d in enumerate(DIMS)]
     spread = [F.max(F.when(F.col("_dim") == i, F.pow((F.col("q3") - F.col("q1")) / 1.349, 2))).alias(f"c_{i}{i}") for i in range(len(DIMS))]
     robust = quart.groupBy("_g").agg(*median, *spread).withColumns({f"c_{i}{j}": F.lit(0.0) for i in range(len(DIMS)) for j in range(i)})
-    equal = robust.withColumns({f"c_{i}{i}": F.lit(1.0) for i in range(len(DIMS))})
-    out = None
-    for k, start in enumerate((robust, equal, cells.groupBy("_g").agg(*_moments()))):
-        start = start.withColumn("_s", F.lit(k))
-        out = start if out is None else out.unionByName(start)
-    return out
+    # the second start has equal variances instead
+    robust = robust.withColumn("_s", F.explode(F.array(F.lit(0), F.lit(1))))
+    robust = robust.withColumns({f"c_{i}{i}": F.when(F.col("_s") == 0, F.col(f"c_{i}{i}")).otherwise(1.0) for i in range(len(DIMS))})
+    return robust.unionByName(cells.groupBy("_g").agg(*_sums()).groupBy("_g").agg(*_moments()).withColumn("_s", F.lit(2)))
 
 
 def estimates(stats: DataFrame, *, support: float = 0.75, steps: int = 12, tolerance: float = 0.01) -> DataFrame:
@@ -214,21 +243,28 @@ def estimates(stats: DataFrame, *, support: float = 0.75, steps: int = 12, toler
     cells = cells.drop(*NOISE)
     few = value_bytes(noise) * 10 * len(DIMS) <= BROADCAST_BYTES  # so are the tables of all steps, with a row for each group and start
     log_det = sum((2 * F.log(F.col(f"l_{i}{i}")) for i in range(len(DIMS))), F.lit(0.0))
-    with_det = lambda p: stored(_cholesky(p.join(F.broadcast(noise) if few else noise, "_g")).withColumn("log_det", log_det), "mcd-params")
+    with_det = lambda p: stored(_cholesky(p).withColumn("log_det", log_det), "mcd-params")
     key = ["_g", "_s"]
 
-    def placed(params: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Cells with their distance bins, and the bins that hold half and the support share of the documents."""
-        joined = _distance(cells.join(F.broadcast(params) if few else params, "_g")).select(*key, *DIMS, "_n", _bin(F.col("_d2")).alias("_bin"))
-        return joined, _at_shares(joined.groupBy(*key, "_bin").agg(F.sum("_n").alias("_n")), key, {"_half": 0.5, "_keep": support})
+    def placed(params: DataFrame) -> DataFrame:
+        """Cells with their distance bins, and the parameters that the next step hands on."""
+        joined = _distance(cells.join(F.broadcast(params) if few else params, "_g"))
+        return joined.select(*key, *DIMS, *NOISE, "log_det", "_n", _bin(F.col("_d2")).alias("_bin"))
 
-    params = with_det(_starts(cells))
+    params = with_det(_starts(cells).join(F.broadcast(noise) if few else noise, "_g"))
+    w = Window.partitionBy(*key)
+    same = [F.first(c).alias(c) for c in [*NOISE, "log_det"]]  # alike in all rows of a group and start
     for _ in range(steps):
-        joined, at = placed(params)
-        following = with_det(joined.join(F.broadcast(at) if few else at, key).where("_bin <= _keep").groupBy(*key).agg(*_moments()))
-        moved = following.join(F.broadcast(params) if few else params, key).agg(F.max(F.abs(following["log_det"] - params["log_det"]))).first()[0]
+        # sums of each bin, so that cells are placed once a step; then of the bins up to the support share
+        bins = placed(params).groupBy(*key, "_bin").agg(*_sums(), *same)
+        before = F.sum("_n").over(w.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+        bins = bins.withColumn("_near", before < F.ceil(F.sum("_n").over(w) * support)).where("_near")
+        following = bins.groupBy(*key).agg(*_moments(), *same).withColumnRenamed("log_det", "_was")
+        following = with_det(following)
+        moved = following.agg(F.max(F.abs(F.col("log_det") - F.col("_was")))).first()[0]
         dropped(params)
-        params = following
+        params = following.drop("_was")
+        params._stored_at = following._stored_at
         if moved is None or moved <= tolerance:
             break
     # of starts that end alike the first
@@ -237,7 +273,8 @@ def estimates(stats: DataFrame, *, support: float = 0.75, steps: int = 12, toler
     vary = sum((F.when(F.col(f"c_{i}{i}") > CONSTANT, 1).otherwise(0) for i in range(len(DIMS))), F.lit(0))
     median = F.element_at(F.array(*map(F.lit, CHI2_MEDIAN)), F.greatest(vary, F.lit(1)))
     scale = F.greatest((F.exp((F.col("_half") + 0.5) / BINS) - 1) / median, F.lit(1.0))
-    return stored(best.join(placed(best)[1], key).withColumn("c", scale), "mcd-estimates")
+    half = _at_shares(placed(best).groupBy(*key, "_bin").agg(F.sum("_n").alias("_n")), key, {"_half": 0.5})
+    return stored(best.join(half, key).withColumn("c", scale), "mcd-estimates")
 
 
 def judge(
@@ -285,7 +322,7 @@ def judge(
     found = estimates(spread, support=support)
     params = broadcast_if(found.drop("log_det", *NOISE, *[c for c in found.columns if c.startswith("l_")]))
     mine = facts.join(need.select("_src", "_g"), "_src", "left")
-    out = _distance(_cholesky(mine.join(params, "_g", "left"), F.col("c"))).withColumnRenamed("_d2", "distance")
+    out = mine.join(params, "_g", "left").withColumn("distance", _own_distance(F.col("c")))
     return out.select(*carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", (~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff(tail))).alias("kept"))
 
 
