@@ -63,18 +63,29 @@ def chunk_tokens(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(id_col, F.col(lang_col).alias("language"), units.alias("_items"))
     groups = _groups(F.col("_items"), size, closes=lambda x, n: x["heading"] & (n > size * 0.5))
     docs = docs.withColumn("_packed", F.transform(groups, lambda g: F.struct(F.array_join(_texts(F.col("_items"), g), separator).alias("text"), g["n"].alias("n"), g["first"].alias("first"), g["last"].alias("last"))))
-
-    def with_overlap(acc: Column, x: Column) -> Column:
-        tail = F.when(F.size(acc["done"]) == 0, F.lit("")).otherwise(T.overlap_tail(acc["text"], overlap)) if overlap else F.lit("")
-        whole = F.when(tail == "", x["text"]).otherwise(F.concat(tail, F.lit(separator), x["text"]))
-        n = x["n"] + F.when(tail == "", F.lit(0)).otherwise(T.tokens_floor(tail))
-        one = F.struct(whole.alias("text"), n.cast("bigint").alias("n"), x["first"].alias("first"), x["last"].alias("last"), (x["last"] - x["first"] + 1).alias("count"))
-        return F.struct(F.concat(acc["done"], F.array(one)).alias("done"), whole.alias("text"))
-
-    none = F.struct(F.array().cast("array<struct<text: string, n: bigint, first: int, last: int, count: int>>").alias("done"), F.lit("").alias("text"))
-    rows = docs.select(id_col, "language", F.posexplode(F.aggregate("_packed", none, with_overlap, lambda acc: acc["done"])).alias("chunk_id", "c"))
+    empty = F.array().cast("array<string>")
+    if overlap:
+        # an overlap ends with a point, so the sentences of a chunk are those of its overlap and its own: each chunk is split once
+        ends = lambda c: F.slice(F.reverse(T.sentences(c)), 1, overlap)
+        behind = T.strip(F.lit(separator)) != ""  # else the separator adds nothing to the first sentence
+        own = F.transform("_packed", lambda x: F.struct(ends(x["text"]).alias("alone"), F.when(behind, ends(F.concat(F.lit(separator), x["text"]))).alias("later")))
+        docs = docs.withColumn("_own", own)
+
+        def step(acc: Column, x: Column) -> Column:
+            mine = F.when(F.size(acc["s"]) == 0, x["alone"]).otherwise(F.coalesce(x["later"], x["alone"]))
+            s = F.slice(F.concat(mine, acc["s"]), 1, overlap)  # the last sentence first
+            return F.struct(F.concat(acc["done"], F.array(acc["s"])).alias("done"), F.when(F.size(s) == overlap, s).otherwise(empty).alias("s"))
+
+        none = F.struct(F.array().cast("array<array<string>>").alias("done"), empty.alias("s"))
+        before = F.aggregate("_own", none, step, lambda acc: acc["done"])
+    else:
+        before = F.transform("_packed", lambda x: empty)
+    rows = docs.select(id_col, "language", F.posexplode(F.zip_with("_packed", before, lambda c, s: F.struct(c.alias("c"), s.alias("s")))).alias("chunk_id", "x"))
+    rows = rows.select(id_col, "chunk_id", "language", "x.c", F.when(F.size("x.s") > 0, F.concat(F.array_join(F.reverse("x.s"), ". "), F.lit("."))).otherwise("").alias("tail"))
+    text = F.when(F.col("tail") == "", F.col("c.text")).otherwise(F.concat("tail", F.lit(separator), "c.text"))
+    n = F.col("c.n") + F.when(F.col("tail") == "", F.lit(0)).otherwise(T.tokens_floor(F.col("tail")))
     return rows.select(
-        id_col, "chunk_id", F.col("c.text").alias("text"), F.col("c.n").alias("token_count"), "language", F.col("c.first").alias("start_paragraph_index"), F.col("c.last").alias("end_paragraph_index"), F.col("c.count").alias("paragraph_count")
+        id_col, "chunk_id", text.alias("text"), n.cast("bigint").alias("token_count"), "language", F.col("c.first").alias("start_paragraph_index"), F.col("c.last").alias("end_paragraph_index"), (F.col("c.last") - F.col("c.first") + 1).alias("paragraph_count")
     )
 
 
