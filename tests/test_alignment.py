@@ -36,7 +36,7 @@ def test_ratios_agree_with_the_standard_library():
         assert all(v == table[k, m] for k, m, v in zip(p, q, s, strict=True))
 
 
-def test_blocks_across_words_agree_with_the_standard_library():
+def test_blocks_across_words_agree_with_the_standard_library(monkeypatch):
     """Ranges that begin or end at the borders of words of 64 bits, blocks longer than a word, and strings of one letter."""
     rng = random.Random(3)
     a = [*strings(rng, 12, 400, "ab"), *strings(rng, 12, 200), "q" * 64, "q" * 65, "q" * 128, "ab" * 90 + "c" * 70, "x" * 63 + "é" * 70, "\ud800😀" * 40]
@@ -45,6 +45,8 @@ def test_blocks_across_words_agree_with_the_standard_library():
     i, j = np.divmod(np.arange(len(a) * len(b)), len(b))
     want = np.array([difflib.SequenceMatcher(None, a[p], b[q], autojunk=False).ratio() for p, q in zip(i, j, strict=True)])
     assert S.seq_ratios(x, y, i, j).tolist() == want.tolist()
+    monkeypatch.setattr(S, "CELLS", 1 << 10)
+    assert S.seq_ratios(x, y, i, j).tolist() == want.tolist()
     least = np.array([rng.random() for _ in i])
     got = S.seq_ratios(x, y, i, j, least)
     assert (got <= want).all() and (got == want)[want >= least].all()
